@@ -1,0 +1,40 @@
+"""Left joins with later correction.
+
+A bounded stream-stream left join writes each row once, after its time bound. Where the row is wanted at once and
+corrected later, `correcting_left_join` writes versions: every micro-batch re-joins just the keys it touched, and
+readers take the last version per key (`sinks.upserts.read`).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..sinks import upserts
+from . import queries
+
+
+def correcting_left_join(
+    envelope: DataFrame, checkpoint: str, store: str, out: str, build, key: str, key_of: dict[str, str],
+    once: bool = False,
+) -> StreamingQuery:
+    """Keep `out` up to date with `build(change records)` for the keys of each micro-batch.
+
+    All change records of the tables in `key_of` (table -> its data key holding `key`) are stored below `store`,
+    partitioned by table. A micro-batch reads back the stored records of its own keys only, rebuilds them and appends
+    new versions to `out`.
+    """
+    row_key = F.coalesce(*[
+        F.when(F.col("table") == table, F.col("data")[name]) for table, name in key_of.items()
+    ])
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        keyed = rows.withColumn("_key", row_key).filter(F.col("_key").isNotNull())
+        upserts.append(keyed, store, batch, partition=["table"])
+        touched = keyed.select("_key").distinct()
+        kept = upserts.versions(rows.sparkSession, store, keyed.schema).filter(F.col(upserts.BATCH) <= batch)
+        affected = kept.join(touched, "_key", "left_semi").drop("_key", upserts.BATCH)
+        upserts.append(build(affected), out, batch)
+
+    return queries.each_batch(envelope, checkpoint, apply, once)
