@@ -18,24 +18,36 @@ def _text(path: str) -> Column:
     return F.try_variant_get(F.col("rec")[head], ".".join(["$", *tail]), "string")
 
 
+def _checked(rows: DataFrame) -> DataFrame:
+    """Rows with a visitor id and a time, with event time `et`."""
+    kept = rows.withColumn("ts", F.col("ts").try_cast("bigint"))
+    kept = kept.filter(values.filled(F.col("mid")) & F.col("ts").isNotNull())
+    return kept.withColumn("et", F.timestamp_millis("ts"))
+
+
 def parse(messages: DataFrame, value: str = "value") -> DataFrame:
-    """JSON log messages as `rec` (every field, types kept) with `mid`, `is_new`, `ts` and event time `et`.
+    """JSON log messages as `rec` (every field, types kept) with `mid`, `is_new`, `ts`, event time `et` and `tie`.
 
-    Records without a visitor id or a time are dropped.
+    Records without a visitor id or a time are dropped. `tie` orders records of one visitor and instant.
     """
-    parsed = messages.withColumn("rec", F.from_json(value, WHOLE_RECORD))
-    return (
+    parsed = messages.select(F.from_json(value, WHOLE_RECORD).alias("rec"), F.xxhash64(value).alias("tie"))
+    return _checked(
         parsed.select(
-            "rec",
-            _text("common.mid").alias("mid"),
-            _text("common.is_new").alias("is_new"),
-            _text("ts").try_cast("bigint").alias("ts"),
+            "rec", _text("common.mid").alias("mid"), _text("common.is_new").alias("is_new"), _text("ts").alias("ts"),
+            "tie",
         )
-        .filter(values.filled(F.col("mid")) & F.col("ts").isNotNull())
-        .withColumn("et", F.timestamp_millis("ts"))
     )
 
 
+def heads(messages: DataFrame, value: str = "value") -> DataFrame:
+    """`parse` without `rec`: reads only the few fields a visitor's history needs."""
+    parsed = messages.select(
+        F.from_json(value, "common struct<mid:string,is_new:string>, ts string").alias("h"),
+        F.xxhash64(value).alias("tie"),
+    )
+    return _checked(parsed.select("h.common.mid", "h.common.is_new", "h.ts", "tie"))
+
+
 def with_flag(logs: DataFrame) -> DataFrame:
     """Write the (repaired) `is_new` column back into the record."""
     common = F.map_concat(

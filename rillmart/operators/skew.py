@@ -35,7 +35,8 @@ class Heavy:
         return df.sparkSession.createDataFrame(list(self.parts.items()), schema)
 
 
-def _rows_per_task(df: DataFrame) -> int:
+def rows_per_task(df: DataFrame) -> int:
+    """Setting `rillmart.skew.rowsPerTask`: the most rows of one key that a single task should get."""
     return int(df.sparkSession.conf.get("rillmart.skew.rowsPerTask", str(ROWS_PER_TASK)))
 
 
@@ -47,15 +48,29 @@ def heavy_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> Heav
     """
     if df.isStreaming:
         return Heavy({})
-    limit = limit or _rows_per_task(df)
-    total = df.count()
-    if total <= limit:
+    limit = limit or rows_per_task(df)
+    if df.count() <= limit:
         return Heavy({})
-    limit = max(limit, total // MAX_HEAVY_KEYS)
-    counted = (
-        df.select(F.xxhash64(*keys).alias(_HASH)).groupBy(_HASH).count().filter(F.col("count") > limit).collect()
+    return heavy_from_counts(df.groupBy(F.xxhash64(*keys).alias(_HASH)).count(), [], "count", limit)
+
+
+def heavy_from_counts(counts: DataFrame, keys: list[str], count: str, limit: int | None = None) -> Heavy:
+    """Heavy keys from a table that already holds the row count of each key.
+
+    At most MAX_HEAVY_KEYS are taken, the largest ones; what is left out weighs less than a share of
+    1 / MAX_HEAVY_KEYS of all rows and goes through whole.
+    """
+    limit = limit or rows_per_task(counts)
+    key_hash = F.xxhash64(*keys) if keys else F.col(_HASH)
+    largest = (
+        counts.filter(F.col(count) > limit)
+        .select(key_hash.alias(_HASH), F.col(count).alias("n"))
+        .orderBy(F.desc("n"))
+        .limit(MAX_HEAVY_KEYS)
+        .collect()
     )
-    return Heavy({row[_HASH]: math.ceil(row["count"] / limit) for row in counted})
+    size = max(limit, sum(row["n"] for row in largest) // MAX_HEAVY_KEYS)
+    return Heavy({row[_HASH]: math.ceil(row["n"] / size) for row in largest if row["n"] > size})
 
 
 def join(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import times
 from . import skew
 
@@ -114,20 +115,26 @@ def repair_is_new(
     order: tuple[str, ...] = (),
     zone: str | None = None,
     heavy: skew.Heavy | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Correct the new-visitor flag of each row from the visitor's history, in time order.
 
     A visitor who has shown up as old ('0') stays old. A visitor first seen as new ('1') on one day is old on later
     days. So two facts per visitor decide every row: the time of the first '0' and the day of the first '1'. They are
-    aggregated before the shuffle and joined back with heavy visitors split.
+    aggregated before the shuffle, written to the checkpoint folder, and joined back with heavy visitors split. `history` may give
+    the same rows in a form that is cheaper to read for the two facts.
     """
     moment = F.struct(F.col(ts), *map(F.col, order))
     day = times.day(F.col(ts), zone)
-    facts = df.groupBy(key).agg(
-        F.min(F.when(F.col(flag) == "0", moment)).alias("_first_old"),
-        F.min(F.when(F.col(flag) == "1", day)).alias("_first_new_day"),
+    facts = session.settled(
+        (df if history is None else history).groupBy(key).agg(
+            F.min(F.when(F.col(flag) == "0", moment)).alias("_first_old"),
+            F.min(F.when(F.col(flag) == "1", day)).alias("_first_new_day"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
     )
+    heavy = skew.heavy_from_counts(facts, [key], "_rows") if heavy is None else heavy
     known_old = (F.col("_first_old") < moment) | (F.col("_first_new_day") < day)
     fixed = F.when((F.col(flag) == "1") & known_old, F.lit("0")).otherwise(F.col(flag))
-    joined = skew.join(df, facts, [key], "left", spread=[ts, *order], heavy=heavy)
+    joined = skew.join(df, facts.drop("_rows"), [key], "left", spread=[ts, *order], heavy=heavy)
     return joined.withColumn(flag, fixed).select(df.columns)

@@ -33,10 +33,9 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, bound: str
 
 def base_log(messages: DataFrame, zone: str | None = None) -> DataFrame:
     """Log split with repaired new-visitor flags (batch): rows (stream, value)."""
-    parsed = logs.parse(messages)
-    # Records of one visitor at one instant are ordered by their text, so that reruns agree.
-    keyed = parsed.withColumn("_tie", F.xxhash64(F.to_json("rec")))
-    repaired = state.repair_is_new(keyed, "mid", "et", "is_new", ("_tie",), zone).drop("_tie")
+    repaired = state.repair_is_new(
+        logs.parse(messages), "mid", "et", "is_new", ("tie",), zone, history=logs.heads(messages)
+    )
     return logs.tagged(logs.with_flag(repaired))
 
 

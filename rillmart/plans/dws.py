@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import times, values
-from ..operators import enrich, facts, keywords, logs, state, windows
+from ..operators import enrich, facts, keywords, logs, skew, state, windows
 from ..schemas import MONEY
 
 SIZE = "5 seconds"
@@ -146,17 +146,20 @@ def order_users(
     return _unique_and_new(orders, size, delay, as_of, zone, "order_unique_user_count", "order_new_user_count")
 
 
-def _changes(rows: DataFrame, keys: list[str], order: list[str], measures: list[str]) -> DataFrame:
+def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: list[str], heavy: skew.Heavy | None
+             ) -> DataFrame:
+    """Measures of line versions as changes. Lines with very many versions are looked for in `details` itself."""
     if rows.isStreaming:
         from ..streaming import history
 
-        return history.delta(rows, keys, "et", order, measures)
-    return state.delta(rows, keys, order, measures)
+        return history.delta(rows, ["id"], "et", order, measures)
+    heavy = skew.heavy_keys(details, ["id"]) if heavy is None else heavy
+    return state.delta(rows, ["id"], order, measures, heavy)
 
 
 def sku_orders(
     details: DataFrame, dims: dict[str, DataFrame], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, order: tuple[str, ...] = ("et",),
+    zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
 ) -> DataFrame:
     """Order amounts per sku from the order-detail version log.
 
@@ -174,7 +177,7 @@ def sku_orders(
         "id", "sku_id", "sku_name", "et", *extra, *[amount.cast(MONEY).alias(n) for n, amount in amounts.items()]
     )
     rows = windows.watermarked(rows, "et", delay)
-    changed = _changes(rows, ["id"], [*order, "sku_id", *amounts], list(amounts))
+    changed = _changes(details, rows, [*order, "sku_id", *amounts], list(amounts), heavy)
     summed = windows.tumble(
         changed, "et", size, ["sku_id"],
         # The line name is kept from the first record of the window.
@@ -191,7 +194,7 @@ def sku_orders(
 
 def province_orders(
     details: DataFrame, provinces: DataFrame, size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, order: tuple[str, ...] = ("et",),
+    zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
 ) -> DataFrame:
     """Orders and order amount per province from the order-detail version log."""
     extra = [name for name in order if name != "et"]
@@ -200,7 +203,7 @@ def province_orders(
         values.money(F.col("split_total_amount")).alias("order_amount"),
     )
     rows = windows.watermarked(rows, "et", delay)
-    changed = _changes(rows, ["id"], [*order, "province_id", "order_amount"], ["order_amount"])
+    changed = _changes(details, rows, [*order, "province_id", "order_amount"], ["order_amount"], heavy)
     summed = windows.tumble_distinct(
         changed, "et", size, ["province_id"], "order_id", "order_count", ("order_amount",), None, as_of, zone
     )

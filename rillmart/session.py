@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         raise ValueError("spark.checkpoint.dir is not set: name a folder shared by the whole cluster")
     return os.path.join(root, *parts)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A frame that is used several times, computed once into the checkpoint folder where the session has one."""
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            return df
+        spark.sparkContext.setCheckpointDir(root)
+    return df.checkpoint()
