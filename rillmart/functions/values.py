@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY
@@ -27,3 +27,13 @@ def tokens(value: Column) -> Column:
     """Distinct lower-case words of a text; runs of letters or digits are words."""
     words = F.split(F.lower(value), r"[^\p{L}\p{N}]+")
     return F.array_distinct(F.filter(words, lambda word: word != ""))
+
+
+def compute_once(df: DataFrame, *kept: str | Column, **computed: Column) -> DataFrame:
+    """`kept` and `computed` columns, with the computed ones evaluated once per row.
+
+    Spark pushes a filter on a computed column below the projection and there evaluates the expression again; for
+    parsed JSON that doubles the work. Rows of a generator are no such case.
+    """
+    row = F.struct(*[value.alias(name) for name, value in computed.items()])
+    return df.select(*kept, F.inline(F.array(row)))

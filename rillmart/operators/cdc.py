@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import times
+from ..functions import times, values
 from ..schemas import ENVELOPE
 
 INSERTS = ("bootstrap-insert", "insert")
@@ -18,7 +18,8 @@ def parse(messages: DataFrame, value: str = "value", mode: str = "drop") -> Data
     Unreadable messages are dropped, kept in `_corrupt` (`mode='keep'`), or end the job (`mode='fail'`).
     """
     options = {"mode": "FAILFAST"} if mode == "fail" else {}
-    parsed = messages.withColumn("_e", F.from_json(value, ENVELOPE, options))
+    kept = [value] if mode == "keep" else []
+    parsed = values.compute_once(messages, *kept, _e=F.from_json(value, ENVELOPE, options))
     # A document that is no object parses to a struct without any field.
     readable = F.coalesce(F.col("_e.table").isNotNull() | F.col("_e.data").isNotNull(), F.lit(False))
     columns = [F.col(f"_e.{name}") for name in ENVELOPE.names]

@@ -9,13 +9,10 @@ from ..functions import times, values
 from ..schemas import PAGE_LOG
 
 STREAMS = ("err", "start", "display", "action", "page")
-WHOLE_RECORD = "map<string,variant>"
-
-
-def _text(path: str) -> Column:
-    """A field of the parsed record as text."""
-    head, *tail = path.split(".")
-    return F.try_variant_get(F.col("rec")[head], ".".join(["$", *tail]), "string")
+# The fields of a raw log record. Each is kept as its own JSON text, so what lies inside passes through unchanged.
+FIELDS = ("common", "start", "page", "err", "displays", "actions", "ts")
+_RECORD = ", ".join(f"{name} string" for name in FIELDS)
+_ELEMENTS = "array<map<string,variant>>"
 
 
 def _checked(rows: DataFrame) -> DataFrame:
@@ -26,63 +23,55 @@ def _checked(rows: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame, value: str = "value") -> DataFrame:
-    """JSON log messages as `rec` (every field, types kept) with `mid`, `is_new`, `ts`, event time `et` and `tie`.
+    """JSON log messages as `rec` (one JSON text per field) with `mid`, `is_new`, `ts`, event time `et` and `tie`.
 
     Records without a visitor id or a time are dropped. `tie` orders records of one visitor and instant.
     """
-    parsed = messages.select(F.from_json(value, WHOLE_RECORD).alias("rec"), F.xxhash64(value).alias("tie"))
-    return _checked(
-        parsed.select(
-            "rec", _text("common.mid").alias("mid"), _text("common.is_new").alias("is_new"), _text("ts").alias("ts"),
-            "tie",
-        )
-    )
+    parsed = values.compute_once(messages, F.xxhash64(value).alias("tie"), rec=F.from_json(value, _RECORD))
+    known = values.compute_once(parsed, "rec", "tie", c=F.from_json("rec.common", "mid string, is_new string"))
+    return _checked(known.select("rec", "c.mid", "c.is_new", "rec.ts", "tie"))
 
 
 def heads(messages: DataFrame, value: str = "value") -> DataFrame:
     """`parse` without `rec`: reads only the few fields a visitor's history needs."""
-    parsed = messages.select(
-        F.from_json(value, "common struct<mid:string,is_new:string>, ts string").alias("h"),
+    parsed = values.compute_once(
+        messages,
         F.xxhash64(value).alias("tie"),
+        h=F.from_json(value, "common struct<mid:string,is_new:string>, ts string"),
     )
     return _checked(parsed.select("h.common.mid", "h.common.is_new", "h.ts", "tie"))
 
 
 def with_flag(logs: DataFrame) -> DataFrame:
-    """Write the (repaired) `is_new` column back into the record."""
-    common = F.map_concat(
-        F.map_filter(F.col("rec")["common"].cast(WHOLE_RECORD), lambda k, _: k != "is_new"),
-        F.when(F.col("is_new").isNull(), F.create_map().cast(WHOLE_RECORD)).otherwise(
-            F.create_map(F.lit("is_new"), F.col("is_new").cast("variant"))
-        ),
+    """Write the (repaired) `is_new` column back into the record; records that have it already stay as they are."""
+    common, flag = F.col("rec.common"), F.col("is_new")
+    same = flag.eqNullSafe(F.get_json_object(common, "$.is_new"))
+    fields = F.from_json(common, "map<string,variant>")
+    rewritten = F.to_json(
+        F.transform_values(fields, lambda key, v: F.when(key == "is_new", flag.cast("variant")).otherwise(v))
     )
-    return logs.withColumn("rec", _put(F.col("rec"), common=F.to_variant_object(common)))
+    return logs.withColumn("rec", F.col("rec").withField("common", F.when(same, common).otherwise(rewritten)))
 
 
-def _without(rec: Column, *names: str) -> Column:
-    return F.map_filter(rec, lambda key, _: ~key.isin(*names))
+def _members(*fields: str) -> Column:
+    """The named fields as members of a JSON object; absent fields are left out."""
+    return F.concat_ws(",", *[F.concat(F.lit(f'"{name}":'), F.col(f"rec.{name}")) for name in fields])
 
 
-def _put(rec: Column, **fields: Column) -> Column:
-    added = F.create_map(*[part for name, value in fields.items() for part in (F.lit(name), value)])
-    # A field absent from the source record stays absent.
-    added = F.map_filter(added, lambda _, value: value.isNotNull())
-    return F.map_concat(_without(rec, *fields), added)
+def _object(members: Column) -> Column:
+    return F.concat(F.lit("{"), members, F.lit("}"))
 
 
-def _has(name: str) -> Column:
-    value = F.col("rec")[name]
-    return value.isNotNull() & ~F.is_variant_null(value)
+def _elements(field: str) -> Column:
+    """Each element of an array field as a JSON object with the page, the common part and the time set in it."""
+    added = ("page", "common", "ts")
 
+    def with_context(item: Column) -> Column:
+        own = F.map_filter(item, lambda key, _: ~key.isin(*added))
+        own_members = F.when(F.size(own) > 0, F.regexp_extract(F.to_json(own), r"(?s)^\{(.*)\}$", 1))
+        return _object(F.concat_ws(",", own_members, _members(*added)))
 
-def _elements(name: str) -> Column:
-    """Each element of an array field as a record with the page, the common part and the time added."""
-    items = F.coalesce(
-        F.try_variant_get(F.col("rec")[name], "$", "array<map<string,variant>>"),
-        F.array().cast("array<map<string,variant>>"),
-    )
-    rec = F.col("rec")
-    return F.transform(items, lambda item: _put(item, page=rec["page"], common=rec["common"], ts=rec["ts"]))
+    return F.transform(F.from_json(F.col(f"rec.{field}"), _ELEMENTS), with_context)
 
 
 def tagged(logs: DataFrame) -> DataFrame:
@@ -91,29 +80,26 @@ def tagged(logs: DataFrame) -> DataFrame:
     A record with an error goes whole to `err`, and on without the error. A start record goes to `start`. A page
     record gives one `display` / `action` per element and one `page` without those arrays.
     """
-    rec = F.col("rec")
-    clean = _without(rec, "err")
-    is_start = _has("start")
-    is_page = ~is_start & _has("page")
-    nothing = F.array().cast("array<struct<stream:string,body:map<string,variant>>>")
-
-    def one(stream: str, body: Column) -> Column:
-        return F.array(F.struct(F.lit(stream).alias("stream"), body.alias("body")))
-
-    def many(stream: str, bodies: Column) -> Column:
-        return F.transform(bodies, lambda body: F.struct(F.lit(stream).alias("stream"), body.alias("body")))
-
-    outputs = F.concat(
-        F.when(_has("err"), one("err", rec)).otherwise(nothing),
-        F.when(is_start, one("start", clean)).otherwise(nothing),
-        F.when(is_page, many("display", _elements("displays"))).otherwise(nothing),
-        F.when(is_page, many("action", _elements("actions"))).otherwise(nothing),
-        F.when(is_page, one("page", _without(clean, "displays", "actions"))).otherwise(nothing),
+    nothing = F.array().cast("array<struct<stream:string,value:string>>")
+
+    def out(stream: str, value: Column) -> Column:
+        return F.struct(F.lit(stream).alias("stream"), value.alias("value"))
+
+    def each(stream: str, field: str) -> Column:
+        items = F.transform(_elements(field), lambda value: out(stream, value))
+        return F.when(F.col(f"rec.{field}").isNotNull(), F.coalesce(items, nothing)).otherwise(nothing)
+
+    failed = F.when(F.col("rec.err").isNotNull(), F.array(out("err", _object(_members(*FIELDS))))).otherwise(nothing)
+    start = F.array(out("start", _object(_members("common", "start", "page", "displays", "actions", "ts"))))
+    page = F.concat(
+        each("display", "displays"),
+        each("action", "actions"),
+        F.array(out("page", _object(_members("common", "page", "ts")))),
     )
-    return (
-        logs.select("mid", "ts", "et", F.explode(outputs).alias("out"))
-        .select("mid", "ts", "et", "out.stream", F.to_json("out.body").alias("value"))
+    main = (
+        F.when(F.col("rec.start").isNotNull(), start).when(F.col("rec.page").isNotNull(), page).otherwise(nothing)
     )
+    return logs.select("mid", "ts", "et", F.inline(F.concat(failed, main)))
 
 
 def split(logs: DataFrame) -> dict[str, DataFrame]:
@@ -124,8 +110,8 @@ def split(logs: DataFrame) -> dict[str, DataFrame]:
 
 def pages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Page-log messages as flat columns; only the fields the summary jobs read are parsed."""
-    parsed = messages.withColumn("_p", F.from_json(value, PAGE_LOG))
-    return parsed.select("_p.common.*", "_p.page.*", "_p.ts")
+    parsed = values.compute_once(messages, p=F.from_json(value, PAGE_LOG))
+    return parsed.select("p.common.*", "p.page.*", "p.ts")
 
 
 def page_views(pages_: DataFrame, page_ids: tuple[str, ...] | None = None) -> DataFrame:

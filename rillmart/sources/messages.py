@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import values
+
 
 def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options: str) -> DataFrame:
     """A topic from its earliest offset; keys and headers are dropped. Needs Spark's Kafka connector package."""
@@ -30,4 +32,5 @@ def files(spark: SparkSession, path: str, stream: bool = True, **options: str) -
 
 def as_table(messages: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
     """A JSON topic as a table; fields a message lacks are null."""
-    return messages.select(F.from_json(value, schema).alias("_j")).filter(F.col("_j").isNotNull()).select("_j.*")
+    parsed = values.compute_once(messages, _j=F.from_json(value, schema))
+    return parsed.filter(F.col("_j").isNotNull()).select("_j.*")
