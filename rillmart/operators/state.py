@@ -1,4 +1,4 @@
-"""Per-key history operators over batch frames; the streaming forms live in `rillmart.streaming`.
+"""Per-key history operators. The custom state of their streaming forms lives in `rillmart.streaming.history`.
 
 Batch frames hold the whole history, so state turns into ordering: `first_of_day` and `first_ever` keep one row per
 key before the shuffle, `repair_is_new` needs two facts per visitor, `delta` looks one row back.
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..functions import times
+from ..streaming import history
 from . import skew
 
 
@@ -28,20 +29,9 @@ def first_of_day(
     In time order days never go back, so a row whose day differs from the previous row's day is exactly the first
     row of its (key, day). For other arrival orders use `day_changes`.
     """
-    day = times.day(F.col(ts), zone)
     if df.isStreaming:
-        # Needs a watermark on `ts`: the state of a day goes when the watermark passes its end.
-        return df.withColumn("_day", _day_window(ts, zone)).dropDuplicates([*keys, "_day"]).drop("_day")
-    return _first_by(df, [*map(F.col, keys), day], [F.col(ts), *map(F.col, order)])
-
-
-def _day_window(ts: str, zone: str | None) -> Column:
-    """The day as an event-time window; `zone` is None (UTC days) or a fixed offset such as '+08:00'."""
-    if zone is None:
-        return F.window(ts, "1 day")
-    sign, hours, minutes = zone[0], int(zone[1:3]), int(zone[4:6])
-    shift = (hours * 60 + minutes) * (-1 if sign == "+" else 1)
-    return F.window(ts, "1 day", startTime=f"{shift % 1440} minutes")
+        return history.first_of_day(df, keys, ts, order, zone)
+    return _first_by(df, [*map(F.col, keys), times.day(F.col(ts), zone)], [F.col(ts), *map(F.col, order)])
 
 
 def day_changes(
@@ -53,22 +43,23 @@ def day_changes(
     return seen.filter(~F.col("_day_of").eqNullSafe(F.col("_prev._day_of"))).drop("_day_of", "_prev")
 
 
-def first_ever(df: DataFrame, key: str, ts: str, order: tuple[str, ...] = (), ttl: str | None = None) -> DataFrame:
-    """The first row of each key. In a stream the seen keys are kept for ever, or for `ttl` past the watermark."""
+def first_ever(df: DataFrame, key: str, ts: str, order: tuple[str, ...] = (), forget: bool = False) -> DataFrame:
+    """The first row of each key. In a stream the seen keys are kept for ever, or with `forget` until the watermark
+    has passed them."""
     if df.isStreaming:
-        if ttl is None:
-            return df.dropDuplicates([key])
-        return df.dropDuplicatesWithinWatermark([key])
+        return df.dropDuplicatesWithinWatermark([key]) if forget else df.dropDuplicates([key])
     return _first_by(df, [F.col(key)], [F.col(ts), *map(F.col, order)])
 
 
 def daily_firsts(
     df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None
 ) -> DataFrame:
-    """First-of-day rows of a batch frame with `prev_day`, the last earlier day the key was seen on (null if none).
+    """First-of-day rows with `prev_day`, the last earlier day the key was seen on (null if none).
 
-    Only one row per key and day enters the look-back, whatever the number of events.
+    In batch only one row per key and day enters the look-back, whatever the number of events.
     """
+    if df.isStreaming:
+        return history.day_changes(df, keys, ts, order, zone)
     firsts = first_of_day(df, keys, ts, order, zone).withColumn("_day", times.day(F.col(ts), zone))
     last_day = F.lag("_day").over(Window.partitionBy(*keys).orderBy("_day"))
     return firsts.withColumn("prev_day", last_day).drop("_day")
@@ -97,7 +88,12 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def delta(
     df: DataFrame, keys: list[str], order: list[str], measures: list[str], heavy: skew.Heavy | None = None
 ) -> DataFrame:
-    """Replace each measure by its change since the key's previous version; the first version counts in full."""
+    """Replace each measure by its change since the key's previous version; the first version counts in full.
+
+    In a stream `order` starts with the watermarked event time and measures must not be null.
+    """
+    if df.isStreaming:
+        return history.delta(df, keys, order[0], order[1:], measures)
     seen = skew.with_previous(df, keys, order, measures, heavy)
     for name in measures:
         kind = df.schema[name].dataType
@@ -115,19 +111,21 @@ def repair_is_new(
     order: tuple[str, ...] = (),
     zone: str | None = None,
     heavy: skew.Heavy | None = None,
-    history: DataFrame | None = None,
+    facts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Correct the new-visitor flag of each row from the visitor's history, in time order.
 
     A visitor who has shown up as old ('0') stays old. A visitor first seen as new ('1') on one day is old on later
     days. So two facts per visitor decide every row: the time of the first '0' and the day of the first '1'. They are
-    aggregated before the shuffle, written to the checkpoint folder, and joined back with heavy visitors split. `history` may give
+    aggregated before the shuffle, written to the checkpoint folder, and joined back with heavy visitors split. `facts_from` may give
     the same rows in a form that is cheaper to read for the two facts.
     """
+    if df.isStreaming:
+        return history.repair_is_new(df, [key], ts, flag, order, zone)
     moment = F.struct(F.col(ts), *map(F.col, order))
     day = times.day(F.col(ts), zone)
     facts = session.settled(
-        (df if history is None else history).groupBy(key).agg(
+        (df if facts_from is None else facts_from).groupBy(key).agg(
             F.min(F.when(F.col(flag) == "0", moment)).alias("_first_old"),
             F.min(F.when(F.col(flag) == "1", day)).alias("_first_new_day"),
             F.count(F.lit(1)).alias("_rows"),

@@ -32,10 +32,13 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, bound: str
 
 
 def base_log(messages: DataFrame, zone: str | None = None) -> DataFrame:
-    """Log split with repaired new-visitor flags (batch): rows (stream, value)."""
-    repaired = state.repair_is_new(
-        logs.parse(messages), "mid", "et", "is_new", ("tie",), zone, history=logs.heads(messages)
-    )
+    """Log split with repaired new-visitor flags: rows (mid, ts, et, stream, value)."""
+    parsed = logs.parse(messages)
+    if messages.isStreaming:
+        parsed, heads = parsed.withWatermark("et", LOG_DELAY), None
+    else:
+        heads = logs.heads(messages)
+    repaired = state.repair_is_new(parsed, "mid", "et", "is_new", ("tie",), zone, facts_from=heads)
     return logs.tagged(logs.with_flag(repaired))
 
 

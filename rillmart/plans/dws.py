@@ -85,12 +85,7 @@ def logins(
 ) -> DataFrame:
     """Users logging in for the first time of the day, and those back after more than `days` days."""
     entered = windows.watermarked(logs.logins(pages).select("uid", "et"), "et", delay)
-    if entered.isStreaming:
-        from ..streaming import history
-
-        firsts = history.returning(entered, ["uid"], "et", days, zone)
-    else:
-        firsts = state.returning(entered, ["uid"], "et", (), days, zone)
+    firsts = state.returning(entered, ["uid"], "et", (), days, zone)
     counted = [F.count(F.when(F.col("is_back"), 1)).alias("back_ct"), F.count(F.lit(1)).alias("uu_ct")]
     return windows.tumble(firsts, "et", size, [], counted, None, as_of, zone)
 
@@ -116,20 +111,8 @@ def _unique_and_new(rows: DataFrame, size: str, delay: str, as_of: str | None, z
                     new: str) -> DataFrame:
     """Users by first record of the day, and users by first record ever."""
     users = windows.watermarked(facts.require(rows, "user_id").select("user_id", "et"), "et", delay)
-    if users.isStreaming:
-        none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-        daily = state.first_of_day(users, ["user_id"], "et", (), zone)
-        ever = state.first_ever(users, "user_id", "et")
-        flags = daily.select("et", one.alias(unique), none.alias(new)).unionByName(
-            ever.select("et", none.alias(unique), one.alias(new))
-        )
-        measures = [_sum(unique), _sum(new)]
-    else:
-        flags = state.daily_firsts(users, ["user_id"], "et", (), zone)
-        measures = [
-            F.count(F.lit(1)).alias(unique),
-            F.count(F.when(F.col("prev_day").isNull(), 1)).alias(new),
-        ]
+    flags = state.daily_firsts(users, ["user_id"], "et", (), zone)
+    measures = [F.count(F.lit(1)).alias(unique), F.count(F.when(F.col("prev_day").isNull(), 1)).alias(new)]
     return windows.tumble(flags, "et", size, [], measures, None, as_of, zone)
 
 
@@ -149,10 +132,6 @@ def order_users(
 def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: list[str], heavy: skew.Heavy | None
              ) -> DataFrame:
     """Measures of line versions as changes. Lines with very many versions are looked for in `details` itself."""
-    if rows.isStreaming:
-        from ..streaming import history
-
-        return history.delta(rows, ["id"], "et", order, measures)
     heavy = skew.heavy_keys(details, ["id"]) if heavy is None else heavy
     return state.delta(rows, ["id"], order, measures, heavy)
 

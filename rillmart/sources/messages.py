@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from ..functions import values
 
 
+# What one micro-batch of a stream reads at most; the rest waits for the next one.
+BATCH_MESSAGES = 10_000_000
+BATCH_FILES = 1_000
+
+
 def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options: str) -> DataFrame:
     """A topic from its earliest offset; keys and headers are dropped. Needs Spark's Kafka connector package."""
     reader = (spark.readStream if stream else spark.read).format("kafka")
@@ -17,6 +22,7 @@ def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True, **
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
+        **({"maxOffsetsPerTrigger": str(BATCH_MESSAGES)} if stream else {}),
         **options,
     }
     return reader.options(**settings).load().select(F.col("value").cast("string").alias("value"))
@@ -26,7 +32,7 @@ def files(spark: SparkSession, path: str, stream: bool = True, **options: str) -
     """JSON-lines files as messages, one per line."""
     reader = (spark.readStream if stream else spark.read).format("text")
     if stream:
-        reader = reader.schema("value string")
+        reader = reader.schema("value string").option("maxFilesPerTrigger", BATCH_FILES)
     return reader.options(**options).load(path)
 
 

@@ -1,57 +1,62 @@
 """Per-key history in streams: custom state where the built-in stateful operators do not reach.
 
-First-of-day and first-ever need none of this: they are `dropDuplicates` (see `operators.state`). Rows of one key and
-batch are put in event-time order before they meet the state; across batches arrival order counts.
+First-ever needs none of this: it is `dropDuplicates` (see `operators.state`). Rows of one key and micro-batch are put
+in event-time order before they meet the state; across batches arrival order counts. A key's rows of one micro-batch
+are held in memory, so sources limit what a micro-batch reads (see `sources.messages`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from zoneinfo import ZoneInfo
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_DAY = dt.timedelta(days=1)
+from ..functions import times
 
-
-def _zone(name: str | None) -> dt.tzinfo:
-    if name is None:
-        return dt.timezone.utc
-    if name[0] in "+-":
-        sign = -1 if name[0] == "-" else 1
-        return dt.timezone(sign * dt.timedelta(hours=int(name[1:3]), minutes=int(name[4:6])))
-    return ZoneInfo(name)
+_ONE_DAY = dt.timedelta(days=1)
+_AT, _DAY = "_at", "_day"
 
 
 class _Ordered(StatefulProcessor):
-    """Hands the rows of a key to `row`, in order, with the state loaded once and stored once per batch."""
+    """Walks the rows of a key in order, with the state loaded once and stored once per micro-batch.
+
+    `step(row, last)` gives the output values (None for no output) and the new state.
+    """
 
-    def __init__(self, ts: str, order: list[str], state_type: str, zone: str | None):
-        self.ts, self.order, self.state_type, self.zone = ts, order, state_type, zone
+    def __init__(self, order: list[str], state_type: str, out: list[str], keep: dt.timedelta | None = None):
+        self.order, self.state_type, self.out, self.keep = order, state_type, out, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("last", self.state_type)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable", ignore_index=True)
-        before = self.state.get() if self.state.exists() else None
-        out, after = self.process(batch, before)
-        if after is not None and after != before:
-            self.state.update(after)
-        if len(out):
-            yield out
-
-    def days(self, batch: pd.DataFrame) -> list[dt.date]:
-        moments = batch[self.ts]
-        if moments.dt.tz is None:
-            moments = moments.dt.tz_localize("UTC")
-        return list(moments.dt.tz_convert(_zone(self.zone)).dt.date)
-
-    def process(self, batch: pd.DataFrame, before: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
+    def handleInputRows(self, key, rows: Iterable[Row], timerValues) -> Iterator[Row]:
+        make = Row(*self.out)
+        before = last = tuple(self.state.get()) if self.state.exists() else None
+        for row in sorted(rows, key=lambda r: [(r[name] is not None, r[name]) for name in self.order]):
+            values, last = self.step(row, last)
+            if values is not None:
+                yield make(*values)
+        if last is not None and last != before:
+            self.state.update(last)
+            if self.keep is not None:
+                self.handle.registerTimer(self._expiry(last))
+
+    def _expiry(self, last: tuple) -> int:
+        end = dt.datetime.combine(last[0], dt.time(), dt.timezone.utc) + self.keep
+        return int(end.timestamp() * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # A timer of an earlier value finds a newer one and leaves it.
+        if self.state.exists() and self._expiry(tuple(self.state.get())) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter(())
+
+    def step(self, row: Row, last: tuple | None) -> tuple[list | None, tuple | None]:
         raise NotImplementedError
 
     def close(self) -> None:
@@ -61,53 +66,52 @@ class _Ordered(StatefulProcessor):
 class RepairIsNew(_Ordered):
     """State: the day a visitor counts as known from."""
 
-    def __init__(self, ts: str, order: list[str], flag: str, zone: str | None):
-        super().__init__(ts, order, "day date", zone)
+    def __init__(self, order: list[str], out: list[str], flag: str):
+        super().__init__(order, "day date", out)
         self.flag = flag
 
-    def process(self, batch, before):
-        known = before[0] if before else None
-        flags = []
-        for flag, day in zip(batch[self.flag], self.days(batch)):
-            if flag == "1" and known is None:
-                known = day
-            elif flag == "1" and day != known:
-                flag = "0"
-            elif flag == "0":
-                known = day - _DAY
-            flags.append(flag)
-        return batch.assign(**{self.flag: flags}), None if known is None else (known,)
+    def step(self, row, last):
+        flag, day = row[self.flag], row[_DAY]
+        if flag == "1" and last is None:
+            last = (day,)
+        elif flag == "1" and day != last[0]:
+            flag = "0"
+        elif flag == "0":
+            last = (day - _ONE_DAY,)
+        return [flag if name == self.flag else row[name] for name in self.out], last
 
 
 class DayChanges(_Ordered):
     """Rows on another day than the key's previous row, with that day. State: the last day."""
 
-    def __init__(self, ts: str, order: list[str], zone: str | None):
-        super().__init__(ts, order, "day date", zone)
+    def __init__(self, order: list[str], out: list[str], keep: dt.timedelta | None):
+        super().__init__(order, "day date", out, keep)
 
-    def process(self, batch, before):
-        days = self.days(batch)
-        previous = [before[0] if before else None, *days[:-1]]
-        changed = [day != last for day, last in zip(days, previous)]
-        return batch.assign(prev_day=previous)[changed], (days[-1],)
+    def step(self, row, last):
+        previous = last[0] if last else None
+        if row[_DAY] == previous:
+            return None, last
+        return [*[row[name] for name in self.out[:-1]], previous], (row[_DAY],)
 
 
 class Delta(_Ordered):
     """Measures replaced by their change. State: the last value of each measure."""
 
-    def __init__(self, ts: str, order: list[str], measures: list[str], schema: T.StructType):
-        super().__init__(ts, order, ", ".join(f"{m} {schema[m].dataType.simpleString()}" for m in measures), None)
+    def __init__(self, order: list[str], out: list[str], measures: list[str], state_type: str):
+        super().__init__(order, state_type, out)
         self.measures = measures
 
-    def process(self, batch, before):
-        values = batch[self.measures]
-        last = pd.DataFrame([before or [0] * len(self.measures)], columns=self.measures, dtype=object)
-        previous = pd.concat([last, values.astype(object).iloc[:-1]], ignore_index=True)
-        return batch.assign(**(values.astype(object) - previous)), tuple(values.iloc[-1])
+    def step(self, row, last):
+        values = tuple(row[name] for name in self.measures)
+        before = dict(zip(self.measures, last or [0] * len(values)))
+        return [row[name] - before[name] if name in before else row[name] for name in self.out], values
 
 
-def _run(df: DataFrame, keys: list[str], processor: _Ordered, schema: T.StructType, ts: str) -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(
+def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType
+         ) -> DataFrame:
+    # Order and day are fixed here, so that no clock or zone of a Python worker takes part.
+    rows = df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, times.day(F.col(ts), zone))
+    return rows.groupBy(*keys).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
@@ -120,24 +124,30 @@ def repair_is_new(
     df: DataFrame, keys: list[str], ts: str, flag: str, order: tuple[str, ...] = (), zone: str | None = None
 ) -> DataFrame:
     """`operators.state.repair_is_new` for a watermarked stream."""
-    return _run(df, keys, RepairIsNew(ts, [ts, *order], flag, zone), df.schema, ts)
+    return _run(df, keys, ts, zone, RepairIsNew([_AT, *order], df.columns, flag), df.schema)
 
 
-def day_changes(df: DataFrame, keys: list[str], ts: str, zone: str | None = None) -> DataFrame:
-    """First-of-day rows of a watermarked stream with `prev_day`; remembers only the last day, in arrival order."""
-    schema = T.StructType([*df.schema.fields, T.StructField("prev_day", T.DateType())])
-    return _run(df, keys, DayChanges(ts, [ts], zone), schema, ts)
-
+def day_changes(
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None,
+    keep_days: int | None = None,
+) -> DataFrame:
+    """First-of-day rows of a watermarked stream with `prev_day`; remembers only the last day, in arrival order.
 
-def returning(df: DataFrame, keys: list[str], ts: str, days: int = 7, zone: str | None = None) -> DataFrame:
-    from pyspark.sql import functions as F
+    With `keep_days` a key is forgotten that many days after the end of its last day.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField("prev_day", T.DateType())])
+    keep = None if keep_days is None else dt.timedelta(days=keep_days + 1)
+    return _run(df, keys, ts, zone, DayChanges([_AT, *order], schema.names, keep), schema)
 
-    from ..operators import state
 
-    firsts = day_changes(df, keys, ts, zone)
-    return firsts.withColumn("is_back", state.is_back(F.col(ts), F.col("prev_day"), days, zone)).drop("prev_day")
+def first_of_day(
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None
+) -> DataFrame:
+    """`operators.state.first_of_day` for a watermarked stream; a key is forgotten one day after its last day."""
+    return day_changes(df, keys, ts, order, zone, keep_days=1).drop("prev_day")
 
 
 def delta(df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str]) -> DataFrame:
-    """`operators.state.delta` for a watermarked stream. Measures must not be null."""
-    return _run(df, keys, Delta(ts, order, measures, df.schema), df.schema, ts)
+    """`operators.state.delta` for a watermarked stream, ordered by `ts` and `order`. Measures must not be null."""
+    state_type = ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in measures)
+    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type), df.schema)
