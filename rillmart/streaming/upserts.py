@@ -1,40 +1,75 @@
-"""Left joins with later correction.
+"""Order details with later correction.
 
-A bounded stream-stream left join writes each row once, after its time bound. Where the row is wanted at once and
-corrected later, `correcting_left_join` writes versions: every micro-batch re-joins just the keys it touched, and
-readers take the last version per key (`sinks.upserts.read`).
+A bounded stream-stream left join writes each line once, after its time bound. Where a line is wanted at once and
+corrected later, `order_detail_versions` writes versions: every micro-batch rebuilds just the lines it touched, and
+readers take the last version per id (`sinks.upserts.read`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans import dwd
+from ..schemas import ENVELOPE
 from ..sinks import upserts
 from . import queries
 
+_STORED = T.StructType([
+    *ENVELOPE.fields, T.StructField("row_time", T.TimestampType()), T.StructField("day", T.DateType())
+])
+_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
-def correcting_left_join(
-    envelope: DataFrame, checkpoint: str, store: str, out: str, build, key: str, key_of: dict[str, str],
-    once: bool = False,
+
+def _key(rows: DataFrame, table: str, key: str, name: str) -> DataFrame:
+    return rows.filter(F.col("table") == table).select(F.col("data")[key].alias(name))
+
+
+def _of_keys(rows: DataFrame, table: str, key: str, keys: DataFrame) -> DataFrame:
+    """Records of a table whose data key occurs in the one-column frame `keys`."""
+    found = rows.filter(F.col("table") == table)
+    return found.join(keys, F.col("data")[key] == keys[keys.columns[0]], "left_semi")
+
+
+def order_detail_versions(
+    envelope: DataFrame, checkpoint: str, store: str, out: str, keep_days: int = 7, once: bool = False,
+    database: str | None = None,
 ) -> StreamingQuery:
-    """Keep `out` up to date with `build(change records)` for the keys of each micro-batch.
+    """Keep the version log `out` up to date with `plans.dwd.order_detail`.
 
-    All change records of the tables in `key_of` (table -> its data key holding `key`) are stored below `store`,
-    partitioned by table. A micro-batch reads back the stored records of its own keys only, rebuilds them and appends
-    new versions to `out`.
+    Change records are stored by table and day. A micro-batch reads back the days from `keep_days` before its oldest
+    record on, finds the lines its records belong to, and appends those lines as they are now.
     """
-    row_key = F.coalesce(*[
-        F.when(F.col("table") == table, F.col("data")[name]) for table, name in key_of.items()
-    ])
 
     def apply(rows: DataFrame, batch: int) -> None:
-        keyed = rows.withColumn("_key", row_key).filter(F.col("_key").isNotNull())
-        upserts.append(keyed, store, batch, partition=["table"])
-        touched = keyed.select("_key").distinct()
-        kept = upserts.versions(rows.sparkSession, store, keyed.schema).filter(F.col(upserts.BATCH) <= batch)
-        affected = kept.join(touched, "_key", "left_semi").drop("_key", upserts.BATCH)
-        upserts.append(build(affected), out, batch)
+        new = rows.filter(F.col("table").isin(*_TABLES)).select(*ENVELOPE.names, "row_time")
+        dated = new.withColumn("day", F.to_date("row_time"))
+        upserts.append(dated, store, batch, partition=["table", "day"])
+        spark = rows.sparkSession
+        stored = upserts.versions(spark, store, _STORED).filter(F.col(upserts.BATCH) <= batch)
+        oldest = stored.filter(F.col(upserts.BATCH) == batch).agg(F.min("day")).first()[0]
+        if oldest is None:
+            return
+        recent = stored.filter(F.col("day") >= F.date_sub(F.lit(oldest), keep_days))
+        fresh = recent.filter(F.col(upserts.BATCH) == batch)
+
+        orders = _key(fresh, "order_info", "id", "order_id")
+        ids = (
+            _key(fresh, "order_detail", "id", "id")
+            .unionByName(_key(fresh, "order_detail_activity", "order_detail_id", "id"))
+            .unionByName(_key(fresh, "order_detail_coupon", "order_detail_id", "id"))
+            .unionByName(_of_keys(recent, "order_detail", "order_id", orders).select(F.col("data")["id"].alias("id")))
+            .distinct()
+        )
+        lines = _of_keys(recent, "order_detail", "id", ids)
+        line_orders = lines.select(F.col("data")["order_id"].alias("order_id")).distinct()
+        affected = (
+            lines.unionByName(_of_keys(recent, "order_info", "id", line_orders))
+            .unionByName(_of_keys(recent, "order_detail_activity", "order_detail_id", ids))
+            .unionByName(_of_keys(recent, "order_detail_coupon", "order_detail_id", ids))
+        )
+        upserts.append(dwd.order_detail(affected.drop("day", upserts.BATCH), database), out, batch)
 
     return queries.each_batch(envelope, checkpoint, apply, once)
