@@ -26,7 +26,7 @@ def bucket(value: Column, buckets: int) -> Column:
 def tokens(value: Column) -> Column:
     """Distinct lower-case words of a text; runs of letters or digits are words."""
     words = F.split(F.lower(value), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda word: word != ""))
+    return F.array_distinct(F.array_remove(words, ""))
 
 
 def compute_once(df: DataFrame, *kept: str | Column, **computed: Column) -> DataFrame:

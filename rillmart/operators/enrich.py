@@ -1,8 +1,9 @@
 """Dimension enrichment.
 
-Dimensions are static frames of string columns keyed by `id`. Nothing here forces a broadcast: Spark broadcasts a
+Dimensions are static frames of string columns keyed by `id`. Joins with them force no broadcast: Spark broadcasts a
 dimension whose size is below `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides, with AQE
-splitting hot fact keys. Missing dimension rows give nulls.
+splitting hot fact keys. Code tables are counted first and broadcast while they are small, because facts have few
+codes and a shuffle by code would put large shares of all rows together. Missing dimension rows give nulls.
 """
 
 from __future__ import annotations
@@ -11,6 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SMALL_ROWS = 50_000
+
+
+def small(table: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Whether a static table has at most `rows` rows; counting stops there."""
+    return table.limit(rows + 1).count() <= rows
+
+
 def dim(
     df: DataFrame, table: DataFrame, key: str, columns: dict[str, str], table_key: str = "id", how: str = "left"
 ) -> DataFrame:
@@ -24,7 +33,8 @@ def dim(
 
 def code(df: DataFrame, dic: DataFrame, key: str, out: str) -> DataFrame:
     """Translate a code column through the code table (rowkey, info.dic_name); rows with an unknown code drop."""
-    return dim(df, dic, key, {out: "info.dic_name"}, table_key="rowkey", how="inner")
+    table = F.broadcast(dic) if small(dic) else dic
+    return dim(df, table, key, {out: "info.dic_name"}, table_key="rowkey", how="inner")
 
 
 def categories(dims: dict[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, session
 from ..operators import logs
 from ..plans import dim, dwd, dws
 from . import shapes, sql
@@ -20,8 +20,9 @@ def _orders(spark, sf_dir) -> DataFrame:
     return shapes.order_info(*_tables(spark, sf_dir, "orders", "customer"))
 
 
-def _codes(spark, sf_dir) -> DataFrame:
-    return shapes.codes(*_tables(spark, sf_dir, "orders", "lineitem"))
+def _codes(spark, sf_dir, *names: str) -> DataFrame:
+    """The code table, derived from the data once."""
+    return session.settled(shapes.codes(*_tables(spark, sf_dir, *(names or ("orders", "lineitem")))))
 
 
 @query("comments", f"""
@@ -33,7 +34,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
 FROM orders JOIN dic ON rowkey = substring(o_orderpriority, 1, 1)""")
 def comments(spark, sf_dir):
     (orders,) = _tables(spark, sf_dir, "orders")
-    return dwd.comments(shapes.comment_info(orders), shapes.codes(orders), shapes.DATABASE)
+    return dwd.comments(shapes.comment_info(orders), _codes(spark, sf_dir, "orders"), shapes.DATABASE)
 
 
 @query("cart_delta", f"""
@@ -86,7 +87,7 @@ def payments(spark, sf_dir):
     """Ship dates stand in for order times, so the range is in days here."""
     (orders,) = _tables(spark, sf_dir, "orders")
     details = dwd.detail_table(_details(spark, sf_dir))
-    return dwd.payments(shapes.payment_info(orders), details, shapes.codes(orders), shapes.DATABASE,
+    return dwd.payments(shapes.payment_info(orders), details, _codes(spark, sf_dir, "orders"), shapes.DATABASE,
                         lower="30 days", upper="40 days")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..operators import reports, skew
 from ..plans import dws
 from . import shapes, sql
@@ -250,7 +251,7 @@ def shop_top(spark, sf_dir):
 @query("shop_ranked", f"""WITH {_SHOPS_CTE}
 SELECT *, row_number() OVER (PARTITION BY stt, edt ORDER BY amount DESC, shop_id) AS num FROM named""")
 def shop_ranked(spark, sf_dir):
-    return reports.ranked(_shops(spark, sf_dir), "amount")
+    return reports.ranked(session.settled(_shops(spark, sf_dir)), "amount")
 
 
 _TOP_DAY = "1998-06-10 00:00:00"
