@@ -267,12 +267,14 @@ SELECT {sql.window('1 hour', "date_trunc('second', ts)")}, '{AS_OF}' AS cur_date
 FROM events WHERE event_type = 'signup' GROUP BY ALL""")
 def register_topic(spark, sf_dir):
     """Users inserted, routed by configuration to the register topic, and counted."""
-    signups = shapes.events(spark, sf_dir).filter("event_type = 'signup'")
-    topic = shapes.union(shapes.record(
-        signups, "user_info", "insert", shapes.seconds(F.col("ts")),
+    events = shapes.events(spark, sf_dir)
+    users = shapes.union(shapes.record(
+        events.filter("event_type = 'signup'"), "user_info", "insert", shapes.seconds(F.col("ts")),
         {"id": F.col("user_id"), "create_time": shapes.date_time(F.col("ts")), "login_name": F.lit("x")}))
-    config = spark.createDataFrame([("user_info", "insert", "dwd_user_register", "id,create_time")],
-                                   schemas.FACT_CONFIG)
+    topic = users.unionByName(shapes.cart_info(events))
+    config = spark.createDataFrame(
+        [("user_info", "insert", "dwd_user_register", "id,create_time"), ("cart_info", "insert", "dwd_carts", "id")],
+        schemas.FACT_CONFIG)
     registered = dwd.base_db(topic, config).filter(F.col("sink_table") == "dwd_user_register")
     return dws.registrations(registered.select(F.col("data")["create_time"].alias("create_time")), "1 hour",
                              as_of=AS_OF)

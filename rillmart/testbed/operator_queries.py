@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import naming, times, values
 from ..operators import cdc, enrich, facts, joins, keywords, logs, reports, routing, skew, state
 from ..sinks import topics
 from . import shapes, sql
-from .detail_queries import REPAIRED, fact_config
+from .detail_queries import REPAIRED
 from .registry import query
 
 
@@ -206,24 +207,29 @@ def parse_change_records(spark, sf_dir):
     return inserted.select("table", "id", "name", "ts")
 
 
-def _prune_sql(*keys: str) -> str:
-    return f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {sorted(keys)} AS keys FROM orders"
+def _prune_sql(comment_keys: list[str], user_keys: list[str]) -> str:
+    return f"""
+SELECT 'comment_info' AS "table", CAST(o_orderkey AS VARCHAR) AS id, {sorted(comment_keys)} AS keys FROM orders
+UNION ALL SELECT 'user_info', CAST(c_custkey AS VARCHAR), {sorted(user_keys)}
+FROM customer JOIN (VALUES (1), (14)) m(step) ON c_custkey % step = 0"""
 
 
 def _pruned(spark, sf_dir, mode: str) -> DataFrame:
-    rows = shapes.comment_info(shapes.table(spark, sf_dir, "orders"))
-    config = fact_config(spark).filter("source_table = 'comment_info'").withColumn(
-        "sink_columns", F.lit("user_id,comment_txt"))
+    rows = shapes.comment_info(shapes.table(spark, sf_dir, "orders")).unionByName(
+        shapes.user_info(shapes.table(spark, sf_dir, "customer")))
+    config = spark.createDataFrame(
+        [("comment_info", "insert", "a", "user_id,comment_txt"), ("user_info", "insert", "b", "nation_id,name")],
+        schemas.FACT_CONFIG)
     matched = routing.match(rows, config, by=("table", "type")).withColumn("id", F.col("data")["id"])
-    return routing.prune(matched, mode=mode).select("id", F.sort_array(F.map_keys("data")).alias("keys"))
+    return routing.prune(matched, mode=mode).select("table", "id", F.sort_array(F.map_keys("data")).alias("keys"))
 
 
-@query("prune_exact", _prune_sql("user_id", "comment_txt"))
+@query("prune_exact", _prune_sql(["user_id", "comment_txt"], ["name"]))
 def prune_exact(spark, sf_dir):
     return _pruned(spark, sf_dir, "exact")
 
 
-@query("prune_substring", _prune_sql("id", "user_id", "comment_txt"))
+@query("prune_substring", _prune_sql(["id", "user_id", "comment_txt"], ["id", "name", "nation"]))
 def prune_substring(spark, sf_dir):
     return _pruned(spark, sf_dir, "substring")
 

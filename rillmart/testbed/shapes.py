@@ -149,7 +149,8 @@ def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def line_id() -> Column:
-    return F.concat_ws("-", *[text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    parts = [text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return F.concat_ws("-", *parts, F.date_format("l_shipdate", "yyyyMMdd"))
 
 
 def line_amounts() -> dict[str, Column]:

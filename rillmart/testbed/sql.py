@@ -33,7 +33,8 @@ PAGES = EVENTS + """, pg AS (
   FROM ev
 )"""
 
-LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+LINE_ID = ("l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || "
+           "strftime(l_shipdate, '%Y%m%d')")
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 _DISCOUNT = "CAST(l_discount AS DECIMAL(4,2))"
 _TAX = "CAST(l_tax AS DECIMAL(4,2))"

@@ -254,7 +254,7 @@ def shop_ranked(spark, sf_dir):
     return reports.ranked(session.settled(_shops(spark, sf_dir)), "amount")
 
 
-_TOP_DAY = "1998-06-10 00:00:00"
+_TOP_DAY = "1999-08-19 00:00:00"
 
 
 @query("shop_top_of_window", f"""WITH {_SHOPS_CTE}
