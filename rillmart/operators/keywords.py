@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values
@@ -29,3 +29,11 @@ def explode(
     """
     words = values.tokens if tokenizer is None else tokenizer
     return df.withColumn(out, F.explode(F.array_distinct(words(F.col(column)))))
+
+
+def register(spark: SparkSession, name: str = "kw_split") -> None:
+    """The splitter as a table function for SQL: `FROM t, LATERAL kw_split(t.item)` gives a row per distinct word."""
+    spark.sql(rf"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (keyword STRING)
+        RETURN SELECT explode(array_distinct(array_remove(split(lower(text), r'[^\p{{L}}\p{{N}}]+'), '')))
+    """)

@@ -26,6 +26,7 @@ class Heavy:
     """Keys (by hash) with more rows than one task should hold, and how many tasks each needs."""
 
     parts: dict[int, int]
+    limit: int = ROWS_PER_TASK
 
     def __bool__(self) -> bool:
         return bool(self.parts)
@@ -70,7 +71,7 @@ def heavy_from_counts(counts: DataFrame, keys: list[str], count: str, limit: int
         .collect()
     )
     size = max(limit, sum(row["n"] for row in largest) // MAX_HEAVY_KEYS)
-    return Heavy({row[_HASH]: math.ceil(row["n"] / size) for row in largest if row["n"] > size})
+    return Heavy({row[_HASH]: math.ceil(row["n"] / size) for row in largest if row["n"] > size}, size)
 
 
 def join(
@@ -132,28 +133,60 @@ def _cut_points(df: DataFrame, keys: list[str], first: str, heavy: Heavy) -> Dat
     return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
+_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _chunked(df: DataFrame, keys: list[str], order: list[str], heavy: Heavy) -> DataFrame:
+    """Add `_key_hash` and `_chunk`: consecutive ranges of a heavy key's rows, one range for all other keys.
+
+    Ranges follow the first order column. Where one of its values alone is too much, that value becomes the upper end
+    of its range, and its rows are cut further by the second order column.
+    """
+    rows = df.withColumn(_HASH, F.xxhash64(*keys))
+    cuts = _cut_points(df, keys, order[0], heavy)
+    sub_chunk, tied = F.lit(0), Heavy({})
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, _CUTTABLE):
+        hot_rows = rows.filter(F.col(_HASH).isin(list(heavy.parts)))
+        group = [*keys, order[0]]
+        counts = hot_rows.groupBy(_HASH, *group).count()
+        tied = heavy_from_counts(counts.drop(_HASH), group, "count", heavy.limit)
+    if tied:
+        ends = (
+            counts.filter(F.xxhash64(*group).isin(list(tied.parts)))
+            .groupBy(_HASH)
+            .agg(F.collect_set(order[0]).alias("ends"))
+        )
+        with_ends = cuts.join(ends, _HASH, "left").select(
+            _HASH, F.array_distinct(F.concat("cuts", F.coalesce("ends", F.array()))).alias("cuts"))
+        cuts = df.sparkSession.createDataFrame(with_ends.collect(), cuts.schema)
+        inner = _cut_points(df, group, order[1], tied).withColumnsRenamed({_HASH: "_group_hash", "cuts": "_inner"})
+        rows = rows.withColumn("_group_hash", F.xxhash64(*group)).join(inner, "_group_hash", "left")
+        passed = F.size(F.filter("_inner", lambda cut: cut < F.col(order[1])))
+        sub_chunk = F.when(F.col("_inner").isNotNull(), passed + 1).otherwise(F.lit(0))
+    below = F.size(F.filter("cuts", lambda cut: cut < F.col(order[0])))
+    chunk = F.when(F.col("cuts").isNotNull(), below).otherwise(F.lit(0))
+    return (
+        rows.join(cuts, _HASH, "left")
+        .withColumn(_CHUNK, F.struct(chunk.alias("range"), sub_chunk.alias("part")))
+        .drop("cuts", "_inner", "_group_hash")
+    )
+
+
 def with_previous(
     df: DataFrame, keys: list[str], order: list[str], columns: list[str], heavy: Heavy | None = None
 ) -> DataFrame:
     """Add struct `_prev` holding `columns` of the previous row of the same key.
 
-    `order` must be total within a key. Rows of a heavy key are cut into consecutive chunks by the first order
-    column (number, date or timestamp); the last row of each chunk is handed to the next one, so a chunk never needs
-    more than its own rows.
+    `order` must be total within a key and start with a number, date or timestamp. Rows of a heavy key are cut into
+    consecutive chunks; the last row of each chunk is handed to the next one, so a chunk never needs more than its own
+    rows.
     """
     previous = F.lag(F.struct(*columns))
     heavy = heavy_keys(df, keys) if heavy is None else heavy
     if not heavy:
         return df.withColumn("_prev", previous.over(Window.partitionBy(*keys).orderBy(*order)))
 
-    cuts = _cut_points(df, keys, order[0], heavy)
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col(order[0])))
-    chunked = (
-        df.withColumn(_HASH, F.xxhash64(*keys))
-        .join(cuts, _HASH, "left")
-        .withColumn(_CHUNK, F.when(F.col("cuts").isNotNull(), below).otherwise(F.lit(0)))
-        .drop("cuts")
-    )
+    chunked = _chunked(df, keys, order, heavy)
     carried = list(dict.fromkeys([*order, *columns]))
     lasts = (
         chunked.filter(F.col(_HASH).isin(list(heavy.parts)))

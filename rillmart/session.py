@@ -6,6 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # Runtime re-planning: partition coalescing, broadcast by measured size, splitting of skewed join partitions.
@@ -13,8 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Streaming state lives in RocksDB: it spills to disk and checkpoints changelogs instead of full snapshots.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -29,6 +31,12 @@ def build(app: str = "rillmart", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def prepare_streams(spark: SparkSession) -> None:
+    """Use RocksDB for streaming state in sessions built elsewhere; keyed custom state needs it."""
+    if not spark.conf.get(STATE_STORE).endswith("RocksDBStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the cluster's `spark.checkpoint.dir`, the folder all executors and drivers see."""
     root = spark.conf.get("spark.checkpoint.dir", None)

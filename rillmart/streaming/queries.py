@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from .. import session
+
 TRIGGER = "5 seconds"
 
 
 def writer(df: DataFrame, checkpoint: str, once: bool = False, trigger: str = TRIGGER, mode: str = "append"
            ) -> DataStreamWriter:
     """A stream writer with its checkpoint. `once` reads what is there and stops, otherwise batches run on `trigger`."""
+    session.prepare_streams(df.sparkSession)
     started = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return started.trigger(availableNow=True) if once else started.trigger(processingTime=trigger)
 

@@ -106,6 +106,20 @@ def stream_province_orders(spark, sf_dir):
     return _appended(spark, dws.province_orders(details, provinces, _DAY, as_of=AS_OF))
 
 
+@query("stream_refunds", _closed(QUERIES["refund_by_brand_type_user"].sql,
+                                "max(l_shipdate) FROM lineitem WHERE l_returnflag = 'R'"))
+def stream_refunds(spark, sf_dir):
+    returned = shapes.returned_lines(stream(spark, sf_dir, "lineitem"))
+    return _appended(spark, dws.refunds(returned, shapes.dims(shapes.table(spark, sf_dir, "part")), _DAY, as_of=AS_OF))
+
+
+@query("stream_home_detail", _closed(
+    QUERIES["home_detail_uv"].sql,
+    "max(et) FROM (WITH " + sql.PAGES + " SELECT et FROM pg WHERE page_id IN ('home', 'good_detail'))"))
+def stream_home_detail(spark, sf_dir):
+    return _appended(spark, dws.home_detail(_pages(spark, sf_dir), "1 hour", as_of=AS_OF))
+
+
 @query("stream_is_new_repair", f"WITH {REPAIRED} SELECT mid, ts, is_new FROM fixed")
 def stream_is_new_repair(spark, sf_dir):
     rows = _pages(spark, sf_dir).select("mid", "ts", "is_new").withColumn("et", F.timestamp_millis("ts"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import session
-from ..operators import reports, skew
+from ..operators import keywords, reports, skew
 from ..plans import dws
 from . import shapes, sql
 from .registry import AS_OF, query
@@ -139,6 +139,24 @@ def keyword_count(spark, sf_dir):
     return dws.keyword_count(_pages(spark, sf_dir), _HOUR, as_of=AS_OF)
 
 
+@query("keyword_count_sql", f"""
+WITH {sql.PAGES}, words AS (
+  SELECT et, {_TOKENS.format('item')} AS keyword
+  FROM pg WHERE last_page_id IN ('search', 'home') AND item_type = 'keyword' AND item IS NOT NULL
+)
+SELECT strftime(time_bucket(INTERVAL '1 hour', et), '{sql.STAMP}') AS window_start, keyword, count(*) AS keyword_count
+FROM words WHERE keyword <> '' GROUP BY ALL""")
+def keyword_count_sql(spark, sf_dir):
+    """The same as plain SQL with the registered table function and a window."""
+    keywords.register(spark)
+    keywords.searches(_pages(spark, sf_dir)).createOrReplaceTempView("searched")
+    return spark.sql("""
+        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS window_start, keyword, count(*) AS keyword_count
+        FROM (SELECT timestamp_millis(ts) AS et, item FROM searched), LATERAL kw_split(item)
+        GROUP BY window(et, '1 hour'), keyword
+    """)
+
+
 @query("keyword_count_texts", f"""
 WITH words AS (
   SELECT make_timestamp(doc_id * 60000000) AS et, {_TOKENS.format('text')} AS keyword

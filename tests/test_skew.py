@@ -67,3 +67,53 @@ def test_previous_row_with_many_ties(facts, rows):
     got = skew.with_previous(facts, ["k"], ["v", "n"], ["n"], heavy).select("n", F.col("_prev.n").alias("p"))
     wanted = facts.withColumn("p", F.lag("n").over(Window.partitionBy("k").orderBy("v", "n")))
     assert rows(got, "n", "p") == rows(wanted, "n", "p")
+
+
+@pytest.mark.parametrize("limit", [20, 70])
+def test_previous_row_where_one_instant_holds_most_rows(spark, rows, limit):
+    """Two values of the first order column hold nearly all rows of the heavy key; the second column cuts them."""
+    rng = random.Random(9)
+    data = [(0 if n % 3 else n % 5, rng.choice([1, 5, 5, 5, 5, 7, 7, 7, rng.randint(0, 9)]), n) for n in range(700)]
+    df = spark.createDataFrame(data, "k int, t int, n int")
+    heavy = skew.heavy_keys(df, ["k"], limit)
+    got = skew.with_previous(df, ["k"], ["t", "n"], ["n"], heavy).select("n", F.col("_prev.n").alias("p"))
+    wanted = df.withColumn("p", F.lag("n").over(Window.partitionBy("k").orderBy("t", "n")))
+    assert rows(got, "n", "p") == rows(wanted, "n", "p")
+    chunks = skew._chunked(df, ["k"], ["t", "n"], heavy).groupBy("k", "_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 2 * limit
+
+
+def test_a_hot_order_is_split_by_the_engine(spark):
+    """One order with a third of all lines: the detail join is split where both sides are plain exchanges."""
+    from rillmart.operators import cdc
+    from rillmart.plans import dwd
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "20",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(0, 20_000, 1, 8)
+        order = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500)
+
+        def record(rows, table, data):
+            columns = F.create_map(*[part for k, v in data.items() for part in (F.lit(k), v.cast("string"))])
+            return rows.select(F.lit("shop").alias("database"), F.lit(table).alias("table"), F.lit("insert").alias("type"),
+                               F.lit(5).cast("long").alias("ts"), columns.alias("data"),
+                               F.lit(None).cast("map<string,string>").alias("old"))
+
+        lines = record(ids, "order_detail", {"id": F.col("id"), "order_id": order, "sku_id": F.sha2(F.col("id").cast("string"), 256)})
+        orders = record(spark.range(500), "order_info", {"id": F.col("id"), "user_id": F.col("id")})
+        df = dwd.order_detail(cdc.with_row_time(lines.unionByName(orders)), "shop")
+        assert df.count() == 20_000
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
