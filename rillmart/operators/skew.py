@@ -81,12 +81,14 @@ def join(
     how: str = "inner",
     spread: list[str] | None = None,
     heavy: Heavy | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Equi-join for a left side with heavy keys, where AQE cannot split it (a side already partitioned by the key).
 
     Rows of a heavy key are spread over several tasks by a hash of `spread` (a row id; all columns by default) and
     the matching right rows are repeated once per task. Other keys go through unchanged. `how` is inner, left,
-    left_semi or left_anti.
+    left_semi or left_anti. With `copies` exact copies of a row are spread too, by their position: only for a left side
+    read straight from storage, whose rows come in the same order when a task runs again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a split join cannot be {how}")
@@ -94,7 +96,7 @@ def join(
     if not heavy:
         return left.join(right, on, how)
     parts = heavy.frame(left)
-    row_hash = F.xxhash64(*(spread or left.columns))
+    row_hash = F.xxhash64(*(spread or left.columns), *([F.monotonically_increasing_id()] if copies else []))
     salted_left = (
         left.withColumn(_HASH, F.xxhash64(*on))
         .join(parts, _HASH, "left")

@@ -112,13 +112,14 @@ def repair_is_new(
     zone: str | None = None,
     heavy: skew.Heavy | None = None,
     facts_from: DataFrame | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Correct the new-visitor flag of each row from the visitor's history, in time order.
 
     A visitor who has shown up as old ('0') stays old. A visitor first seen as new ('1') on one day is old on later
     days. So two facts per visitor decide every row: the time of the first '0' and the day of the first '1'. They are
     aggregated before the shuffle, written to the checkpoint folder, and joined back with heavy visitors split. `facts_from` may give
-    the same rows in a form that is cheaper to read for the two facts.
+    the same rows in a form that is cheaper to read for the two facts; `copies` is that of `skew.join`.
     """
     if df.isStreaming:
         return history.repair_is_new(df, [key], ts, flag, order, zone)
@@ -134,5 +135,5 @@ def repair_is_new(
     heavy = skew.heavy_from_counts(facts, [key], "_rows") if heavy is None else heavy
     known_old = (F.col("_first_old") < moment) | (F.col("_first_new_day") < day)
     fixed = F.when((F.col(flag) == "1") & known_old, F.lit("0")).otherwise(F.col(flag))
-    joined = skew.join(df, facts.drop("_rows"), [key], "left", spread=[ts, *order], heavy=heavy)
+    joined = skew.join(df, facts.drop("_rows"), [key], "left", [ts, *order], heavy, copies)
     return joined.withColumn(flag, fixed).select(df.columns)

@@ -32,13 +32,16 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, bound: str
 
 
 def base_log(messages: DataFrame, zone: str | None = None) -> DataFrame:
-    """Log split with repaired new-visitor flags: rows (mid, ts, et, stream, value)."""
+    """Log split with repaired new-visitor flags: rows (mid, ts, et, stream, value).
+
+    Batch messages must come straight from storage, where logs may hold any number of copies of one record.
+    """
     parsed = logs.parse(messages)
     if messages.isStreaming:
         parsed, heads = parsed.withWatermark("et", LOG_DELAY), None
     else:
         heads = logs.heads(messages)
-    repaired = state.repair_is_new(parsed, "mid", "et", "is_new", ("tie",), zone, facts_from=heads)
+    repaired = state.repair_is_new(parsed, "mid", "et", "is_new", ("tie",), zone, facts_from=heads, copies=True)
     return logs.tagged(logs.with_flag(repaired))
 
 

@@ -45,7 +45,8 @@ def traffic(
     """Visitors, sessions, views and time on page by version, channel, area and new-visitor flag.
 
     A visitor counts on the first view of the day, a session on its first view; both are found apart from the
-    views, so a hot visitor only ever costs a per-task group limit.
+    views, so a hot visitor only ever costs a per-task group limit. `pages` is read three times: in batch give a table
+    rather than messages still to be parsed.
     """
     by = ["vc", "ch", "ar", "is_new"]
     views = windows.watermarked(logs.page_views(pages).select("mid", "sid", *by, "during_time", "et"), "et", delay)
@@ -131,8 +132,14 @@ def order_users(
 
 def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: list[str], heavy: skew.Heavy | None
              ) -> DataFrame:
-    """Measures of line versions as changes. Lines with very many versions are looked for in `details` itself."""
+    """Measures of line versions as changes. Lines with very many versions are looked for in `details` itself.
+
+    Copies of one version change nothing; those of heavy lines are dropped before the look-back.
+    """
     heavy = skew.heavy_keys(details, ["id"]) if heavy is None else heavy
+    if heavy:
+        is_heavy = F.xxhash64("id").isin(list(heavy.parts))
+        rows = rows.filter(~is_heavy).unionByName(rows.filter(is_heavy).dropDuplicates())
     return state.delta(rows, ["id"], order, measures, heavy)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas, session
+from ..functions import values
 from ..operators import logs
 from ..plans import dim, dwd, dws
 from . import shapes, sql
@@ -158,16 +159,15 @@ def log_split(spark, sf_dir):
 
 def split_fields(out: DataFrame) -> DataFrame:
     """Fields of the split messages that tell whether each record went where it should."""
-    def field(path: str, stream: str | None = None):
-        value = F.get_json_object("value", path)
-        return value if stream is None else F.when(F.col("stream") == stream, value)
-
-    return out.select(
-        "stream", field("$.common.mid").alias("mid"), field("$.common.is_new").alias("is_new"),
-        field("$.page.page_id").alias("page_id"), field("$.start.entry").alias("entry"),
-        field("$.err.error_code").alias("error_code"), field("$.item", "display").alias("display_item"),
-        field("$.item", "action").alias("action_item"), field("$.ts").cast("bigint").alias("ts"),
-    )
+    schema = ("common struct<mid:string,is_new:string>, page struct<page_id:string>, start struct<entry:string>, "
+              "err struct<error_code:string>, item string, ts bigint")
+    parsed = values.compute_once(out, "stream", m=F.from_json("value", schema))
+
+    def item(stream: str):
+        return F.when(F.col("stream") == stream, F.col("m.item")).alias(f"{stream}_item")
+
+    return parsed.select("stream", "m.common.*", "m.page.page_id", "m.start.entry", "m.err.error_code", item("display"),
+                         item("action"), "m.ts")
 
 
 @query("log_split_counts", f"""
@@ -195,7 +195,7 @@ FROM marked GROUP BY ALL""")
 def traffic_from_messages(spark, sf_dir):
     """Raw JSON logs, split, the page stream parsed again and summarised."""
     parsed = logs.parse(shapes.log_messages(shapes.events(spark, sf_dir)))
-    return dws.traffic(logs.pages(logs.split(parsed)["page"]), "1 day", as_of=AS_OF)
+    return dws.traffic(session.settled(logs.pages(logs.split(parsed)["page"])), "1 day", as_of=AS_OF)
 
 
 # -- routing ---------------------------------------------------------------------------------------------------------

@@ -53,7 +53,7 @@ def test_repair_is_new_against_a_walk(spark, rows, limit):
     records = skewed(1)
     df = spark.createDataFrame(records, "mid string, ts timestamp, is_new string, id int")
     heavy = skew.heavy_keys(df, ["mid"], limit) if limit else None
-    fixed = state.repair_is_new(df, "mid", "ts", "is_new", ("id",), heavy=heavy)
+    fixed = state.repair_is_new(df, "mid", "ts", "is_new", ("id",), heavy=heavy, copies=True)
     assert rows(fixed, "id", "is_new") == walk_is_new(records)
 
 
