@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_UNITS = {"millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
-
-
-def seconds(interval: str) -> float:
-    """Length of an interval text such as '15 seconds' or '-1 hour'."""
-    amount, unit = re.fullmatch(r"\s*(-?\d+)\s+(\w+?)s?\s*", interval).groups()
-    return int(amount) * _UNITS[unit]
-
+from ..functions import times
 
 def interval(
     left: DataFrame, right: DataFrame, on: list[str], lt: str, rt: str, lower: str, upper: str, how: str = "inner"
@@ -38,7 +29,7 @@ def interval(
     if how != "inner":
         raise ValueError("a batch range join is an inner join")
 
-    width = max(int(seconds(lower) + seconds(upper)), 1)
+    width = max(int(times.seconds(lower) + times.seconds(upper)), 1)
 
     def bucket(ts):
         return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(width * 1_000_000)).cast("bigint")

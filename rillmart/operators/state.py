@@ -86,20 +86,26 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def delta(
-    df: DataFrame, keys: list[str], order: list[str], measures: list[str], heavy: skew.Heavy | None = None
+    df: DataFrame, keys: list[str], order: list[str], measures: list[str], heavy: skew.Heavy | None = None,
+    ttl: str | None = None,
 ) -> DataFrame:
     """Replace each measure by its change since the key's previous version; the first version counts in full.
 
-    In a stream `order` starts with the watermarked event time and measures must not be null.
+    With `ttl` (such as '30 seconds') so does a version later than that after the previous one; `order` then starts with
+    the event time. In a stream it always does, watermarked, and measures must not be null.
     """
     if df.isStreaming:
-        return history.delta(df, keys, order[0], order[1:], measures)
-    seen = skew.with_previous(df, keys, order, measures, heavy)
+        return history.delta(df, keys, order[0], order[1:], measures, ttl)
+    looked_at = list(dict.fromkeys([*measures, *([order[0]] if ttl else [])]))
+    seen = skew.with_previous(df, keys, order, looked_at, heavy)
+    known = F.lit(True)
+    if ttl:
+        known = F.col(order[0]) <= F.col("_prev")[order[0]] + F.expr(f"INTERVAL {ttl}")
     for name in measures:
         kind = df.schema[name].dataType
         zero = F.lit(0).cast(kind)
-        change = F.coalesce(F.col(name), zero) - F.coalesce(F.col("_prev")[name], zero)
-        seen = seen.withColumn(f"_d_{name}", change.cast(kind))
+        before = F.coalesce(F.when(known, F.col("_prev")[name]), zero)
+        seen = seen.withColumn(f"_d_{name}", (F.coalesce(F.col(name), zero) - before).cast(kind))
     return seen.drop("_prev", *measures).withColumnsRenamed({f"_d_{m}": m for m in measures}).select(df.columns)
 
 

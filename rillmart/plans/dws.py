@@ -130,8 +130,8 @@ def order_users(
     return _unique_and_new(orders, size, delay, as_of, zone, "order_unique_user_count", "order_new_user_count")
 
 
-def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: list[str], heavy: skew.Heavy | None
-             ) -> DataFrame:
+def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: list[str], heavy: skew.Heavy | None,
+             ttl: str | None) -> DataFrame:
     """Measures of line versions as changes. Lines with very many versions are looked for in `details` itself.
 
     Copies of one version change nothing; those of heavy lines are dropped before the look-back.
@@ -140,12 +140,13 @@ def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: li
     if heavy:
         is_heavy = F.xxhash64("id").isin(list(heavy.parts))
         rows = rows.filter(~is_heavy).unionByName(rows.filter(is_heavy).dropDuplicates())
-    return state.delta(rows, ["id"], order, measures, heavy)
+    return state.delta(rows, ["id"], order, measures, heavy, ttl)
 
 
 def sku_orders(
     details: DataFrame, dims: dict[str, DataFrame], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
     zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
+    ttl: str | None = None,
 ) -> DataFrame:
     """Order amounts per sku from the order-detail version log.
 
@@ -163,7 +164,7 @@ def sku_orders(
         "id", "sku_id", "sku_name", "et", *extra, *[amount.cast(MONEY).alias(n) for n, amount in amounts.items()]
     )
     rows = windows.watermarked(rows, "et", delay)
-    changed = _changes(details, rows, [*order, "sku_id", *amounts], list(amounts), heavy)
+    changed = _changes(details, rows, [*order, "sku_id", *amounts], list(amounts), heavy, ttl)
     summed = windows.tumble(
         changed, "et", size, ["sku_id"],
         # The line name is kept from the first record of the window.
@@ -181,6 +182,7 @@ def sku_orders(
 def province_orders(
     details: DataFrame, provinces: DataFrame, size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
     zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
+    ttl: str | None = None,
 ) -> DataFrame:
     """Orders and order amount per province from the order-detail version log."""
     extra = [name for name in order if name != "et"]
@@ -189,7 +191,7 @@ def province_orders(
         values.money(F.col("split_total_amount")).alias("order_amount"),
     )
     rows = windows.watermarked(rows, "et", delay)
-    changed = _changes(details, rows, [*order, "province_id", "order_amount"], ["order_amount"], heavy)
+    changed = _changes(details, rows, [*order, "province_id", "order_amount"], ["order_amount"], heavy, ttl)
     summed = windows.tumble_distinct(
         changed, "et", size, ["province_id"], "order_id", "order_count", ("order_amount",), None, as_of, zone
     )

@@ -95,16 +95,21 @@ class DayChanges(_Ordered):
 
 
 class Delta(_Ordered):
-    """Measures replaced by their change. State: the last value of each measure."""
+    """Measures replaced by their change. State: the time and measures of the last version."""
 
-    def __init__(self, order: list[str], out: list[str], measures: list[str], state_type: str):
-        super().__init__(order, state_type, out)
+    def __init__(self, order: list[str], out: list[str], measures: list[str], state_type: str,
+                 keep: dt.timedelta | None):
+        super().__init__(order, f"at bigint, {state_type}", out, keep)
         self.measures = measures
 
+    def _expiry(self, last):
+        return last[0] // 1000 + int(self.keep.total_seconds() * 1000)
+
     def step(self, row, last):
         values = tuple(row[name] for name in self.measures)
-        before = dict(zip(self.measures, last or [0] * len(values)))
-        return [row[name] - before[name] if name in before else row[name] for name in self.out], values
+        known = last is not None and (self.keep is None or (row[_AT] - last[0]) / 1e6 <= self.keep.total_seconds())
+        before = dict(zip(self.measures, last[1:] if known else [0] * len(values)))
+        return [row[name] - before[name] if name in before else row[name] for name in self.out], (row[_AT], *values)
 
 
 def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType
@@ -147,7 +152,13 @@ def first_of_day(
     return day_changes(df, keys, ts, order, zone, keep_days=1).drop("prev_day")
 
 
-def delta(df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str]) -> DataFrame:
-    """`operators.state.delta` for a watermarked stream, ordered by `ts` and `order`. Measures must not be null."""
+def delta(
+    df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str], ttl: str | None = None
+) -> DataFrame:
+    """`operators.state.delta` for a watermarked stream, ordered by `ts` and `order`. Measures must not be null.
+
+    With `ttl` a key is forgotten once the watermark is that far past its last version.
+    """
     state_type = ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in measures)
-    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type), df.schema)
+    keep = None if ttl is None else dt.timedelta(seconds=times.seconds(ttl))
+    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type, keep), df.schema)

@@ -104,7 +104,7 @@ def test_range_join_against_all_pairs(spark):
 
 
 def test_interval_lengths():
-    assert [joins.seconds(t) for t in ("15 seconds", "1 hour", "2 days", "500 milliseconds")] == [15, 3600, 172800, 0.5]
+    assert [times.seconds(t) for t in ("15 seconds", "1 hour", "2 days", "500 milliseconds")] == [15, 3600, 172800, 0.5]
 
 
 def test_reports(spark, rows):

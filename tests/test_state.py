@@ -141,3 +141,23 @@ def test_first_of_day_in_a_stream_forgets_old_keys(spark, rows, feed, tmp_path):
         "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("k", F.dayofmonth("ts"), F.hour("ts"))
     assert rows(got) == [("u", 1, 9), ("u", 10, 12), ("v", 9, 12), ("w", 9, 12)]
+
+
+def test_delta_with_a_life_time_is_the_same_in_batch_and_stream(spark, rows, feed, tmp_path):
+    """A version more than 30 seconds after the one before counts in full."""
+    from decimal import Decimal as D
+
+    def batch(*records):
+        return spark.createDataFrame([(k, at(1) + dt.timedelta(seconds=s), D(v)) for k, s, v in records],
+                                     "id string, ts timestamp, v decimal(20,2)")
+
+    parts = [batch(("x", 0, 100), ("x", 30, 130), ("x", 61, 131)), batch(("x", 70, 140), ("y", 200, 1)),
+             batch(("x", 201, 9), ("y", 205, 4))]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    expected = rows(state.delta(whole, ["id"], ["ts"], ["v"], ttl="30 seconds"))
+    assert [int(r[2]) for r in expected] == [100, 30, 131, 9, 9, 1, 3]
+    df = feed("versions", *parts).withWatermark("ts", "5 seconds")
+    state.delta(df, ["id"], ["ts"], ["v"], ttl="30 seconds").writeStream.format("parquet").option(
+        "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True).start().awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == expected
