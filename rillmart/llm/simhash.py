@@ -82,40 +82,53 @@ def forest(prints: np.ndarray, bits: int = BITS) -> tuple[list[int], list[int]]:
     return [int(x) for x in starts], [int(x) for x in ends]
 
 
-def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links within each posting of sorted rows (place, part, shared, print); a posting may span batches."""
-    held: list[pd.DataFrame] = []
-    key = ["place", "part", "shared"]
+def _links(key: list[str], limit: int | None):
+    """Links within each posting of rows sorted by `key`; a posting may span batches. One of more than `limit` rows is
+    only named, as a row with its place and its shared bytes."""
+    masks = np.array(_masks(), np.int64)
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        prints = rows["print"].to_numpy().view(np.uint64)
-        values = rows[key].to_numpy()
+        prints, values = rows["print"].to_numpy().view(np.uint64), rows[key].to_numpy()
         changed = (values[1:] != values[:-1]).any(axis=1)
         starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
         sizes = np.diff(np.append(starts, len(rows)))
         two = starts[sizes == 2]
         near = two[np.bitwise_count(prints[two] ^ prints[two + 1]) <= BITS]
-        a, b = prints[near].tolist(), prints[near + 1].tolist()
+        a, b, named = prints[near].tolist(), prints[near + 1].tolist(), []
         for at, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            if limit is not None and size > limit:
+                named.append(at)
+                continue
             some, more = forest(prints[at:at + size])
             a += some
             b += more
-        return pd.DataFrame({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
-
-    for batch in batches:
-        if not len(batch):
-            continue
-        first, last = batch[key].iloc[0], batch[key].iloc[-1]
-        if held and not (held[-1][key].iloc[-1] == first).all():
+        found = pd.DataFrame({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
+        heavy = pd.DataFrame({"shared": rows["shared"].to_numpy()[named], "place": rows["place"].to_numpy()[named]})
+        return pd.concat([found.assign(shared=0, place=-1), heavy.assign(a=0, b=0)])[["a", "b", "shared", "place"]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        count = 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            batch = batch.assign(shared=batch["print"].to_numpy() & masks[batch["place"].to_numpy()])
+            first, last = batch[key].iloc[0], batch[key].iloc[-1]
+            if held and not (held[-1][key].iloc[-1] == first).all():
+                yield solve(pd.concat(held))
+                held, count = [], 0
+            open_ = (batch[key] == last).all(axis=1)
+            if not open_.all():
+                yield solve(pd.concat([*held, batch[~open_]]))
+                held, count = [], 0
+            # Of a posting over the limit no more rows than show it need to be held.
+            if limit is None or count <= limit:
+                held.append(batch[open_])
+                count += int(open_.sum())
+        if held:
             yield solve(pd.concat(held))
-            held = []
-        open_ = (batch[key] == last).all(axis=1)
-        if not open_.all():
-            yield solve(pd.concat([*held, batch[~open_]]))
-            held = []
-        held.append(batch[open_])
-    if held:
-        yield solve(pd.concat(held))
+
+    return run
 
 
 def links(prints: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -123,24 +136,32 @@ def links(prints: DataFrame, heavy: int = HEAVY) -> DataFrame:
 
     At most 4 differing bits leave at least 4 of 8 bytes equal, so the inverted index holds each print under every
     set of 4 byte positions with the bytes there: a pair is tallied to the guaranteed count exactly if it meets under
-    some set. Prints that meet are verified by their distance; a posting gives links that connect it, not its pairs. Postings with
-    more than `heavy` prints are cut into parts, and every two parts meet in a task of their own, so that none grows.
+    some set. Prints that meet are verified by their distance; a posting gives links that connect it, not its pairs.
+    Postings are streamed in order. One with more than `heavy` prints is set aside, cut into parts, and every two parts
+    meet in a task of their own, so that no task grows.
     """
     ship(prints.sparkSession)
+    form = "a bigint, b bigint, shared bigint, place int"
     masks = F.array(*[F.lit(mask) for mask in _masks()])
-    postings = prints.select("print", F.posexplode(masks).alias("place", "mask")).select(
-        F.col("place").cast("short"), F.col("print").bitwiseAND(F.col("mask")).alias("shared"), "print")
-    counts = postings.groupBy("place", "shared").count().filter("count > 1")
-    counts = settled(counts.withColumn("parts", F.ceil(F.col("count") / heavy).cast("int")).drop("count"), "postings")
-    known = postings.join(counts, ["place", "shared"])
+    shared = F.col("print").bitwiseAND(F.get(masks, F.col("place")))
+    postings = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(len(_masks()) - 1))).alias("place"))
+    dealt = postings.repartition("place", shared).sortWithinPartitions("place", shared)
+    found = settled(dealt.select("place", "print").mapInPandas(_links(["place", "shared"], heavy), form), "postings")
+    light = found.filter("place < 0").select("a", "b")
+    large = found.filter("place >= 0").select("place", "shared")
+    if large.isEmpty():
+        return light
+    of_large = settled(postings.withColumn("shared", shared).join(large, ["place", "shared"]), "large-postings")
+    parts = settled(
+        of_large.groupBy("place", "shared").agg(F.ceil(2 * F.count("*") / heavy).cast("int").alias("parts")), "parts")
     own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
-    # Parts i <= j meet under the number i * parts + j; one part meets itself only under 0.
-    meets = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda other: F.least(own, other) * F.col("parts") + F.greatest(own, other)))
-    dealt = known.select("place", "shared", "print", F.explode(meets).alias("part"))
-    dealt = dealt.repartition("place", "shared", "part").sortWithinPartitions("place", "part", "shared")
-    return dealt.select("place", "part", "shared", "print").mapInPandas(_links, "a bigint, b bigint")
+    # Parts i <= j meet under the number i * parts + j.
+    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
+                        lambda other: F.least(own, other) * F.col("parts") + F.greatest(own, other))
+    cut = of_large.join(parts, ["place", "shared"]).select("place", "shared", "print", F.explode(meets).alias("part"))
+    key = ["place", "shared", "part"]
+    sorted_parts = cut.repartition(*key).sortWithinPartitions(*key)
+    return light.unionByName(sorted_parts.mapInPandas(_links(key, None), form).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
