@@ -8,11 +8,13 @@ order. Files and the index are written by the tasks that hold the rows, into one
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,14 +23,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_symbols
 from .shared import settled, ship
 
 #: The mask of the checksums and the layout of the fields.
 MASK = 0xA282EAD8
 LENGTH, CRC, HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?qB")
-CACHE = 400_000
+CACHE = 250_000
 #: White space with the word after it. Byte-level vocabularies never merge across the start of such a piece.
 PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|\s+")
+#: Letters, then signs that no rule joins to them.
+MARKED = re.compile(r"([^\W\d_]+)([.,;:!?\])]+)")
 
 
 
@@ -60,32 +65,81 @@ def read_record(content: memoryview, at: int) -> tuple[int | None, np.ndarray, i
 class ByteEncoder:
     """Ids of whole texts from a tokenizers file.
 
-    A byte-level tokenizer without normaliser splits before white space in any case, so a text is encoded piece by piece,
-    and pieces seen before are taken from a bounded cache. Other tokenizers get the whole text.
+    A byte-level tokenizer without normaliser always splits where white space follows a character, so a text is encoded
+    piece by piece, and pieces seen before are taken from a bounded cache: texts of lines and single blanks are cut with
+    str.split, others with PIECE. Other tokenizers get the whole text.
     """
 
     def __init__(self, vocabulary: str):
+        # The tasks of a machine share its cores already.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         kind = self.tokenizer.pre_tokenizer
         self.by_piece = isinstance(kind, pre_tokenizers.ByteLevel) and self.tokenizer.normalizer is None
+        self.model, self.symbols = self.tokenizer.model, byte_symbols()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.seen: dict[str, bytes] = {}
+        self.seen, self.older = {}, {}
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.by_piece:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        pieces, seen = PIECE.findall(text), self.seen
+        # A word stands for itself after a blank, after a line feed with that, and at the start with two.
+        words = []
+        for line in text.split("\n"):
+            here = line.split(" ")
+            here[0] = f"\n{here[0]}" if words else f"\n\n{here[0]}"
+            words += here
+        content = self._joined(words)
+        if content is None:
+            # PIECE keeps the white space, so each piece stands as at the start.
+            content = self._joined([f"\n\n{piece}" for piece in PIECE.findall(text)], True)
+        return np.frombuffer(content, f"<u{self.width}")
+
+    def _joined(self, words: list[str], any_end: bool = False) -> bytes | None:
+        """None if a word has no last character that ends a piece for sure."""
+        seen = self.seen
         try:
-            return np.frombuffer(b"".join([seen[piece] for piece in pieces]), f"<u{self.width}")
+            return b"".join([seen[word] for word in words])
         except KeyError:
-            if len(seen) > CACHE:
-                seen.clear()
-            new = list({piece for piece in pieces if piece not in seen})
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                seen[piece] = np.array(found.ids, f"<u{self.width}").tobytes()
-            return np.frombuffer(b"".join([seen[piece] for piece in pieces]), f"<u{self.width}")
+            for word in words:
+                if word not in seen and not self._learn(word, any_end):
+                    return None
+        content = b"".join([seen[word] for word in words])
+        if len(seen) > CACHE:
+            self.seen, self.older = {}, seen
+        return content
+
+    def _learn(self, word: str, any_end: bool) -> bool:
+        if not any_end and (word[-1:] in ("", "\n") or word[-1].isspace()):
+            return False
+        found = self.older.get(word)
+        self.seen[word] = self._encoded(word) if found is None else found
+        return True
+
+    def _encoded(self, word: str) -> bytes:
+        if word.isalpha():
+            # One word after a blank is one unit for the merges.
+            unit = word if word.isascii() else "".join([self.symbols[byte] for byte in word.encode()])
+            ids = [token.id for token in self.model.tokenize(self.symbols[32] + unit)]
+        elif (parts := MARKED.fullmatch(word)) is not None:
+            return b"".join([self._part(parts[1]), self._part(f"\n\n{parts[2]}")])
+        else:
+            piece = word[2:] if word[:2] == "\n\n" else word if word[:1] == "\n" else f" {word}"
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def _part(self, word: str) -> bytes:
+        if word not in self.seen:
+            self._learn(word, True)
+        return self.seen[word]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(vocabulary: str) -> ByteEncoder:
+    """One encoder for all tasks of a worker process."""
+    return ByteEncoder(vocabulary)
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -106,7 +160,7 @@ def write(docs: DataFrame, out: str, vocabulary: str, end: int | None, key: str
     ship(docs.sparkSession)
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, system, sink, offsets, at, tokens = ByteEncoder(vocabulary), None, None, [], 0, 0
+        encoder, system, sink, offsets, at, tokens = encoder_of(vocabulary), None, None, [], 0, 0
         tail = np.array([] if end is None else [end], np.uint32)
         width = 4 if end is not None and end >= 1 << 16 else encoder.width
         part = TaskContext.get().partitionId()
