@@ -6,6 +6,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pandas as pd
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from .shared import ship
 
-CACHE = 300_000
+#: Pieces and words kept by a worker: up to this many recent ones and as many before them.
+CACHE = 200_000
 _SPACE = regex.compile(r"\p{White_Space}+")
 
 
@@ -32,29 +34,26 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     The queue holds (rank, left place); places form a doubly linked list. An entry is stale when its left symbol is gone
     or the pair there has another rank by now, and is skipped.
     """
-    end = len(symbols)
+    end, rank_of = len(symbols), ranks.get
     after, before = list(range(1, end + 1)), list(range(-1, end - 1))
     parts: list[str | None] = list(symbols)
-
-    def rank(at: int) -> int | None:
-        right = after[at]
-        return ranks.get((parts[at], parts[right])) if right < end else None
-
-    queue = [(found, at) for at in range(end) if (found := rank(at)) is not None]
+    queue = [(rank, at) for at, rank in enumerate(map(rank_of, zip(parts, parts[1:]))) if rank is not None]
     heapify(queue)
     while queue:
-        found, at = heappop(queue)
-        if parts[at] is None or rank(at) != found:
+        rank, at = heappop(queue)
+        left, right = parts[at], after[at]
+        if left is None or right >= end or rank_of((left, parts[right])) != rank:
             continue
-        right = after[at]
-        parts[at] += parts[right]
+        left = parts[at] = left + parts[right]
         parts[right] = None
-        after[at] = after[right]
-        if after[at] < end:
-            before[after[at]] = at
-        for place in (before[at], at):
-            if place >= 0 and (found := rank(place)) is not None:
-                heappush(queue, (found, place))
+        beyond = after[at] = after[right]
+        if beyond < end:
+            before[beyond] = at
+            if (rank := rank_of((left, parts[beyond]))) is not None:
+                heappush(queue, (rank, at))
+        ahead = before[at]
+        if ahead >= 0 and (rank := rank_of((parts[ahead], left))) is not None:
+            heappush(queue, (rank, ahead))
     return [part for part in parts if part is not None]
 
 
@@ -78,7 +77,9 @@ class WordBpe:
         self.words = regex.compile(split["pattern"]["Regex"])
         self.symbols = byte_symbols()
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.seen: dict[str, tuple[int, str, str]] = {}
+        self.odd_marks = any("<" not in mark for mark in self.special)
+        self.known, self.known_before = {}, {}
+        self.seen, self.seen_before = {}, {}
 
     def word(self, word: str) -> list[int]:
         """Ids of one word; a final symbol without a vocabulary entry drops, as in the library without unknown token."""
@@ -91,9 +92,19 @@ class WordBpe:
         """Ids of text without special tokens."""
         text = unicodedata.normalize("NFC", text)
         text = text.lower() if text.isascii() else "".join(map(str.lower, text))
-        return [number for word in self.words.findall(text) for number in self.word(word)]
+        # Words of letters alone, by far the most, need no pattern.
+        words, ids = [text] if text.isalpha() else self.words.findall(text), []
+        for word in words:
+            if (found := self.known.get(word)) is None:
+                if len(self.known) > CACHE:
+                    self.known, self.known_before = {}, self.known
+                found = self.known[word] = self.known_before.get(word) or self.word(word)
+            ids += found
+        return ids
 
     def piece(self, text: str) -> list[int]:
+        if "<" not in text and not self.odd_marks:
+            return self.plain(text)
         ids, at = [], 0
         for mark in self.marks.finditer(text):
             ids += self.plain(text[at:mark.start()])
@@ -110,13 +121,12 @@ class WordBpe:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text."""
-        seen, count, numbers, names = self.seen, 0, [], []
+        count, numbers, names = 0, [], []
         for piece in _pieces(text):
-            if (known := seen.get(piece)) is None:
-                if len(seen) > CACHE:
-                    seen.clear()
-                ids = self.piece(piece)
-                known = seen[piece] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+            if (known := self.seen.get(piece)) is None:
+                if len(self.seen) > CACHE:
+                    self.seen, self.seen_before = {}, self.seen
+                known = self.seen[piece] = self.seen_before.get(piece) or self._digested(piece)
             if known[0]:
                 count += known[0]
                 numbers.append(known[1])
@@ -124,6 +134,16 @@ class WordBpe:
         return (count, hashlib.sha256(" ".join(numbers).encode()).hexdigest(),
                 hashlib.sha256(" ".join(names).encode("utf-8", "surrogatepass")).hexdigest())
 
+    def _digested(self, piece: str) -> tuple[int, str, str]:
+        ids = self.piece(piece)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+
+@lru_cache(maxsize=2)
+def bpe_of(vocabulary: str) -> WordBpe:
+    """One encoder for all tasks of a worker process."""
+    return WordBpe(vocabulary)
+
 
 def _pieces(text: str) -> list[str]:
     """Text between white space. str.split() also cuts at U+001C to U+001F, which count as characters here."""
@@ -138,7 +158,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "tok
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe(vocabulary)
+        bpe = bpe_of(vocabulary)
         for texts in batches:
             yield texts.map(lambda text: bpe.encode(text or ""))
 
@@ -151,7 +171,7 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "token_ids", out: str =
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe(vocabulary)
+        bpe = bpe_of(vocabulary)
         for rows in batches:
             yield rows.map(lambda row: bpe.decode([] if row is None else list(row)))
 
@@ -164,7 +184,7 @@ def digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "
 
     @F.pandas_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(vocabulary)
+        bpe = bpe_of(vocabulary)
         for texts in batches:
             yield pd.DataFrame([bpe.digest(text or "") for text in texts],
                                columns=["n_tokens", "ids_sha256", "decoded_sha256"])
