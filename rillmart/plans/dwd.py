@@ -89,8 +89,12 @@ def order_detail(
     return wide.select(schemas.ORDER_DETAIL)
 
 
-def detail_table(details: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """The order-detail upsert log as a table: the last version per id, with `row_time` (batch)."""
+def detail_table(details: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """The order-detail upsert log as a table: the last version per id, with `row_time` (batch).
+
+    `order` must put the versions of a line in order of arrival: all carry the `ts` of the line, so a log with
+    corrections needs an offset or batch column here.
+    """
     return state.latest(details, ["id"], list(order)).withColumn("row_time", times.from_epoch(F.col("ts"), "s"))
 
 

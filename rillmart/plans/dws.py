@@ -144,12 +144,14 @@ def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: li
 
 
 def sku_orders(
-    details: DataFrame, dims: dict[str, DataFrame], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
+    details: DataFrame, dims: dict[str, DataFrame], order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
+    zone: str | None = None, heavy: skew.Heavy | None = None,
     ttl: str | None = None,
 ) -> DataFrame:
     """Order amounts per sku from the order-detail version log.
 
+    `order` names the columns that tell the versions of a line apart in order of arrival, from "et" on: versions of one
+    second need an arrival column (offset, batch) there, or the one of the larger amount counts as the later one.
     Each version of a line counts with its change. The sums are enriched after aggregation, one row per window and
     sku.
     """
@@ -180,11 +182,11 @@ def sku_orders(
 
 
 def province_orders(
-    details: DataFrame, provinces: DataFrame, size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, order: tuple[str, ...] = ("et",), heavy: skew.Heavy | None = None,
+    details: DataFrame, provinces: DataFrame, order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
+    zone: str | None = None, heavy: skew.Heavy | None = None,
     ttl: str | None = None,
 ) -> DataFrame:
-    """Orders and order amount per province from the order-detail version log."""
+    """Orders and order amount per province from the order-detail version log; `order` as in `sku_orders`."""
     extra = [name for name in order if name != "et"]
     rows = facts.require(details, "province_id").select(
         "id", "province_id", "order_id", "et", *extra,

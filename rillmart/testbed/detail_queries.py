@@ -73,7 +73,7 @@ SELECT {_DETAIL}, {sql.moment("o_orderdate + INTERVAL '1 hour'")} AS operate_tim
        CAST(epoch(o_orderdate) AS BIGINT) + 3600 AS ts
 FROM ln JOIN od USING (order_id) WHERE o_orderstatus = 'P'""")
 def cancels(spark, sf_dir):
-    details = dwd.detail_table(_details(spark, sf_dir))
+    details = dwd.detail_table(_details(spark, sf_dir), ("ts",))
     return dwd.order_cancels(_orders(spark, sf_dir), details, shapes.DATABASE)
 
 
@@ -87,7 +87,7 @@ WHERE o_orderstatus IN ('F', 'O')
 def payments(spark, sf_dir):
     """Ship dates stand in for order times, so the range is in days here."""
     (orders,) = _tables(spark, sf_dir, "orders")
-    details = dwd.detail_table(_details(spark, sf_dir))
+    details = dwd.detail_table(_details(spark, sf_dir), ("ts",))
     return dwd.payments(shapes.payment_info(orders), details, _codes(spark, sf_dir, "orders"), shapes.DATABASE,
                         lower="30 days", upper="40 days")
 

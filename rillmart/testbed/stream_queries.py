@@ -103,7 +103,7 @@ def stream_province_orders(spark, sf_dir):
     lines = shapes.line_versions(stream(spark, sf_dir, "lineitem"))
     details = shapes.with_province(lines, shapes.table(spark, sf_dir, "orders"), shapes.table(spark, sf_dir, "customer"))
     provinces = shapes.provinces(shapes.table(spark, sf_dir, "nation"))
-    return _appended(spark, dws.province_orders(details, provinces, _DAY, as_of=AS_OF))
+    return _appended(spark, dws.province_orders(details, provinces, ("et",), _DAY, as_of=AS_OF))
 
 
 @query("stream_refunds", _closed(QUERIES["refund_by_brand_type_user"].sql,

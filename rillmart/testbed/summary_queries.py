@@ -200,7 +200,7 @@ SELECT stt, edt, '{AS_OF}' AS cur_date, {_SKU_COLUMNS}, sku_id, 'sku ' || sku_id
 FROM summed LEFT JOIN sku USING (sku_id)""")
 def sku_orders(spark, sf_dir):
     lines = shapes.line_versions(shapes.table(spark, sf_dir, "lineitem"))
-    return dws.sku_orders(lines, shapes.dims(shapes.table(spark, sf_dir, "part")), _DAY, as_of=AS_OF)
+    return dws.sku_orders(lines, shapes.dims(shapes.table(spark, sf_dir, "part")), ("et",), _DAY, as_of=AS_OF)
 
 
 PROVINCE_SQL = f"""
@@ -223,7 +223,7 @@ def province_orders(spark, sf_dir):
     details = shapes.with_province(lines, shapes.table(spark, sf_dir, "orders"), shapes.table(spark, sf_dir, "customer"))
     # Looked for before the join: the line ids come from the lines alone.
     heavy = skew.heavy_keys(lines, ["id"])
-    return dws.province_orders(details, shapes.provinces(shapes.table(spark, sf_dir, "nation")), _DAY, as_of=AS_OF,
+    return dws.province_orders(details, shapes.provinces(shapes.table(spark, sf_dir, "nation")), ("et",), _DAY, as_of=AS_OF,
                                heavy=heavy)
 
 
@@ -241,7 +241,7 @@ SELECT stt, edt, '{AS_OF}' AS cur_date, {_SKU_COLUMNS}, user_id, refund_count
 FROM counted LEFT JOIN names USING (category3_id) LEFT JOIN brands USING (trademark_id)""")
 def refund_by_brand_type_user(spark, sf_dir):
     returned = shapes.returned_lines(shapes.table(spark, sf_dir, "lineitem"))
-    return dws.refunds(returned, shapes.dims(shapes.table(spark, sf_dir, "part")), _DAY, as_of=AS_OF)
+    return dws.refunds(returned, shapes.dims(shapes.table(spark, sf_dir, "part")), ("et",), _DAY, as_of=AS_OF)
 
 
 _SHOPS_CTE = f"""shop AS (

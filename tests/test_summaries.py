@@ -3,9 +3,10 @@
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from rillmart.operators import skew
-from rillmart.plans import dws
+from rillmart.plans import dwd, dws
 
 COLUMNS = "id string, sku_id string, sku_name string, order_id string, province_id string, order_price string, " \
           "sku_num string, split_total_amount string, split_activity_amount string, split_coupon_amount string, ts long"
@@ -39,16 +40,16 @@ def dims(spark):
 def test_hot_lines_give_the_same_sums(spark, details, dims, rows, limit):
     heavy = skew.heavy_keys(details, ["id"], limit)
     assert heavy
-    plain, split = (dws.sku_orders(details, dims, as_of="2024-01-01", heavy=h) for h in (skew.Heavy({}), heavy))
+    plain, split = (dws.sku_orders(details, dims, ("et",), as_of="2024-01-01", heavy=h) for h in (skew.Heavy({}), heavy))
     assert rows(plain) == rows(split)
     provinces = spark.createDataFrame([("p", "north")], "id string, name string")
-    plain, split = (dws.province_orders(details, provinces, as_of="2024-01-01", heavy=h) for h in (skew.Heavy({}), heavy))
+    plain, split = (dws.province_orders(details, provinces, ("et",), as_of="2024-01-01", heavy=h) for h in (skew.Heavy({}), heavy))
     assert rows(plain) == rows(split)
 
 
 def test_amounts_and_missing_values(spark, dims):
     df = spark.createDataFrame([version(1, "a", 10, 0), version(1, "a", 13, 1), version(2, "", 1, 1, "")], COLUMNS)
-    row = dws.sku_orders(df, dims, as_of="2024-01-01").collect()
+    row = dws.sku_orders(df, dims, ("et",), as_of="2024-01-01").collect()
     assert len(row) == 1
     assert (row[0].original_amount, row[0].order_amount, row[0].activity_reduce_amount, row[0].coupon_reduce_amount) == (
         D("26.00"), D("13.00"), D("0.00"), D("1.00"))
@@ -67,3 +68,17 @@ def test_shops_by_stable_hash(spark, rows):
     shops = spark.createDataFrame([], "id string, name string")
     got = dws.shop_amounts(df, shops, as_of="2024-01-01").collect()
     assert [(r.amount, r.edt) for r in got] == [(D("11.00"), "2024-01-01 00:00:10")] and 1 <= int(got[0].shop_id) <= 12
+
+
+def test_a_smaller_correction_of_the_same_second_counts_by_arrival(spark):
+    rows = [("1", "9", "7", "10.00", 1_700_000_000, 0), ("1", "9", "7", "5.00", 1_700_000_000, 1)]
+    log = spark.createDataFrame(rows, "id string, province_id string, order_id string, split_total_amount string, "
+                                      "ts bigint, arrival int").withColumn("et", F.timestamp_seconds("ts"))
+    provinces = spark.createDataFrame([("9", "north")], "id string, name string")
+    row = dws.province_orders(log, provinces, ("et", "arrival"), as_of="2024-01-01").first()
+    assert str(row["order_amount"]) == "5.00" and row["order_count"] == 1
+
+
+def test_the_last_version_of_a_line_is_told_by_arrival(spark):
+    log = spark.createDataFrame([("1", "a", 5, 1), ("1", None, 5, 0)], "id string, activity_id string, ts bigint, arrival int")
+    assert dwd.detail_table(log, ("ts", "arrival")).first()["activity_id"] == "a"
