@@ -44,10 +44,13 @@ def day_changes(
 
 
 def first_ever(df: DataFrame, key: str, ts: str, order: tuple[str, ...] = (), forget: bool = False) -> DataFrame:
-    """The first row of each key. In a stream the seen keys are kept for ever, or with `forget` until the watermark
-    has passed them."""
+    """The first row of each key, in time order; ties fall to `order`.
+
+    In a watermarked stream that is the earliest row of the micro-batch in which the key first arrives, whatever the
+    order of its files. The seen keys are kept for ever, or with `forget` until the watermark has passed them.
+    """
     if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark([key]) if forget else df.dropDuplicates([key])
+        return history.first_ever(df, [key], ts, order, forget)
     return _first_by(df, [F.col(key)], [F.col(ts), *map(F.col, order)])
 
 

@@ -1,14 +1,14 @@
 """Per-key history in streams: custom state where the built-in stateful operators do not reach.
 
-First-ever needs none of this: it is `dropDuplicates` (see `operators.state`). Rows of one key and micro-batch are put
-in event-time order before they meet the state; across batches arrival order counts. A key's rows of one micro-batch
-are held in memory, so sources limit what a micro-batch reads (see `sources.messages`).
+Rows of one key and micro-batch meet the state in event-time order; across batches arrival order counts. First-ever and
+first-of-day hold one row per key and day of the micro-batch. The others hold a key's rows of one micro-batch, so
+sources limit what a micro-batch reads (see `sources.messages`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ class _Ordered(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterable[Row], timerValues) -> Iterator[Row]:
         make = Row(*self.out)
         before = last = tuple(self.state.get()) if self.state.exists() else None
-        for row in sorted(rows, key=lambda r: [(r[name] is not None, r[name]) for name in self.order]):
+        for row in sorted(self.needed(rows), key=self.place):
             values, last = self.step(row, last)
             if values is not None:
                 yield make(*values)
@@ -46,6 +46,21 @@ class _Ordered(StatefulProcessor):
             if self.keep is not None:
                 self.handle.registerTimer(self._expiry(last))
 
+    def place(self, row: Row) -> list:
+        return [(row[name] is not None, row[name]) for name in self.order]
+
+    def needed(self, rows: Iterable[Row]) -> Iterable[Row]:
+        """The rows that can change the outcome."""
+        return rows
+
+    def _firsts(self, rows: Iterable[Row], group: Callable[[Row], object]) -> Iterable[Row]:
+        found: dict[object, Row] = {}
+        for row in rows:
+            known = found.setdefault(group(row), row)
+            if known is not row and self.place(row) < self.place(known):
+                found[group(row)] = row
+        return found.values()
+
     def _expiry(self, last: tuple) -> int:
         end = dt.datetime.combine(last[0], dt.time(), dt.timezone.utc) + self.keep
         return int(end.timestamp() * 1000)
@@ -87,6 +102,10 @@ class DayChanges(_Ordered):
     def __init__(self, order: list[str], out: list[str], keep: dt.timedelta | None):
         super().__init__(order, "day date", out, keep)
 
+    def needed(self, rows):
+        # In time order days never go back, so only the first row of each day meets a change.
+        return self._firsts(rows, lambda row: row[_DAY])
+
     def step(self, row, last):
         previous = last[0] if last else None
         if row[_DAY] == previous:
@@ -94,6 +113,24 @@ class DayChanges(_Ordered):
         return [*[row[name] for name in self.out[:-1]], previous], (row[_DAY],)
 
 
+class FirstEver(_Ordered):
+    """The first row of a key. State: its time."""
+
+    def __init__(self, order: list[str], out: list[str], keep: dt.timedelta | None):
+        super().__init__(order, "at bigint", out, keep)
+
+    def needed(self, rows):
+        return self._firsts(rows, lambda row: None)
+
+    def _expiry(self, last):
+        return last[0] // 1000 + int(self.keep.total_seconds() * 1000)
+
+    def step(self, row, last):
+        if last is not None:
+            return None, last
+        return [row[name] for name in self.out], (row[_AT],)
+
+
 class Delta(_Ordered):
     """Measures replaced by their change. State: the time and measures of the last version."""
 
@@ -152,6 +189,14 @@ def first_of_day(
     return day_changes(df, keys, ts, order, zone, keep_days=1).drop("prev_day")
 
 
+def first_ever(
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), forget: bool = False
+) -> DataFrame:
+    """`operators.state.first_ever` for a watermarked stream."""
+    keep = dt.timedelta() if forget else None
+    return _run(df, keys, ts, None, FirstEver([_AT, *order], df.columns, keep), df.schema)
+
+
 def delta(
     df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str], ttl: str | None = None
 ) -> DataFrame:
