@@ -2,7 +2,7 @@
 
 Dimensions are static frames of string columns keyed by `id`. Joins with them force no broadcast: Spark broadcasts a
 dimension whose size is below `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides, with AQE
-splitting hot fact keys. Code tables are counted first and broadcast while they are small, because facts have few
+splitting hot fact keys. Code tables are measured first and broadcast while they are small, because facts have few
 codes and a shuffle by code would put large shares of all rows together. Missing dimension rows give nulls.
 """
 
@@ -13,11 +13,19 @@ from pyspark.sql import functions as F
 
 
 SMALL_ROWS = 50_000
+SMALL_BYTES = 64 << 20
 
 
-def small(table: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a static table has at most `rows` rows; counting stops there."""
-    return table.limit(rows + 1).count() <= rows
+def small(table: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """Whether a static table has at most `rows` rows and, as JSON text, `size` bytes; reading stops at the rows."""
+    length = F.octet_length(F.to_json(F.struct("*")))
+    measured = table.limit(rows + 1).agg(F.count("*").alias("rows"), F.sum(length).alias("bytes")).first()
+    return measured["rows"] <= rows and (measured["bytes"] or 0) <= size
+
+
+def ready(table: DataFrame) -> DataFrame:
+    """A static lookup table marked for broadcasting if it is small; otherwise a plain one, whose join AQE may split."""
+    return F.broadcast(table) if small(table) else table
 
 
 def dim(
@@ -33,8 +41,7 @@ def dim(
 
 def code(df: DataFrame, dic: DataFrame, key: str, out: str) -> DataFrame:
     """Translate a code column through the code table (rowkey, info.dic_name); rows with an unknown code drop."""
-    table = F.broadcast(dic) if small(dic) else dic
-    return dim(df, table, key, {out: "info.dic_name"}, table_key="rowkey", how="inner")
+    return dim(df, ready(dic), key, {out: "info.dic_name"}, table_key="rowkey", how="inner")
 
 
 def categories(dims: dict[str, DataFrame]) -> DataFrame:

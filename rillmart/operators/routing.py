@@ -1,7 +1,8 @@
 """Routing by a configuration table: which source rows go to which sink table with which columns.
 
-Configuration holds one row per routed table. Joins carry no broadcast hint: Spark broadcasts it while its size is
-below `spark.sql.autoBroadcastJoinThreshold` and shuffles it beyond.
+Configuration holds one row per routed table. It is measured once per join and broadcast while it is small: records
+have few table names, and a shuffle by name would put most of them into a few tasks. Beyond that size the join is a
+plain one over two exchanges, whose hot names AQE splits.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import state
+from . import enrich, state
 
 
 def normal_type(kind: Column) -> Column:
@@ -47,7 +48,7 @@ def latest_config(
 def match(rows: DataFrame, config: DataFrame, by: tuple[str, ...] = ("table",)) -> DataFrame:
     """Rows with their configuration row; rows without one drop. `by` is ('table',) or ('table', 'type')."""
     matched = rows.alias("r").join(
-        config.alias("c"),
+        enrich.ready(config).alias("c"),
         on=[
             (normal_type(F.col("r.type")) if name == "type" else F.col(f"r.{name}")) == F.col(f"c.source_{name}")
             for name in by
