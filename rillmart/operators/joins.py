@@ -12,9 +12,10 @@ def interval(
 ) -> DataFrame:
     """Pairs with equal `on` and `lt - lower <= rt <= lt + upper`.
 
-    In batch the time axis is cut into buckets as long as the range; a left row meets only the two or three buckets
-    its range touches, so a key with a long history never pairs its whole past with its whole future. In a stream
-    both sides need a watermark, which together with the range bounds the state.
+    In batch the time axis is cut into buckets as long as the range; a right row meets only the two or three buckets
+    its range touches, so a key with a long history never pairs its whole past with its whole future. Right rows are
+    repeated for that: give the narrow side there. In a stream both sides need a watermark, which together with the range
+    bounds the state.
     """
     low, high = F.expr(f"INTERVAL {lower}"), F.expr(f"INTERVAL {upper}")
     shared = {name: f"_r_{name}" for name in on}
@@ -34,10 +35,10 @@ def interval(
     def bucket(ts):
         return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(width * 1_000_000)).cast("bigint")
 
-    left = left.withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(lt) - low), bucket(F.col(lt) + high)))
+    left = left.withColumn("_bucket", bucket(F.col(lt)))
+    right = right.withColumn(
+        "_r_bucket", F.explode(F.sequence(bucket(F.col(rt) - high), bucket(F.col(rt) + low)))
     )
-    right = right.withColumn("_r_bucket", bucket(F.col(rt)))
     condition = (F.col("_bucket") == F.col("_r_bucket")) & in_range
     for part in same_key:
         condition = condition & part

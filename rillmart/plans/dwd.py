@@ -1,7 +1,8 @@
 """Detail tables from change records and logs. Every function takes batch or streaming frames unless noted.
 
-An envelope frame has columns database, table, type, ts (seconds), data, old, row_time. In a stream its joins need
-`bound`, the longest time between the joined records.
+An envelope frame has columns database, table, type, ts (seconds), data, old, row_time. In a stream its joins may be
+given `bound`, the longest time between the joined records. Without it inner joins keep all records in their state and
+find every pair; left joins need it, and `streaming.upserts.order_detail_versions` is the form without a bound.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ def _timed(df: DataFrame, delay: str) -> DataFrame:
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, bound: str | None) -> DataFrame:
-    """Equi-join that keeps the left row_time. In a stream the right row lies within `bound` of the left one."""
-    if not left.isStreaming and not right.isStreaming:
+    """Equi-join that keeps the left row_time. In a stream the right row lies within `bound` of the left one, if given."""
+    if bound is None and how == "inner" or not left.isStreaming and not right.isStreaming:
         return left.join(right.drop("row_time"), on, how)
     if bound is None:
-        raise ValueError("a join of two streams needs a time bound")
+        raise ValueError("a left join of two streams needs a time bound")
     right = right.withColumnRenamed("row_time", "_r_time")
     return joins.interval(left, right, on, "row_time", "_r_time", bound, bound, how).drop("_r_time")
 

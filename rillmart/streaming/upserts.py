@@ -34,13 +34,15 @@ def _of_keys(rows: DataFrame, table: str, key: str, keys: DataFrame) -> DataFram
 
 
 def order_detail_versions(
-    envelope: DataFrame, checkpoint: str, store: str, out: str, keep_days: int = 7, once: bool = False,
+    envelope: DataFrame, checkpoint: str, store: str, out: str, keep_days: int | None = None, once: bool = False,
     database: str | None = None,
 ) -> StreamingQuery:
     """Keep the version log `out` up to date with `plans.dwd.order_detail`.
 
-    Change records are stored by table and day. A micro-batch reads back the days from `keep_days` before its oldest
-    record on, finds the lines its records belong to, and appends those lines as they are now.
+    Change records are stored by table and day. A micro-batch reads back what is stored, finds the lines its records
+    belong to, and appends those lines as they are now, whatever their age. Where records of a line are known to arrive
+    within some days of each other, `keep_days` limits the reading to that many days before the batch's oldest record;
+    corrections of older lines are then left out.
     """
 
     def apply(rows: DataFrame, batch: int) -> None:
@@ -49,10 +51,12 @@ def order_detail_versions(
         upserts.append(dated, store, batch, partition=["table", "day"])
         spark = rows.sparkSession
         stored = upserts.versions(spark, store, _STORED).filter(F.col(upserts.BATCH) <= batch)
-        oldest = stored.filter(F.col(upserts.BATCH) == batch).agg(F.min("day")).first()[0]
-        if oldest is None:
-            return
-        recent = stored.filter(F.col("day") >= F.date_sub(F.lit(oldest), keep_days))
+        recent = stored
+        if keep_days is not None:
+            oldest = stored.filter(F.col(upserts.BATCH) == batch).agg(F.min("day")).first()[0]
+            if oldest is None:
+                return
+            recent = stored.filter(F.col("day") >= F.date_sub(F.lit(oldest), keep_days))
         fresh = recent.filter(F.col(upserts.BATCH) == batch)
 
         orders = _key(fresh, "order_info", "id", "order_id")
