@@ -24,9 +24,14 @@ def page_log(messages: DataFrame, delay: str = "5 seconds") -> DataFrame:
     return windows.watermarked(rows.withColumn("et", times.from_epoch(F.col("ts"), "ms")), "et", delay)
 
 
-def order_details(messages: DataFrame, delay: str | None = "5 seconds") -> DataFrame:
-    """The order-detail topic as a version log with `row_time`. It holds upserts: see `plans.dwd.detail_table`."""
-    rows = m.as_table(messages, schemas.ORDER_DETAIL_TOPIC)
+def order_details(
+    messages: DataFrame, delay: str | None = "5 seconds", place: tuple[str, ...] = ()
+) -> DataFrame:
+    """The order-detail topic as a version log with `row_time`. It holds upserts: see `plans.dwd.detail_table`.
+
+    `place` names message columns that order the versions of a line, such as `messages.KAFKA_PLACE`.
+    """
+    rows = m.as_table(messages, schemas.ORDER_DETAIL_TOPIC, keep=place)
     return windows.watermarked(rows.withColumn("row_time", times.from_epoch(F.col("ts"), "s")), "row_time", delay)
 
 

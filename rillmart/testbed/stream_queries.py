@@ -26,8 +26,8 @@ _DAY = "1 day"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's checkpoint folder; a temporary one only where none is set, as in tests."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    """A new folder below the cluster's checkpoint folder; a temporary one only in a local session without it."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
         return tempfile.mkdtemp(prefix="rillmart-")
     return session.shared_dir(spark, f"rillmart-{uuid.uuid4().hex}")
 
@@ -60,11 +60,24 @@ def _pages(spark, sf_dir) -> DataFrame:
     return shapes.pages(shapes.with_k(stream(spark, sf_dir, "events")))
 
 
-@query("stream_traffic", _closed(QUERIES["traffic_window"].sql, _LAST_EVENT))
+_TRAFFIC = _closed(QUERIES["traffic_window"].sql, _LAST_EVENT)
+
+
+@query("stream_traffic", _TRAFFIC)
 def stream_traffic(spark, sf_dir):
     return _appended(spark, dws.traffic(_pages(spark, sf_dir), "1 hour", as_of=AS_OF))
 
 
+@query("stream_traffic_files", _TRAFFIC)
+def stream_traffic_files(spark, sf_dir):
+    """The same events in many files, in no order of time."""
+    folder = scratch(spark)
+    events = shapes.with_k(shapes.table(spark, sf_dir, "events"))
+    events.repartition(7, "event_id").sortWithinPartitions(F.xxhash64("event_id")).write.parquet(f"{folder}/in")
+    pages = shapes.pages(spark.readStream.schema(events.schema).parquet(f"{folder}/in"))
+    return _appended(spark, dws.traffic(pages, "1 hour", as_of=AS_OF))
+
+
 @query("stream_cart_users", _closed(QUERIES["cart_users"].sql, "max(ts) FROM events WHERE event_type = 'click'"))
 def stream_cart_users(spark, sf_dir):
     clicks = stream(spark, sf_dir, "events").filter("event_type = 'click'")
