@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmart import schemas
-from rillmart.operators import cdc
+from rillmart.operators import cdc, state
 from rillmart.plans import dim, dwd, dws
 from rillmart.sinks import dims, tables as table_sinks, topics, upserts
 from rillmart.sources import messages, tables
@@ -81,11 +81,53 @@ def test_payments_as_a_stream(spark, topic, feed, rows, tmp_path):
     assert rows(out, "id", "payment_type_name") == [("d1", "card"), ("d2", "card")]
 
 
-def test_a_join_of_streams_needs_a_bound(topic, feed):
+def test_a_left_join_of_streams_needs_a_bound(topic, feed):
     with pytest.raises(ValueError):
         dwd.order_detail(feed("topic", topic(ORDER)), "shop")
 
 
+def test_an_inner_join_of_streams_without_bound_finds_far_pairs(topic, feed, rows, tmp_path):
+    """The cancel comes days after the line."""
+    days = 30 * 86_400
+    cancel = change("order_info", days, {"id": "o1", "order_status": "1003", "operate_time": "t"}, "update",
+                    {"order_status": "1001"})
+    details = dwd.order_detail(topic(ORDER, *LINES), "shop").withColumn("row_time", F.timestamp_seconds("ts"))
+    cancels = dwd.order_cancels(feed("topic", topic(LATER), topic(cancel)), feed("details", details), "shop")
+    assert rows(run(cancels, tmp_path), "id", "operate_time") == [("d2", "t"), ("d3", "t")]
+
+
+def test_corrections_of_any_age(spark, topic, feed, rows, tmp_path):
+    """An activity that comes a month after its line still gives a version."""
+    activity = ("shop", "order_detail_activity", "insert", T0 + 30 * 86_400, ACTIVITY[4], None)
+    df = feed("topic", topic(ORDER, *LINES), topic(activity))
+    folder = str(tmp_path)
+    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/store", f"{folder}/out", once=True).awaitTermination()
+    current = upserts.read(spark, f"{folder}/out", dwd.order_detail(topic(ORDER)).schema, ["id"])
+    assert rows(current, "id", "activity_id") == [("d2", "a"), ("d3", None)]
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_first_ever_in_a_stream_is_the_earliest_row(spark, feed, rows, tmp_path, forget):
+    """Within a micro-batch time and tie-break decide, null ties first; later micro-batches find the key known."""
+    def batch(*records):
+        return spark.createDataFrame([(k, dt.datetime(2024, 1, 1, 0, s), n) for k, s, n in records],
+                                     "k string, ts timestamp, n int")
+
+    df = feed("rows", batch(("a", 9, 1), ("a", 5, 3), ("a", 5, 2), ("b", 7, None), ("b", 7, 1), ("b", 8, 0)),
+              batch(("a", 10, 9), ("c", 10, 8))).withWatermark("ts", "30 minutes")
+    out = run(state.first_ever(df, "k", "ts", ("n",), forget), tmp_path)
+    assert rows(out, "k", "n") == [("a", 2), ("b", None), ("c", 8)]
+
+
+def test_messages_keep_their_place(spark, rows, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([('{"id":"1","ts":5}',)], "value string").write.text(folder)
+    read = messages.files(spark, folder, stream=False, place=True)
+    table = tables.order_details(read, None, messages.FILE_PLACE)
+    assert [(r.id, r.file_time is not None, r.file_name.endswith(".txt")) for r in table.collect()] == [("1", True, True)]
+    assert messages.files(spark, folder, stream=False).columns == ["value"]
+
+
 def page(mid, seconds, page_id="home", **more):
     return {"common": {"mid": mid, "uid": mid, "sid": f"{mid}-{seconds // 60}", "vc": "v", "ch": "c", "ar": "a",
                        "is_new": "0"}, "page": {"page_id": page_id, "during_time": 7, **more}, "ts": (T0 + seconds) * 1000}
