@@ -141,3 +141,13 @@ def test_dimension_state(spark, rows):
          ("3", "insert", 3, {"id": "3", "a": "new"})],
         "row_key string, type string, ts long, data map<string,string>")
     assert rows(dim.snapshot(changes, ["id", "a", "b"])) == [("1", "1", "x", "z"), ("3", "3", "new", None)]
+
+
+def test_routing_does_not_exchange_records(spark, envelope):
+    """Records stay where they are while the configuration is small; a large one is joined without a broadcast."""
+    config = spark.createDataFrame([("t", "insert", "s", "id")], schemas.FACT_CONFIG)
+    records = envelope({"table": "t", "type": "insert", "data": {"id": "1"}})
+    plan = dwd.base_db(records, config)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert not enrich.small(config, rows=0) and not enrich.small(config, size=10)
+    assert enrich.small(config) and enrich.small(config.limit(0))
