@@ -39,7 +39,7 @@ def order_detail_versions(
 ) -> StreamingQuery:
     """Keep the version log `out` up to date with `plans.dwd.order_detail`.
 
-    Change records are stored by table and day. A micro-batch reads back what is stored, finds the lines its records
+    Change records are stored by table. A micro-batch reads back what is stored, finds the lines its records
     belong to, and appends those lines as they are now, whatever their age. Where records of a line are known to arrive
     within some days of each other, `keep_days` limits the reading to that many days before the batch's oldest record;
     corrections of older lines are then left out.
@@ -47,8 +47,9 @@ def order_detail_versions(
 
     def apply(rows: DataFrame, batch: int) -> None:
         new = rows.filter(F.col("table").isin(*_TABLES)).select(*ENVELOPE.names, "row_time")
-        dated = new.withColumn("day", F.to_date("row_time"))
-        upserts.append(dated, store, batch, partition=["table", "day"])
+        # Sorted, so that a reader of some days skips the other row groups; a folder per day would be many small files.
+        dated = new.withColumn("day", F.to_date("row_time")).sortWithinPartitions("table", "day")
+        upserts.append(dated, store, batch, partition=["table"])
         spark = rows.sparkSession
         stored = upserts.versions(spark, store, _STORED).filter(F.col(upserts.BATCH) <= batch)
         recent = stored

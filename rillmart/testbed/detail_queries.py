@@ -52,10 +52,14 @@ def cart_delta(spark, sf_dir):
     return dwd.cart_adds(shapes.cart_info(shapes.events(spark, sf_dir)), shapes.DATABASE)
 
 
-def _details(spark, sf_dir) -> DataFrame:
+def detail_topic(spark, sf_dir) -> DataFrame:
+    """Change records of orders and their lines."""
     (lineitem,) = _tables(spark, sf_dir, "lineitem")
-    topic = _orders(spark, sf_dir).unionByName(shapes.order_lines(lineitem))
-    return dwd.order_detail(topic, shapes.DATABASE)
+    return _orders(spark, sf_dir).unionByName(shapes.order_lines(lineitem))
+
+
+def _details(spark, sf_dir) -> DataFrame:
+    return dwd.order_detail(detail_topic(spark, sf_dir), shapes.DATABASE)
 
 
 _DETAIL = ("id, order_id, sku_id, user_id, province_id, activity_id, activity_rule_id, coupon_id, sku_name, "

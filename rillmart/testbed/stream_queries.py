@@ -17,8 +17,9 @@ from ..plans import dim, dwd, dws
 from ..sinks import dims as dim_sink
 from ..sinks import tables, topics, upserts
 from ..streaming import queries
+from ..streaming import upserts as corrections
 from . import shapes, sql
-from .detail_queries import REPAIRED, dim_config, fact_config, split_fields
+from .detail_queries import REPAIRED, detail_topic, dim_config, fact_config, split_fields
 from .registry import AS_OF, QUERIES, query
 from .summary_queries import PROVINCE_SQL
 
@@ -152,6 +153,19 @@ def stream_payments(spark, sf_dir):
     return _appended(spark, pairs.select("signup_id", "purchase_id", "user_id"))
 
 
+@query("stream_order_detail", QUERIES["order_detail"].sql)
+def stream_order_detail(spark, sf_dir):
+    """Orders and lines in any order over several micro-batches; a line is completed whenever its other records come."""
+    folder = scratch(spark)
+    topic = detail_topic(spark, sf_dir)
+    topic.repartition(4).write.parquet(f"{folder}/in")
+    records = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    corrections.order_detail_versions(records, f"{folder}/checkpoint", f"{folder}/store", f"{folder}/out", once=True,
+                                      database=shapes.DATABASE).awaitTermination()
+    schema = dwd.order_detail(topic, shapes.DATABASE).schema
+    return upserts.read(spark, f"{folder}/out", schema, ["id"])
+
+
 @query("stream_log_split", QUERIES["log_split"].sql)
 def stream_log_split(spark, sf_dir):
     """Flags repaired by keyed state, then the five-way split into one folder of JSON messages per stream."""
