@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -80,6 +82,7 @@ class WordBpe:
         self.odd_marks = any("<" not in mark for mark in self.special)
         self.known, self.known_before = {}, {}
         self.seen, self.seen_before = {}, {}
+        self.coded, self.coded_before = {}, {}
 
     def word(self, word: str) -> list[int]:
         """Ids of one word; a final symbol without a vocabulary entry drops, as in the library without unknown token."""
@@ -113,7 +116,18 @@ class WordBpe:
         return ids + self.plain(text[at:])
 
     def encode(self, text: str) -> list[int]:
-        return [number for piece in _pieces(text) for number in self.piece(piece)]
+        return self.packed(text).tolist()
+
+    def packed(self, text: str) -> array:
+        """Ids of the whole text as 32-bit integers."""
+        ids = array("i")
+        for piece in _pieces(text):
+            if (known := self.coded.get(piece)) is None:
+                if len(self.coded) > CACHE:
+                    self.coded, self.coded_before = {}, self.coded
+                known = self.coded[piece] = self.coded_before.get(piece) or array("i", self.piece(piece))
+            ids += known
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings side by side, as a file without decoder asks: with a space between tokens."""
@@ -160,7 +174,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "tok
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = bpe_of(vocabulary)
         for texts in batches:
-            yield texts.map(lambda text: bpe.encode(text or ""))
+            yield pd.Series([np.frombuffer(bpe.packed(text or ""), np.int32) for text in texts], dtype=object)
 
     return docs.withColumn(out, run(F.col(text)))
 
