@@ -143,17 +143,37 @@ def _changes(details: DataFrame, rows: DataFrame, order: list[str], measures: li
     return state.delta(rows, ["id"], order, measures, heavy, ttl)
 
 
+SKU_AMOUNTS = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
+
+
 def sku_orders(
-    details: DataFrame, dims: dict[str, DataFrame], order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, heavy: skew.Heavy | None = None,
-    ttl: str | None = None,
+    details: DataFrame, dims: dict[str, DataFrame], order: tuple[str, ...], size: str = SIZE, delay: str = DELAY,
+    as_of: str | None = None, zone: str | None = None, heavy: skew.Heavy | None = None, ttl: str | None = None,
+) -> DataFrame:
+    """`sku_sums` with the names of each sku.
+
+    A stream sees the dimensions as they are when it starts; for dimensions that change meanwhile, run `sku_sums` through
+    `streaming.queries.with_live_tables` and `with_skus`.
+    """
+    return with_skus(sku_sums(details, order, size, delay, as_of, zone, heavy, ttl), dims)
+
+
+def with_skus(summed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    return enrich.sku_hierarchy(summed, dims).select(
+        "stt", "edt", "cur_date", "trademark_id", "trademark_name", "category1_id", "category1_name", "category2_id",
+        "category2_name", "category3_id", "category3_name", "sku_id", "sku_name", "spu_id", "spu_name", *SKU_AMOUNTS,
+    )
+
+
+def sku_sums(
+    details: DataFrame, order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
+    zone: str | None = None, heavy: skew.Heavy | None = None, ttl: str | None = None,
 ) -> DataFrame:
-    """Order amounts per sku from the order-detail version log.
+    """Order amounts per sku from the order-detail version log, without names.
 
     `order` names the columns that tell the versions of a line apart in order of arrival, from "et" on: versions of one
     second need an arrival column (offset, batch) there, or the one of the larger amount counts as the later one.
-    Each version of a line counts with its change. The sums are enriched after aggregation, one row per window and
-    sku.
+    Each version of a line counts with its change.
     """
     amounts = {
         "original_amount": values.money(F.col("order_price")) * values.money(F.col("sku_num")),
@@ -167,26 +187,34 @@ def sku_orders(
     )
     rows = windows.watermarked(rows, "et", delay)
     changed = _changes(details, rows, [*order, "sku_id", *amounts], list(amounts), heavy, ttl)
-    summed = windows.tumble(
+    return windows.tumble(
         changed, "et", size, ["sku_id"],
         # The line name is kept from the first record of the window.
         [F.min_by("sku_name", F.struct("et", "id")).alias("sku_name"),
          *[F.sum(name).cast(MONEY).alias(name) for name in amounts]],
         None, as_of, zone,
     )
-    enriched = enrich.sku_hierarchy(summed, dims)
-    return enriched.select(
-        "stt", "edt", "cur_date", "trademark_id", "trademark_name", "category1_id", "category1_name", "category2_id",
-        "category2_name", "category3_id", "category3_name", "sku_id", "sku_name", "spu_id", "spu_name", *amounts,
-    )
 
 
 def province_orders(
-    details: DataFrame, provinces: DataFrame, order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
-    zone: str | None = None, heavy: skew.Heavy | None = None,
-    ttl: str | None = None,
+    details: DataFrame, provinces: DataFrame, order: tuple[str, ...], size: str = SIZE, delay: str = DELAY,
+    as_of: str | None = None, zone: str | None = None, heavy: skew.Heavy | None = None, ttl: str | None = None,
+) -> DataFrame:
+    """`province_sums` with the names of the provinces; in a stream those known when it starts, as in `sku_orders`."""
+    return with_provinces(province_sums(details, order, size, delay, as_of, zone, heavy, ttl), provinces)
+
+
+def with_provinces(summed: DataFrame, provinces: DataFrame) -> DataFrame:
+    named = enrich.dim(summed, provinces, "province_id", {"province_name": "name"})
+    return named.select("stt", "edt", "cur_date", "province_id", "province_name", "order_count",
+                        F.col("order_amount").cast(MONEY).alias("order_amount"))
+
+
+def province_sums(
+    details: DataFrame, order: tuple[str, ...], size: str = SIZE, delay: str = DELAY, as_of: str | None = None,
+    zone: str | None = None, heavy: skew.Heavy | None = None, ttl: str | None = None,
 ) -> DataFrame:
-    """Orders and order amount per province from the order-detail version log; `order` as in `sku_orders`."""
+    """Orders and order amount per province from the order-detail version log; `order` as in `sku_sums`."""
     extra = [name for name in order if name != "et"]
     rows = facts.require(details, "province_id").select(
         "id", "province_id", "order_id", "et", *extra,
@@ -194,12 +222,9 @@ def province_orders(
     )
     rows = windows.watermarked(rows, "et", delay)
     changed = _changes(details, rows, [*order, "province_id", "order_amount"], ["order_amount"], heavy, ttl)
-    summed = windows.tumble_distinct(
+    return windows.tumble_distinct(
         changed, "et", size, ["province_id"], "order_id", "order_count", ("order_amount",), None, as_of, zone
     )
-    named = enrich.dim(summed, provinces, "province_id", {"province_name": "name"})
-    return named.select("stt", "edt", "cur_date", "province_id", "province_name", "order_count",
-                        F.col("order_amount").cast(MONEY).alias("order_amount"))
 
 
 def refunds(

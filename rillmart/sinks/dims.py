@@ -27,3 +27,29 @@ def read(spark: SparkSession, path: str, table: str, columns: list[str]) -> Data
     """One dimension in its current state; reads that dimension's folders only. `row_key` is its key."""
     changes = upserts.versions(spark, path, CHANGES).filter(F.col("sink_table") == table)
     return dim.snapshot(changes, columns, (upserts.BATCH, "ts"))
+
+
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Write what readers still see of all dimensions to the new folder `target`; later batches may follow there.
+
+    Of each cell the last filled value stays, with its batch and moment; of each row its last change, even without
+    cells. What a delete removed goes, and so does the delete. Cells of one row and moment become one change again.
+    """
+    key, moment = ["sink_table", "row_key"], F.struct(upserts.BATCH, "ts")
+    changes = upserts.versions(spark, path, CHANGES)
+    deletes = changes.filter("type = 'delete'").groupBy(*key).agg(F.max(moment).alias("deleted"))
+    filled = F.map_entries(F.map_filter(F.coalesce("data", F.create_map().cast("map<string,string>")),
+                                        lambda _, value: value.isNotNull()))
+    # The entry without a name stands for the row itself.
+    row = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    cells = changes.filter("type <> 'delete'").select(*key, moment.alias("at"), F.explode(F.concat(row, filled)).alias("c"))
+    last = cells.groupBy(*key, F.col("c.key").alias("cell")).agg(
+        F.max(F.struct("at", F.col("c.value").alias("value"))).alias("last"))
+    kept = last.join(deletes, [last[name].eqNullSafe(deletes[name]) for name in key], "left").filter(
+        F.col("deleted").isNull() | (F.col("last.at") > F.col("deleted")))
+    entry = F.when(F.col("cell").isNotNull(), F.struct("cell", "last.value"))
+    merged = kept.groupBy(*[last[name] for name in key], F.col("last.at").alias("at")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("data"))
+    rows = merged.select(*key, F.lit("update").alias("type"), "at.ts", "data", f"at.{upserts.BATCH}")
+    # Spread by row, so that no batch or dimension lands in one task.
+    rows.hint("rebalance").write.partitionBy(upserts.BATCH, "sink_table").mode("errorifexists").parquet(target)

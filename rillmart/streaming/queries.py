@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import session
+from ..sinks import upserts
 
 TRIGGER = "5 seconds"
+T = TypeVar("T")
 
 
 def writer(df: DataFrame, checkpoint: str, once: bool = False, trigger: str = TRIGGER, mode: str = "append"
@@ -34,3 +37,19 @@ def with_live_config(
 ) -> StreamingQuery:
     """Run `apply(rows, config, batch id)` with the configuration read anew for every micro-batch."""
     return each_batch(df, checkpoint, lambda rows, batch: apply(rows, read_config(), batch), once, trigger)
+
+
+def with_live_tables(
+    df: DataFrame, checkpoint: str, read_tables: Callable[[], T], enrich: Callable[[DataFrame, T], DataFrame], path: str,
+    once: bool = False, trigger: str = TRIGGER,
+) -> StreamingQuery:
+    """Append `enrich(rows, tables)` to the version log `path`, with the tables read anew for every micro-batch.
+
+    Rows meet the tables as they are when the rows are written, so a dimension row added meanwhile is found. A
+    repeated batch replaces its rows.
+    """
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        upserts.append(enrich(rows, read_tables()), path, batch)
+
+    return each_batch(df, checkpoint, apply, once, trigger)

@@ -225,7 +225,7 @@ def dim_config(spark: SparkSession) -> DataFrame:
     )
 
 
-def _routed_topic(spark, sf_dir) -> DataFrame:
+def routed_topic(spark, sf_dir) -> DataFrame:
     customer, orders = _tables(spark, sf_dir, "customer", "orders")
     return shapes.user_info(customer).unionByName(shapes.comment_info(orders)).unionByName(_orders(spark, sf_dir))
 
@@ -242,7 +242,7 @@ UNION ALL SELECT 'dwd_order_moves', CAST(epoch(o_orderdate) AS BIGINT) + 3600,
   '{"id":"' || o_orderkey || '","order_status":"' || s || '"}'
 FROM orders JOIN (VALUES ('P', '1003'), ('F', '1005'), ('F', '1006')) m(f, s) ON f = o_orderstatus""")
 def fact_routes(spark, sf_dir):
-    routed = dwd.base_db(_routed_topic(spark, sf_dir), fact_config(spark))
+    routed = dwd.base_db(routed_topic(spark, sf_dir), fact_config(spark))
     return routed.select("sink_table", "ts", F.to_json("data").alias("value"))
 
 
@@ -253,7 +253,7 @@ FROM customer JOIN (VALUES ('bootstrap-insert', 0, 1), ('update', 10000000, 3),
                            ('insert', 30000000, 14)) m(kind, later, step) ON c_custkey % step = 0
 UNION ALL SELECT 'dim_comment', CAST(o_orderkey AS VARCHAR), 'insert', CAST(epoch(o_orderdate) AS BIGINT) FROM orders""")
 def dim_changes(spark, sf_dir):
-    return dim.changes(_routed_topic(spark, sf_dir), dim_config(spark), shapes.DATABASE).drop("data")
+    return dim.changes(routed_topic(spark, sf_dir), dim_config(spark), shapes.DATABASE).drop("data")
 
 
 @query("dim_snapshot", """
@@ -262,7 +262,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS row_key, CAST(c_custkey AS VARCHAR) AS id,
        CASE WHEN c_custkey % 14 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS segment
 FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 14 = 0""")
 def dim_snapshot(spark, sf_dir):
-    changes = dim.changes(_routed_topic(spark, sf_dir), dim_config(spark), shapes.DATABASE)
+    changes = dim.changes(routed_topic(spark, sf_dir), dim_config(spark), shapes.DATABASE)
     return dim.snapshot(changes.filter(F.col("sink_table") == "dim_user_info"), ["id", "name", "segment"])
 
 

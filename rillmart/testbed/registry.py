@@ -31,6 +31,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def load() -> dict[str, Query]:
-    from . import detail_queries, operator_queries, stream_queries, summary_queries  # noqa: F401
+    from . import detail_queries, operator_queries, source_queries, stream_queries, summary_queries  # noqa: F401
 
     return QUERIES

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
-from ..operators import joins, routing, state
+from ..operators import enrich, joins, routing, state, windows
 from ..plans import dim, dwd, dws
 from ..sinks import dims as dim_sink
 from ..sinks import tables, topics, upserts
 from ..streaming import queries
 from ..streaming import upserts as corrections
 from . import shapes, sql
-from .detail_queries import REPAIRED, detail_topic, dim_config, fact_config, split_fields
+from .detail_queries import REPAIRED, detail_topic, dim_config, fact_config, routed_topic, split_fields
 from .registry import AS_OF, QUERIES, query
 from .summary_queries import PROVINCE_SQL
 
@@ -116,8 +116,66 @@ def stream_keyword_count(spark, sf_dir):
 def stream_province_orders(spark, sf_dir):
     lines = shapes.line_versions(stream(spark, sf_dir, "lineitem"))
     details = shapes.with_province(lines, shapes.table(spark, sf_dir, "orders"), shapes.table(spark, sf_dir, "customer"))
-    provinces = shapes.provinces(shapes.table(spark, sf_dir, "nation"))
-    return _appended(spark, dws.province_orders(details, provinces, ("et",), _DAY, as_of=AS_OF))
+    folder, sums = scratch(spark), dws.province_sums(details, ("et",), _DAY, as_of=AS_OF)
+
+    def provinces() -> DataFrame:
+        return shapes.provinces(shapes.table(spark, sf_dir, "nation"))
+
+    queries.with_live_tables(sums, f"{folder}/checkpoint", provinces, dws.with_provinces, f"{folder}/out",
+                             once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
+
+
+_TURN = "1995-06-01"
+
+
+@query("stream_live_provinces", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(c_nationkey AS VARCHAR) AS province_id,
+       CASE WHEN c_nationkey < 12 OR o_orderdate >= TIMESTAMP '{_TURN}' THEN n_name END AS province_name
+FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def stream_live_provinces(spark, sf_dir):
+    """The later half of the provinces is added after the first of two micro-batches and is found by the second."""
+    folder = scratch(spark)
+    nation, customer = shapes.table(spark, sf_dir, "nation"), shapes.table(spark, sf_dir, "customer")
+    provinces = shapes.provinces(nation)
+    orders = shapes.table(spark, sf_dir, "orders").join(customer, F.col("c_custkey") == F.col("o_custkey"))
+    rows = orders.select(shapes.text("o_orderkey").alias("id"), shapes.text("c_nationkey").alias("province_id"),
+                         (F.col("o_orderdate") >= _TURN).alias("later"))
+    for later in (False, True):
+        part = rows.filter(F.col("later") == later).coalesce(1)
+        part.write.mode("append").parquet(f"{folder}/in")
+    early = F.col("id").cast("int") < 12
+    provinces.filter(early).write.parquet(f"{folder}/provinces")
+
+    def write(batch_rows: DataFrame, known: DataFrame, batch: int) -> None:
+        named = enrich.dim(batch_rows, known, "province_id", {"province_name": "name"}).drop("later")
+        upserts.append(named, f"{folder}/out", batch)
+        if batch == 0:
+            provinces.filter(~early).write.mode("append").parquet(f"{folder}/provinces")
+
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    queries.with_live_config(arriving, f"{folder}/checkpoint", lambda: spark.read.parquet(f"{folder}/provinces"), write,
+                             once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
+
+
+@query("stream_late_rows", _closed(f"""
+SELECT {sql.window(_DAY, 'ts')}, '{AS_OF}' AS cur_date, count(*) AS event_ct FROM events
+WHERE event_id % 2 = 0 OR time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day'
+      > (SELECT max(ts) - INTERVAL '5 seconds' FROM events WHERE event_id % 4 = 0)
+GROUP BY ALL""", _LAST_EVENT))
+def stream_late_rows(spark, sf_dir):
+    """Odd events come in a third micro-batch, and those of windows closed before it are left out.
+
+    Spark judges the rows of a micro-batch by the watermark that held in the micro-batch before.
+    """
+    folder = scratch(spark)
+    events = shapes.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("et"))
+    for part in ("event_id % 4 = 0", "event_id % 4 = 2", "event_id % 2 = 1"):
+        events.filter(part).select("et").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    arriving = spark.readStream.schema("et timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    return _appended(spark, windows.tumble(arriving, "et", _DAY, [], [F.count(F.lit(1)).alias("event_ct")], dwd.DELAY,
+                                           AS_OF))
 
 
 @query("stream_refunds", _closed(QUERIES["refund_by_brand_type_user"].sql,
@@ -213,6 +271,17 @@ def stream_dim_table(spark, sf_dir):
     return dim_sink.read(spark, f"{folder}/dims", "dim_user_info", ["id", "name", "segment"])
 
 
+@query("stream_dim_compacted", QUERIES["dim_snapshot"].sql)
+def stream_dim_compacted(spark, sf_dir):
+    """Dimension changes of several batches, compacted, and one dimension read from what is left."""
+    folder, topic = scratch(spark), session.settled(dim.changes(
+        routed_topic(spark, sf_dir), dim_config(spark), shapes.DATABASE))
+    for batch, part in enumerate(("ts < 1715000000", "ts >= 1715000000")):
+        dim_sink.append(topic.filter(part), f"{folder}/dims", batch)
+    dim_sink.compact(spark, f"{folder}/dims", f"{folder}/compact")
+    return dim_sink.read(spark, f"{folder}/compact", "dim_user_info", ["id", "name", "segment"])
+
+
 @query("stream_upsert_table", QUERIES["latest"].sql)
 def stream_upsert_table(spark, sf_dir):
     """A version log written by a stream, compacted, and read as a table."""
