@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillmart import schemas
 from rillmart.operators import cdc, enrich, routing
 from rillmart.plans import dim, dwd
+from rillmart.sinks import dims as dim_sink
 from rillmart.sources import tables
 
 
@@ -151,3 +152,27 @@ def test_routing_does_not_exchange_records(spark, envelope):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert not enrich.small(config, rows=0) and not enrich.small(config, size=10)
     assert enrich.small(config) and enrich.small(config.limit(0))
+
+
+def test_compacted_dimensions_read_as_before(spark, tmp_path):
+    def change(table, key, kind, ts, **data):
+        return (table, key, kind, ts, data)
+
+    batches = [
+        [change("d", "1", "insert", 1, a="x", b="y"), change("d", "2", "insert", 1, a="x"), change("e", "1", "insert", 1, a="e")],
+        [change("d", "1", "update", 2, a="z", b=None), change("d", "2", "delete", 2), change("d", "3", "insert", 2, a=None)],
+        [change("d", "2", "insert", 3, b="again"), change("d", "4", "delete", 3)],
+    ]
+    path, target = str(tmp_path / "log"), str(tmp_path / "compact")
+    for batch, found in enumerate(batches):
+        dim_sink.append(spark.createDataFrame(found, dim_sink.CHANGES), path, batch)
+    dim_sink.compact(spark, path, target)
+
+    def read(folder, table="d"):
+        return sorted(map(tuple, dim_sink.read(spark, folder, table, ["a", "b"]).collect()))
+
+    assert read(target) == read(path) == [("1", "z", "y"), ("2", None, "again"), ("3", None, None)]
+    assert read(target, "e") == [("1", "e", None)]
+    dim_sink.append(spark.createDataFrame([change("d", "1", "update", 9, b="new")], dim_sink.CHANGES), target, 7)
+    assert read(target)[0] == ("1", "z", "new")
+    assert spark.read.parquet(target).filter("type = 'delete'").isEmpty()
