@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,22 +38,33 @@ def prepare_streams(spark: SparkSession) -> None:
         spark.conf.set(STATE_STORE, ROCKSDB)
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A path below the cluster's `spark.checkpoint.dir`, the folder all executors and drivers see."""
+_local_root: list[str] = []
+
+
+def _root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is not set: name a folder shared by the whole cluster")
-    return os.path.join(root, *parts)
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="rillmart-"))
+    return _local_root[0]
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A path below the cluster's `spark.checkpoint.dir`, the folder all executors and drivers see.
+
+    Where it is unset, a session of one local process gets a folder of its own; on a cluster that is an error.
+    """
+    return os.path.join(_root(spark), *parts)
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """A frame that is used several times, computed once into the checkpoint folder where the session has one."""
+    """A batch frame that is used several times, computed once into the checkpoint folder (see `shared_dir`)."""
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            return df
-        spark.sparkContext.setCheckpointDir(root)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_root(df.sparkSession))
     return df.checkpoint()

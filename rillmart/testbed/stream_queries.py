@@ -5,7 +5,6 @@ Windows that the watermark has not closed stay in the state; the checking SQL le
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +26,7 @@ _DAY = "1 day"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's checkpoint folder; a temporary one only in a local session without it."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-        return tempfile.mkdtemp(prefix="rillmart-")
+    """A new folder below the checkpoint folder."""
     return session.shared_dir(spark, f"rillmart-{uuid.uuid4().hex}")
 
 
