@@ -294,6 +294,44 @@ def test_line_dedup_of_nothing_and_of_many_runs(empty, spark):
     assert kept == {1: blocks, 2: "\n".join(f"new{i}" for i in range(2_000))}
 
 
+def plain_long_lines(rows, words, run=line_dedup.RUN):
+    order = sorted({(k, t or "") for k, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, out = set(), {}
+    for key, text in order:
+        lines, gone = text.split("\n"), set()
+        for length in range(1, run + 1):
+            for at in range(len(lines) - length + 1):
+                part = tuple(lines[at:at + length])
+                short = length < run and sum(len(words_of(line)) for line in part) < words
+                if short or all(line.strip(" ") == "" for line in part):
+                    continue
+                if part in seen:
+                    gone |= set(range(at, at + length))
+                seen.add(part)
+        out[key, text] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    return out
+
+
+@pytest.mark.parametrize("table, words", [("awkward", 1), ("docs", 50)])
+def test_line_dedup_of_long_lines(request, table, words):
+    df = request.getfixturevalue(table)
+    wanted, short = plain_long_lines(pairs(df), words), plain_lines(pairs(df))
+    assert wanted != short
+    expected = [(key, None if text is None else wanted[key, text]) for key, text in pairs(df)]
+    assert pairs(line_dedup.dedup_lines(df, words=words)) == sorted(expected, key=repr)
+
+
+def test_line_dedup_of_one_long_line(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    half = [" ".join(f"{x}{i}" for i in range(25)) for x in "ab"]
+    df = spark.createDataFrame([
+        (1, long), (2, long), (3, "a\n" + long + "\nb"), (4, "\n".join(half)), (5, "\n".join(["c", *half, "d"])),
+        (6, half[0]), (7, long.rsplit(" ", 1)[0]), (8, long.rsplit(" ", 1)[0])], "doc_id int, text string")
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, words=50).collect()}
+    assert [kept[i] for i in (2, 3, 5)] == ["", "a\nb", "c\nd"]
+    assert kept[8] == kept[7] != "" and kept[6] == half[0] and kept[1] == long
+
+
 # language
 
 def test_language_on_held_out_documents(docs, spark):
