@@ -20,8 +20,6 @@ from .shared import settled, ship
 SHINGLE = 4
 BITS = 4
 BYTES = 8
-#: Of 8 bytes at least this many agree where at most BITS bits differ.
-SHARED = BYTES - BITS
 HEAVY = 100_000
 _CHUNK = 1 << 15
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -45,16 +43,21 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     return int.from_bytes(set_bits.tobytes(), "little")
 
 
-@pandas_udf(T.LongType())
-def _fingerprints(texts: pd.Series) -> pd.Series:
-    prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
-    return pd.Series(prints.view(np.int64))
+def _fingerprints(width: int):
+    @pandas_udf(T.LongType())
+    def prints_of(texts: pd.Series) -> pd.Series:
+        prints = np.fromiter(map(partial(fingerprint, width=width), texts), np.uint64, len(texts))
+        return pd.Series(prints.view(np.int64))
 
+    return prints_of
 
-def _masks() -> list[int]:
-    """Bit masks of all sets of SHARED byte positions, as signed 64-bit numbers."""
+
+def _masks(bits: int) -> list[int]:
+    """Bit masks of all sets of BYTES - bits byte positions, as signed 64-bit numbers."""
+    if not 0 <= bits < BYTES:
+        raise ValueError(f"at most {BYTES - 1} bits may differ, so that some byte agrees: {bits}")
     found = []
-    for places in combinations(range(BYTES), SHARED):
+    for places in combinations(range(BYTES), BYTES - bits):
         mask = sum(0xFF << (8 * place) for place in places)
         found.append(mask - (1 << 64) if mask >> 63 else mask)
     return found
@@ -82,10 +85,10 @@ def forest(prints: np.ndarray, bits: int = BITS) -> tuple[list[int], list[int]]:
     return [int(x) for x in starts], [int(x) for x in ends]
 
 
-def _links(key: list[str], limit: int | None):
+def _links(key: list[str], limit: int | None, bits: int):
     """Links within each posting of rows sorted by `key`; a posting may span batches. One of more than `limit` rows is
     only named, as a row with its place and its shared bytes."""
-    masks = np.array(_masks(), np.int64)
+    masks = np.array(_masks(bits), np.int64)
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         prints, values = rows["print"].to_numpy().view(np.uint64), rows[key].to_numpy()
@@ -93,13 +96,13 @@ def _links(key: list[str], limit: int | None):
         starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
         sizes = np.diff(np.append(starts, len(rows)))
         two = starts[sizes == 2]
-        near = two[np.bitwise_count(prints[two] ^ prints[two + 1]) <= BITS]
+        near = two[np.bitwise_count(prints[two] ^ prints[two + 1]) <= bits]
         a, b, named = prints[near].tolist(), prints[near + 1].tolist(), []
         for at, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             if limit is not None and size > limit:
                 named.append(at)
                 continue
-            some, more = forest(prints[at:at + size])
+            some, more = forest(prints[at:at + size], bits)
             a += some
             b += more
         found = pd.DataFrame({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
@@ -131,22 +134,22 @@ def _links(key: list[str], limit: int | None):
     return run
 
 
-def links(prints: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """Links (a, b) between different fingerprints (column `print`, distinct) that connect all at most BITS bits apart.
+def links(prints: DataFrame, heavy: int = HEAVY, bits: int = BITS) -> DataFrame:
+    """Links (a, b) between different fingerprints (column `print`, distinct) that connect all at most `bits` bits apart.
 
-    At most 4 differing bits leave at least 4 of 8 bytes equal, so the inverted index holds each print under every
-    set of 4 byte positions with the bytes there: a pair is tallied to the guaranteed count exactly if it meets under
+    At most `bits` (up to 7) differing bits leave at least 8 - `bits` of 8 bytes equal, so the inverted index holds each
+    print under every set of so many byte positions with the bytes there: a pair is tallied to the guaranteed count exactly if it meets under
     some set. Prints that meet are verified by their distance; a posting gives links that connect it, not its pairs.
     Postings are streamed in order. One with more than `heavy` prints is set aside, cut into parts, and every two parts
     meet in a task of their own, so that no task grows.
     """
     ship(prints.sparkSession)
     form = "a bigint, b bigint, shared bigint, place int"
-    masks = F.array(*[F.lit(mask) for mask in _masks()])
+    masks = F.array(*[F.lit(mask) for mask in _masks(bits)])
     shared = F.col("print").bitwiseAND(F.get(masks, F.col("place")))
-    postings = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(len(_masks()) - 1))).alias("place"))
+    postings = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(len(_masks(bits)) - 1))).alias("place"))
     dealt = postings.repartition("place", shared).sortWithinPartitions("place", shared)
-    found = settled(dealt.select("place", "print").mapInPandas(_links(["place", "shared"], heavy), form), "postings")
+    found = settled(dealt.select("place", "print").mapInPandas(_links(["place", "shared"], heavy, bits), form), "postings")
     light = found.filter("place < 0").select("a", "b")
     large = found.filter("place >= 0").select("place", "shared")
     if large.isEmpty():
@@ -161,21 +164,23 @@ def links(prints: DataFrame, heavy: int = HEAVY) -> DataFrame:
     cut = of_large.join(parts, ["place", "shared"]).select("place", "shared", "print", F.explode(meets).alias("part"))
     key = ["place", "shared", "part"]
     sorted_parts = cut.repartition(*key).sortWithinPartitions(*key)
-    return light.unionByName(sorted_parts.mapInPandas(_links(key, None), form).select("a", "b"))
+    return light.unionByName(sorted_parts.mapInPandas(_links(key, None, bits), form).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
+                    bits: int = BITS) -> DataFrame:
     """One row per row of `docs`: key, fingerprint (bigint) and component_id, the smallest key reachable over links.
 
-    Texts with equal fingerprints are one class and enter the index once. Null and empty texts have fingerprint zero
+    Fingerprints are over shingles of `width` words; those at most `bits` (up to 7) bits apart are linked. Fewer equal bytes
+    mean larger postings, so work grows with `bits`. Texts with equal fingerprints are one class and enter the index once. Null and empty texts have fingerprint zero
     and link like any other. Keys may repeat; a null key is reached only where a component has no other. An empty
     table gives no rows. Other columns are ignored, whatever their names.
     """
     ship(docs.sparkSession)
     prints = settled(
-        docs.select(F.col(key).alias("key"), _fingerprints(F.col(text)).alias("print")), "fingerprints")
+        docs.select(F.col(key).alias("key"), _fingerprints(width)(F.col(text)).alias("print")), "fingerprints")
     classes = settled(prints.groupBy("print").agg(F.min("key").alias("least")), "classes")
-    roots = connected(links(classes.select("print"))).withColumnRenamed("node", "print")
+    roots = connected(links(classes.select("print"), bits=bits)).withColumnRenamed("node", "print")
     placed = settled(
         classes.join(roots, "print", "left").select("print", "least", F.coalesce("root", "print").alias("root")), "roots")
     smallest = settled(placed.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")

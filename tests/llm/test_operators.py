@@ -252,6 +252,32 @@ def test_links_connect_all_close_prints(spark, heavy):
     assert got == wanted
 
 
+@pytest.mark.parametrize("width, bits", [(5, 7), (3, 0)])
+def test_near_duplicates_of_other_widths_and_radii(spark, width, bits):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(120)) for _ in range(12)]
+    texts += [" ".join(w if rng.random() > 0.02 else "new" for w in t.split()) for t in texts for _ in range(5)]
+    texts += ["", "a b", "A b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+
+    def plain_print(text):
+        words = text.lower().split()
+        grams = [" ".join(words[i:i + width]) for i in range(len(words) - width + 1)]
+        grams = grams or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(gram.encode(), seed=42) for gram in grams]
+        return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+    wanted = plain_components([(i, plain_print(t)) for i, t in enumerate(texts)], bits)
+    got = [(r[0], r[1] % (1 << 64), r[2]) for r in simhash.near_duplicates(df, width=width, bits=bits).collect()]
+    assert sorted(got) == sorted(wanted)
+    assert bits == 0 or len({least for *_, least in wanted}) < len({value for _, value, _ in wanted})
+
+
+def test_radius_beyond_the_byte_guarantee_is_refused(empty):
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(empty, bits=8)
+
+
 def test_near_duplicates_of_nothing(empty):
     assert simhash.near_duplicates(empty).count() == 0
 
