@@ -15,15 +15,19 @@ K = 20
 SCALE = 64
 BLOCK = 32_768
 QUERIES = 256
-#: Quantised components stay below this, so that scores of up to 512 dimensions fit 64 bits.
-LARGEST = 1 << 27
+#: Quantised components stay below this, so that 64 bits hold them.
+LARGEST = 1 << 62
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component; null where the vector is null or has a null or non-finite component."""
+    """floor(scale * x) of each component; null where the vector is null or has a null or non-finite component.
+
+    A finite component of LARGEST or more, times scale, is an error."""
     whole = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < LARGEST))
-    return F.when(vector.isNotNull() & F.coalesce(sound, F.lit(False)), whole)
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
+    fits = F.forall(vector, lambda x: F.abs(x.cast("double")) * float(scale) < float(LARGEST))
+    return F.when(vector.isNotNull() & F.coalesce(sound, F.lit(False)), F.when(fits, whole).otherwise(
+        F.raise_error(F.lit(f"a component times {scale} is {LARGEST} or more")).cast("array<bigint>")))
 
 
 def _add(columns: list[list[np.ndarray]]) -> list[np.ndarray]:
@@ -106,12 +110,23 @@ class Slices:
                 sure, rest, missing = sure | ones, rest & ~piece, missing - count
         # What is left has equal scores, in order of id.
         rows = np.concatenate([self._rows(sure), self._rows(rest)[:missing]])
-        return self.ids[rows], self.vectors[rows] @ query
+        return self.ids[rows], _products(self.vectors[rows], query)
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+def _products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products, over wider integers where sums may pass 64 bits; a product that does is an error."""
+    bound = int(np.abs(vectors).max(initial=0)) * int(np.abs(query).max(initial=0)) * len(query)
+    if bound < 1 << 63:
+        return vectors @ query
+    wide = [sum(map(int.__mul__, vector, query.tolist())) for vector in vectors.tolist()]
+    if any(not -(1 << 63) <= score < 1 << 63 for score in wide):
+        raise OverflowError("a score among the best does not fit 64 bits")
+    return np.array(wide, np.int64)
+
+
 def _search(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, at = None, None
@@ -155,8 +170,8 @@ def top_k(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str
 
     Components are quantised to floor(scale * x). Returns query_id, rank from 1, vec_id, score; ties by smaller id;
     fewer rows where there are fewer candidates. Candidates are all rows with another id than the query's, of the same
-    dimension. Vectors that are null or hold null, non-finite or (times scale) values from LARGEST on take no part. Rows
-    that repeat an id are candidates each; null ids take no part.
+    dimension. Vectors that are null or hold null or non-finite values take no part. A finite value of LARGEST or more
+    (times scale), or a score among the best beyond 64 bits, is an error. Rows that repeat an id are candidates each; null ids take no part.
 
     Candidates lie in blocks of a bounded number of rows, each a set of bitmaps per dimension and bit. A query adds the bitmaps,
     weighted by its own components, with bitwise adders into slices of the score; from the highest slice down rows

@@ -530,6 +530,21 @@ def test_top_k(spark, block):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    big = float(1 << 22)
+    rows = [(0, [big, 0.0]), (1, [big, 1.0]), (2, [-big, 3.0]), (3, [1.0, 1.0]), (5, [1.0, 2.0]), (6, [float(1 << 24), 0.5])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=8, block=3).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == brute_top(rows, 8, lambda q: q % 5 == 0)
+    # Sums that pass 64 bits on the way, scores that do not.
+    found = topk._products(np.array([[1 << 61, 1 << 61, 1]]), np.array([1 << 10, -(1 << 10), 7]))
+    assert found.tolist() == [7]
+    with pytest.raises(OverflowError):
+        topk._products(np.array([[1 << 61]]), np.array([1 << 10]))
+    with pytest.raises(Exception, match="or more"):
+        topk.top_k(spark.createDataFrame([(0, [1e38])], df.schema), F.lit(True)).count()
+
+
 # registered queries
 
 @pytest.fixture(scope="module")
