@@ -27,22 +27,29 @@ def held_out(key: Column) -> Column:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column | None = None,
-          sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
+          sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+          dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw-content dictionary per language from a sample whose size does not depend on the input.
 
-    Of each language the `sample_docs` documents come first in `order` (a hash of the text by default), with the
-    first `sample_chars` characters of each; null languages and texts are left out.
+    Of each language the `sample_docs` different texts come first in `order` (a hash of the text by default, the least of
+    copies), with the first `sample_chars` characters of each; of these the first that fit `dictionary_bytes` are learned
+    from. Texts count as different by these characters in lower case; null languages and texts are left out.
     """
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                         (F.xxhash64(text) if order is None else order).alias("at"))
     known = known.filter("lang IS NOT NULL AND length(text) > 0").select(
         "lang", "at", F.lower(F.substring("text", 1, sample_chars)).alias("text"))
+    different = known.groupBy("lang", "text").agg(F.min("at").alias("at"))
     first = Window.partitionBy("lang").orderBy("at", "text")
-    sample = known.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs)
+    sample = different.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs)
     parts: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda row: (row["lang"], -row["n"])):
         parts.setdefault(row["lang"], []).append(row["text"])
-    return {lang: "\n".join(texts).encode()[-DICTIONARY_BYTES:] for lang, texts in parts.items()}
+    return {lang: _last_bytes("\n".join(texts).encode(), dictionary_bytes) for lang, texts in parts.items()}
+
+
+def _last_bytes(content: bytes, most: int) -> bytes:
+    return content[max(0, len(content) - most):]
 
 
 class Scorer:

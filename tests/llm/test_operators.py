@@ -360,6 +360,17 @@ def test_line_dedup_of_one_long_line(spark):
 
 # language
 
+def test_language_learns_from_different_texts(spark):
+    rows = [("xx", f"text number {i}") for i in range(6)]
+    copied = rows[:1] * 500 + rows[1:]
+    df = spark.createDataFrame(copied, "lang string, text string").repartition(3)
+    first = (F.col("text") != rows[0][1]).cast("int")
+    found = language.learn(df, order=first, sample_docs=4)
+    assert found == {"xx": "\n".join(text for _, text in reversed(rows[:4])).encode()}
+    assert language.learn(df, order=first, sample_docs=4, dictionary_bytes=20) == {"xx": found["xx"][-20:]}
+    assert language.learn(df, order=first, sample_docs=4, dictionary_bytes=0) == {"xx": b""}
+
+
 def test_language_on_held_out_documents(docs, spark):
     rows = queries.op6_language(spark, SF_DIR).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
