@@ -150,7 +150,7 @@ def _unpacked(content: bytes, kind: str, rows: int, dims: int) -> np.ndarray:
 
 
 def _blocks(vectors: DataFrame, number: int, prefix: str) -> DataFrame:
-    """Rows packed into `number` binary blocks by a hash of the id, per dimension, in the smallest fitting integers."""
+    """Rows packed into `number` binary blocks by a hash of id, vector and a row number, per dimension, in the smallest fitting integers."""
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         packed = np.stack([np.asarray(v, np.int64) for v in rows["vector"]])
@@ -159,7 +159,7 @@ def _blocks(vectors: DataFrame, number: int, prefix: str) -> DataFrame:
         return pd.DataFrame([(key[0], key[1], rows["id"].to_numpy(np.int64).tobytes(), kind,
                               packed.astype(kind).tobytes())])
 
-    dealt = vectors.withColumn("at", F.pmod(F.xxhash64("id", F.lit(17)), F.lit(number)).cast("int"))
+    dealt = vectors.withColumn("at", F.pmod(F.xxhash64("id", "vector", F.monotonically_increasing_id()), F.lit(number)).cast("int"))
     return dealt.groupBy("dims", "at").applyInPandas(
         pack, f"dims int, {prefix}block int, {prefix}ids binary, {prefix}kind string, {prefix}vectors binary")
 

@@ -556,6 +556,12 @@ def test_top_k_of_large_components(spark):
         topk.top_k(spark.createDataFrame([(0, [1e38])], df.schema), F.lit(True)).count()
 
 
+def test_top_k_deals_rows_of_one_id(spark):
+    df = spark.range(400).selectExpr("1L AS id", "array(1L, 2L) AS vector", "2 AS dims")
+    sizes = [len(r["ids"]) // 8 for r in topk._blocks(df, 8, "").collect()]
+    assert sum(sizes) == 400 and max(sizes) < 100
+
+
 # registered queries
 
 @pytest.fixture(scope="module")
