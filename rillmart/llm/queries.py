@@ -8,11 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, line_dedup, mixing, pii, simhash, substring_dedup, token_files, topk
+from . import (
+    bpe, exact_dedup, language, line_dedup, merkle, mixing, packing, pii, simhash, substring_dedup, token_files, topk,
+    whitening,
+)
 from .shared import documents, folder
 
 Run = Callable[[SparkSession, str], DataFrame]
 END_ID = 2
+PACK_END_ID = 1
 VOCABULARY_FOLDER = "RILLMART_TOKENIZERS"
 
 
@@ -76,6 +80,29 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(name) for name in docs.columns]
+    changed = [F.col("n_chars").cast("bigint") + 1 if name == "n_chars" else F.col(name) for name in docs.columns]
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    found = merkle.manifest(docs, fields, extra={"tampered": F.when(hit, merkle.record_digest(changed))})
+    again = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        again.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_50k.json"), PACK_END_ID)
+    return pieces.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("length"), F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 SQL_EXACT_DEDUP = """
 WITH plain AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
@@ -135,6 +162,57 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 20
 """
 
+SQL_MERKLE = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars, coalesce('=' || lang, '') AS tree,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+                     lambda crc, byte: list_reduce(range(8), lambda c, i: CASE
+                       WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, byte)), 4294967295) AS crc
+  FROM documents),
+digests AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 7 = 0
+           THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS changed
+  FROM fields),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS size FROM digests),
+nodes AS (
+  SELECT tree, 0 AS level, place, size, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE size > 1 GROUP BY tree, level, place // 2, size),
+subroots AS (
+  SELECT *, row_number() OVER (ORDER BY tree) - 1 AS spot, count(*) OVER () AS trees FROM nodes WHERE size = 1),
+tops AS (
+  SELECT 0 AS level, spot AS place, trees AS size, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM tops WHERE size > 1 GROUP BY level, place // 2, size),
+steps AS (
+  SELECT tree, level, place, size, digest FROM nodes WHERE size > 1
+  UNION ALL
+  SELECT s.tree, s.level + t.level, t.place, t.size, t.digest
+  FROM subroots s JOIN tops t ON t.size > 1),
+climb AS (
+  SELECT l.doc_id, l.tree, l.leaf, 0 AS rung, l.place, '' AS proof, coalesce(l.changed, l.leaf) AS digest,
+         s.level AS depth, s.spot FROM leaves l JOIN subroots s USING (tree)
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.leaf, c.rung + 1, here // 2, c.proof || coalesce(n.digest, ''),
+         sha256(CASE WHEN here % 2 = 1 THEN n.digest || c.digest ELSE c.digest || coalesce(n.digest, '') END),
+         c.depth, c.spot
+  FROM (SELECT *, CASE WHEN rung = depth THEN spot ELSE place END AS here FROM climb) c
+  LEFT JOIN steps n ON n.tree = c.tree AND n.level = c.rung AND n.place = xor(here::BIGINT, 1::BIGINT)
+  WHERE EXISTS (SELECT 1 FROM steps e WHERE e.tree = c.tree AND e.level = c.rung)),
+ended AS (SELECT * FROM climb c WHERE NOT EXISTS (SELECT 1 FROM steps e WHERE e.tree = c.tree AND e.level = c.rung))
+SELECT e.doc_id, e.leaf, s.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256,
+       e.digest AS folded_root, e.digest = t.digest AS verified
+FROM ended e JOIN subroots s USING (tree) JOIN tops t ON t.size = 1
+"""
+
 QUERIES: dict[str, tuple[Run, str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, SQL_EXACT_DEDUP),
     "op2_pii": (op2_pii, None),
@@ -146,4 +224,7 @@ QUERIES: dict[str, tuple[Run, str | None]] = {
     "op8_token_files": (op8_token_files, None),
     "op9_bpe": (op9_bpe, None),
     "op10_top_k": (op10_top_k, SQL_TOP_K),
+    "op11_merkle": (op11_merkle, SQL_MERKLE),
+    "op12_packing": (op12_packing, None),
+    "op13_whitening": (op13_whitening, None),
 }
