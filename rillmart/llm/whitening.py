@@ -72,7 +72,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.n
         ids = batch.column("id")
         for dims in np.unique(lengths).tolist():
             mine = lengths == dims
-            rows = values[np.repeat(mine, lengths)].reshape(-1, dims)
+            rows = values[np.repeat(mine, lengths)].reshape(int(mine.sum()), dims)
             yield dims, ids.filter(pa.array(mine)), rows
 
 
