@@ -107,14 +107,16 @@ def _roots(levels: list[DataFrame]) -> DataFrame:
     return found
 
 
-def _proofs(levels: list[DataFrame], start: DataFrame, arity: int) -> DataFrame:
+def _proofs(levels: list[DataFrame], start: DataFrame | None, arity: int) -> DataFrame:
     """(tree, place, subroot, proof) of the leaves: each level adds its siblings to the proof of its parents.
 
-    `start` has (tree, subroot, proof) of the nodes that end a tree.
+    `start` has (tree, subroot, proof) of the nodes that end a tree; without it their proofs are empty.
     """
+    none = (F.array().cast(_STEP).alias("proof"), F.lit(None).cast("string").alias("subroot"))
     below = None
     for number, level in reversed(list(enumerate(levels))):
-        ends = level.filter("size = 1").select("tree", "place").join(start, "tree")
+        ends = level.filter("size = 1").select("tree", "place")
+        ends = ends.select("*", *none) if start is None else ends.join(start, "tree")
         here = ends
         if below is not None:
             step = F.array(F.struct("before", "after")).cast(_STEP)
@@ -156,9 +158,7 @@ def manifest(docs: DataFrame, columns: Sequence[Column], key: str = "doc_id", gr
     top = _numbered(subroots, ["group"])
     top_levels = _levels(top.select("tree", "place", "size", F.col("subroot").alias("digest")), arity)
     root = (_roots(top_levels).first() or {"digest": None})["digest"]
-    none = F.array().cast(_STEP).alias("proof")
-    ends = docs.sparkSession.range(1).select(F.lit("").alias("tree"), none, F.lit(None).cast("string").alias("subroot"))
-    of_group = _proofs(top_levels, ends, arity).drop("subroot").join(top, ["tree", "place"]).select(
+    of_group = _proofs(top_levels, None, arity).drop("subroot").join(top, ["tree", "place"]).select(
         F.col("group").alias("tree"), "proof", "subroot")
     proofs = _proofs(levels, settled(of_group, "groups"), arity)
     return leaves.join(proofs, ["tree", "place"]).select(
