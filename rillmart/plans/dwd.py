@@ -2,7 +2,7 @@
 
 An envelope frame has columns database, table, type, ts (seconds), data, old, row_time. In a stream its joins may be
 given `bound`, the longest time between the joined records. Without it inner joins keep all records in their state and
-find every pair; left joins need it, and `streaming.upserts.order_detail_versions` is the form without a bound.
+find every pair; left joins need it, and `streaming.details.order_detail_versions` is the form without a bound.
 """
 
 from __future__ import annotations

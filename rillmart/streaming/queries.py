@@ -53,3 +53,17 @@ def with_live_tables(
         upserts.append(enrich(rows, read_tables()), path, batch)
 
     return each_batch(df, checkpoint, apply, once, trigger)
+
+
+def with_lookups(
+    df: DataFrame, checkpoint: str, find: Callable[[DataFrame], T], enrich: Callable[[DataFrame, T], DataFrame], path: str,
+    once: bool = False, trigger: str = TRIGGER,
+) -> StreamingQuery:
+    """Append `enrich(rows, found)` to the version log `path`, where `found = find(rows)` looks up what the rows of a
+    micro-batch need, such as `MergeTable.lookup`: the files read follow the keys that occur, not the tables."""
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        settled = session.settled(rows)
+        upserts.append(enrich(settled, find(settled)), path, batch)
+
+    return each_batch(df, checkpoint, apply, once, trigger)

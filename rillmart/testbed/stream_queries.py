@@ -14,9 +14,8 @@ from .. import session
 from ..operators import enrich, joins, routing, state, windows
 from ..plans import dim, dwd, dws
 from ..sinks import dims as dim_sink
-from ..sinks import tables, topics, upserts
-from ..streaming import queries
-from ..streaming import upserts as corrections
+from ..sinks import merge_tables, tables, topics, upserts
+from ..streaming import details, queries
 from . import shapes, sql
 from .detail_queries import REPAIRED, detail_topic, dim_config, fact_config, routed_topic, split_fields
 from .registry import AS_OF, QUERIES, query
@@ -210,15 +209,17 @@ def stream_payments(spark, sf_dir):
 
 @query("stream_order_detail", QUERIES["order_detail"].sql)
 def stream_order_detail(spark, sf_dir):
-    """Orders and lines in any order over several micro-batches; a line is completed whenever its other records come."""
+    """Orders and lines in any order over several micro-batches; a line is completed from state whenever its other
+    records come, and merged into a table."""
     folder = scratch(spark)
     topic = detail_topic(spark, sf_dir)
     topic.repartition(4).write.parquet(f"{folder}/in")
     records = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
-    corrections.order_detail_versions(records, f"{folder}/checkpoint", f"{folder}/store", f"{folder}/out", once=True,
-                                      database=shapes.DATABASE).awaitTermination()
     schema = dwd.order_detail(topic, shapes.DATABASE).schema
-    return upserts.read(spark, f"{folder}/out", schema, ["id"])
+    table = merge_tables.MergeTable(spark, f"{folder}/table", schema, ("id",), ("ts",), buckets=8)
+    details.order_detail_table(records, f"{folder}/checkpoint", table, once=True,
+                               database=shapes.DATABASE).awaitTermination()
+    return table.read()
 
 
 @query("stream_log_split", QUERIES["log_split"].sql)
@@ -290,3 +291,62 @@ def stream_upsert_table(spark, sf_dir):
     keys, order = columns[:2], ("l_shipdate", "l_partkey", "l_suppkey")
     upserts.compact(spark, f"{folder}/log", f"{folder}/compact", lines.schema, keys, order)
     return upserts.read(spark, f"{folder}/compact", lines.schema, keys, order)
+
+
+@query("stream_merge_table", QUERIES["latest"].sql)
+def stream_merge_table(spark, sf_dir):
+    """Versions merged into a bucketed table by several micro-batches, compacted between reads."""
+    folder = scratch(spark)
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    lines = shapes.table(spark, sf_dir, "lineitem").select(columns)
+    lines.repartition(4, "l_shipdate").write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    table = merge_tables.MergeTable(spark, f"{folder}/table", lines.schema, tuple(columns[:2]),
+                                    ("l_shipdate", "l_partkey", "l_suppkey"), buckets=8,
+                                    combine=lambda rows: rows, reduce=_last_line)
+    queries.each_batch(arriving, f"{folder}/checkpoint", table.merge, once=True).awaitTermination()
+    table.compact(tails=2)
+    return table.read()
+
+
+def _last_line(rows: DataFrame) -> DataFrame:
+    return state.latest(rows, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+
+
+@query("stream_merge_dims", QUERIES["dim_snapshot"].sql)
+def stream_merge_dims(spark, sf_dir):
+    """Dimension changes merged per micro-batch, compacted, and one dimension read from the table."""
+    folder = scratch(spark)
+    table = dim_sink.merge_table(spark, f"{folder}/dims", buckets=8)
+
+    def write(rows: DataFrame, config: DataFrame, batch: int) -> None:
+        table.merge(dim.changes(rows, config, shapes.DATABASE), batch)
+
+    queries.with_live_config(_topic(spark, sf_dir), f"{folder}/checkpoint", lambda: dim_config(spark), write,
+                             once=True).awaitTermination()
+    table.compact(tails=1)
+    return dim_sink.current(table, "dim_user_info", ["id", "name", "segment"])
+
+
+@query("stream_lookups", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(c_custkey AS VARCHAR) AS user_id,
+       CASE WHEN c_custkey % 14 = 0 THEN 'back' WHEN c_custkey % 7 <> 0 THEN c_name END AS name
+FROM orders JOIN customer ON c_custkey = o_custkey""")
+def stream_lookups(spark, sf_dir):
+    """Orders of several micro-batches meet their customers, looked up in the buckets that a micro-batch touches."""
+    folder = scratch(spark)
+    table = dim_sink.merge_table(spark, f"{folder}/dims", buckets=8)
+    users = shapes.user_info(shapes.table(spark, sf_dir, "customer"))
+    table.merge(dim.changes(users, dim_config(spark), shapes.DATABASE), 0)
+    orders = shapes.table(spark, sf_dir, "orders").select(
+        shapes.text("o_orderkey").alias("id"), shapes.text("o_custkey").alias("user_id"))
+    orders.repartition(3).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+    def find(rows: DataFrame) -> DataFrame:
+        return dim_sink.current(table, "dim_user_info", ["id", "name"], rows.select(F.col("user_id").alias("row_key")))
+
+    queries.with_lookups(
+        arriving, f"{folder}/checkpoint", find, lambda rows, known: enrich.dim(rows, known, "user_id", {"name": "name"}),
+        f"{folder}/out", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)

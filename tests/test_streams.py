@@ -11,8 +11,8 @@ from rillmart.operators import cdc, state
 from rillmart.plans import dim, dwd, dws
 from rillmart.sinks import dims, tables as table_sinks, topics, upserts
 from rillmart.sources import messages, tables
+from rillmart.streaming import details as corrections
 from rillmart.streaming import queries
-from rillmart.streaming import upserts as corrections
 
 T0 = 1_700_000_000
 
@@ -48,7 +48,7 @@ def test_order_detail_with_corrections(spark, topic, feed, rows, tmp_path):
     """A line is there at once; the activity of a later batch gives a new version; a batch run twice changes nothing."""
     df = feed("topic", topic(ORDER, *LINES), topic(ACTIVITY), topic(LATER))
     folder = str(tmp_path)
-    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/store", f"{folder}/out", once=True).awaitTermination()
+    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/out", once=True).awaitTermination()
     schema = dwd.order_detail(topic(ORDER)).schema
     versions = upserts.versions(spark, f"{folder}/out", schema)
     assert rows(versions, "id", "activity_id", upserts.BATCH) == [("d2", "a", 1), ("d2", None, 0), ("d3", None, 0)]
@@ -59,7 +59,7 @@ def test_order_detail_with_corrections(spark, topic, feed, rows, tmp_path):
 def test_late_order_corrects_its_lines(spark, topic, feed, rows, tmp_path):
     df = feed("topic", topic(*LINES), topic(ORDER))
     folder = str(tmp_path)
-    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/store", f"{folder}/out", once=True).awaitTermination()
+    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/out", once=True).awaitTermination()
     current = upserts.read(spark, f"{folder}/out", dwd.order_detail(topic(ORDER)).schema, ["id"])
     assert rows(current, "id", "user_id") == [("d2", "u"), ("d3", "u")]
 
@@ -101,7 +101,7 @@ def test_corrections_of_any_age(spark, topic, feed, rows, tmp_path):
     activity = ("shop", "order_detail_activity", "insert", T0 + 30 * 86_400, ACTIVITY[4], None)
     df = feed("topic", topic(ORDER, *LINES), topic(activity))
     folder = str(tmp_path)
-    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/store", f"{folder}/out", once=True).awaitTermination()
+    corrections.order_detail_versions(df, f"{folder}/c", f"{folder}/out", once=True).awaitTermination()
     current = upserts.read(spark, f"{folder}/out", dwd.order_detail(topic(ORDER)).schema, ["id"])
     assert rows(current, "id", "activity_id") == [("d2", "a"), ("d3", None)]
 
