@@ -9,13 +9,13 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from .components import connected
-from .shared import settled, ship
+from .shared import WORD, lower_ascii, settled, ship
 
 SHINGLE = 4
 BITS = 4
@@ -27,20 +27,34 @@ _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     """64-bit SimHash over shingles of `width` words, A-Z lower-cased; fewer words are one shingle, none give zero."""
+    return fingerprints(text, width, 1)[0]
+
+
+def fingerprints(text: str | None, width: int, count: int) -> list[int]:
+    """`count` SimHashes of a text: the first from the hashes of its shingles, the others from those hashes mixed anew."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    if len(words) < width:
-        return _hash(b" ".join(words))
-    total, ones = len(words) - width + 1, np.zeros(64, np.int64)
+        return [0] * count
+    width = min(width, len(words))
+    total, ones = len(words) - width + 1, np.zeros((count, 64), np.int64)
     for at in range(0, total, _CHUNK):
         part = words[at:at + _CHUNK + width - 1]
         grams = zip(*[part[i:] for i in range(width)])
         hashes = np.fromiter(map(_hash, map(b" ".join, grams)), np.uint64, len(part) - width + 1)
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.uint32)
-    set_bits = np.packbits(ones * 2 > total, bitorder="little")
-    return int.from_bytes(set_bits.tobytes(), "little")
+        for number in range(count):
+            mixed = _mixed(hashes, number) if number else hashes
+            bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[number] += bits.sum(axis=0, dtype=np.uint32)
+    set_bits = np.packbits(ones * 2 > total, axis=1, bitorder="little")
+    return set_bits.view("<u8").ravel().tolist()
+
+
+def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Hashes spread anew over 64 bits, by multiplication with odd numbers and shifts; a bijection."""
+    mixed = hashes + np.uint64(number * 0x9E3779B97F4A7C15 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def _fingerprints(width: int):
@@ -52,6 +66,14 @@ def _fingerprints(width: int):
     return prints_of
 
 
+def _several(width: int, count: int):
+    @pandas_udf(T.ArrayType(T.LongType()))
+    def prints_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(fingerprints(text, width, count), np.uint64).view(np.int64) for text in texts])
+
+    return prints_of
+
+
 def _masks(bits: int) -> list[int]:
     """Bit masks of all sets of BYTES - bits byte positions, as signed 64-bit numbers."""
     if not 0 <= bits < BYTES:
@@ -148,8 +170,12 @@ def links(prints: DataFrame, heavy: int = HEAVY, bits: int = BITS) -> DataFrame:
     masks = F.array(*[F.lit(mask) for mask in _masks(bits)])
     shared = F.col("print").bitwiseAND(F.get(masks, F.col("place")))
     postings = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(len(_masks(bits)) - 1))).alias("place"))
-    dealt = postings.repartition("place", shared).sortWithinPartitions("place", shared)
-    found = settled(dealt.select("place", "print").mapInPandas(_links(["place", "shared"], heavy, bits), form), "postings")
+    # A print that meets no other under a posting goes before Python sees it; what is left comes in order of postings.
+    of_posting = Window.partitionBy("place", "shared").orderBy("print")
+    met = postings.withColumn("shared", shared).withColumn(
+        "alone", F.lag("print").over(of_posting).isNull() & F.lead("print").over(of_posting).isNull())
+    found = settled(met.filter("NOT alone").select("place", "print").mapInPandas(
+        _links(["place", "shared"], heavy, bits), form), "postings")
     light = found.filter("place < 0").select("a", "b")
     large = found.filter("place >= 0").select("place", "shared")
     if large.isEmpty():
@@ -187,3 +213,74 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     of_class = settled(placed.join(smallest, "root").select("print", "component_id"), "components")
     return prints.join(of_class, "print").select(
         F.col("key").alias(key), F.col("print").alias("fingerprint"), "component_id")
+
+
+def shingles(text, width: int):
+    """Distinct hashes of a text's shingles of `width` words, A-Z lower-cased; fewer words are one shingle, none give no hash."""
+    words = F.regexp_extract_all(lower_ascii(text), F.lit(f"({WORD})"), 1)
+    last = F.greatest(F.size(words) - width, F.lit(0))
+    whole = F.get(F.transform(F.array(words), lambda w: F.when(
+        F.size(w) > 0, F.transform(F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.slice(w, at + 1, F.lit(width)))))), F.lit(0))
+    return F.array_distinct(F.coalesce(whole, F.array().cast("array<bigint>")))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of texts whose shingle sets have at least the given Jaccard similarity."""
+    one, two = (sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    united = F.size("of_a") + F.size("of_b") - shared
+    return both.filter(shared >= similarity * united).select("a", "b")
+
+
+def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2, bits: int = 5, count: int = 4,
+                  shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per row of `docs`: key and component_id, the smallest key reachable over pairs of similar texts.
+
+    Two texts are similar if their sets of `shingle`-word shingles have a Jaccard similarity of at least `similarity`,
+    which is verified on the whole texts. Candidates are texts that lie within `bits` of 64 bits in one of `count` fingerprints over
+    `width`-word shingles; more fingerprints find more of the similar pairs, none gives a wrong one. What `links` connects is
+    verified first against the smallest text of each connected group, then, where that fails, link by link, so a
+    group of copies costs one comparison per text and no list of all pairs arises.
+
+    Texts equal but for the case of A-Z are one text. Null and empty texts are one text, similar to each other alone; texts without as many
+    words as a shingle are similar if all their words agree. Keys may repeat; a null key is reached only where a
+    component has no other. An empty table gives no rows. Other columns are ignored, whatever their names.
+    """
+    ship(docs.sparkSession)
+    digest = F.sha2(lower_ascii(F.col(text)), 256).alias("digest")
+    rows = settled(docs.select(F.col(key).alias("key"), digest, _several(width, count)(F.col(text)).alias("prints")), "several-prints")
+    texts = settled(rows.groupBy("digest").agg(F.min("key").alias("least"), F.first("prints").alias("prints"))
+                    .withColumn("node", F.monotonically_increasing_id()), "texts")
+    found = []
+    for number in range(count):
+        of_print = texts.select("node", F.col("prints")[number].alias("print"))
+        classes = settled(of_print.groupBy("print").agg(F.min("node").alias("first"), F.count("*").alias("n")), "print-classes")
+        same = of_print.join(classes.filter("n > 1"), "print").filter("node > first").select(
+            F.col("first").alias("a"), F.col("node").alias("b"))
+        near = links(classes.select("print"), bits=bits)
+        ends = [classes.select(F.col("print").alias(end), F.col("first").alias(f"{end}_node")) for end in ("a", "b")]
+        near = near.join(ends[0], "a").join(ends[1], "b").select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+        found.append(settled(same.unionByName(near), "candidates"))
+    candidates = found[0]
+    for more in found[1:]:
+        candidates = candidates.unionByName(more)
+    candidates = settled(candidates.distinct(), "all-candidates")
+    nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
+    wanted = settled(texts.join(nodes, "node").select("digest", "node"), "candidate-texts")
+    sets = settled(
+        docs.select(digest, F.col(text).alias("text")).join(wanted, "digest").groupBy("node").agg(F.first("text").alias("text"))
+        .select("node", shingles(F.col("text"), shingle).alias("shingles")), "shingles")
+    stars = connected(candidates).select(F.col("root").alias("a"), F.col("node").alias("b"))
+    sure = settled(_verified(stars, sets, similarity), "verified-stars")
+    # Links both of whose ends are joined to the smallest text already say nothing new.
+    joined = settled(sure.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
+        sure.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct(), "joined")
+    roots = [joined.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
+    open_ = candidates.join(roots[0], "a", "left").join(roots[1], "b", "left").filter("root_a IS NULL OR root_b IS NULL OR root_a <> root_b")
+    all_links = sure.unionByName(_verified(open_.select("a", "b"), sets, similarity))
+    of_text = connected(settled(all_links, "verified")).toDF("node", "root")
+    placed = settled(texts.join(of_text, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")), "placed")
+    smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_digest = settled(placed.join(smallest, "root").select("digest", "component_id"), "components")
+    return rows.join(of_digest, "digest").select(F.col("key").alias(key), "component_id")
