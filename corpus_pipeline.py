@@ -27,8 +27,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id. Rows that repeat an id are one."""
-    found = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    """One document of each group of texts with a similarity of 0.8 or more in 5-word shingles stays, the one with the
+    smallest id. Null and empty texts are alike, rows that repeat an id are one, an empty table stays empty."""
+    found = simhash.similar_texts(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.select(F.col("doc_id").alias("__rm_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__rm_kept")), "left_semi")
 
