@@ -4,28 +4,29 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import lower_ascii, settled
 
-FAN_IN = 32
+FAN_IN = 2
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "largest",
                 fan_in: int = FAN_IN) -> DataFrame:
     """One row per row of `docs`: the key, keep_id, group_size, kept, text_sha256.
 
-    Each input partition gives a run of digests, one row per digest with the key to keep and the count. Runs merge in
-    rounds, `fan_in` at a time, each round's rows dealt by run and digest and merged in digest order, until one run is
-    left; its repeated digests go back to the rows. A run holds a digest once, so no round sees a hot key; the
-    way back is a join of two plain exchanges, which AQE splits when one digest holds a large share of all rows.
+    Each input partition is a run of digests. Runs merge in binomial rounds, `fan_in` at a time, until one is left: the
+    rows of a round are dealt by run and digest, sorted, and streamed in that order, rows of one digest, hash and length becoming one
+    with the key to keep and the count. The first round combines each partition's rows before its shuffle, so that
+    later ones hold a digest once per run and no round sees a hot key. Repeated digests go back to the rows by
+    a join of two plain exchanges, which AQE splits when one digest holds a large share of all rows.
 
     A digest is the SHA-256 of the text, lower-cased for A-Z only, and counts as equal only if a second, independent
     hash and the length in bytes agree at every level. Null and empty texts are equal. `keep` is 'largest' or
     'smallest' key. Rows with the same key and text count singly in group_size and are kept or dropped together. A
-    null key is kept only where all keys of its group are null. An empty table gives no rows. Other columns are
-    ignored, whatever their names.
+    null key is kept only where all keys of its group are null. Texts of any length are one digest. An empty table
+    gives no rows. Other columns are ignored, whatever their names.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError(f"keep is 'largest' or 'smallest', not {keep}")
@@ -49,13 +50,15 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
 
 
 def _merged(digests: DataFrame, same: list[str], best, fan_in: int) -> DataFrame:
-    def merge(runs: DataFrame, keep_id: Column, size: Column) -> DataFrame:
-        return runs.groupBy("run", *same).agg(best(keep_id).alias("keep_id"), F.sum(size).alias("group_size"))
-
-    run = merge(digests, F.col("key"), F.lit(1))
-    left = 1 + (digests.agg(F.max("run")).first()[0] or 0)
+    left = math.ceil((1 + (digests.agg(F.max("run")).first()[0] or 0)) / fan_in)
+    next_run = F.floor(F.col("run") / fan_in).alias("run")
+    run = digests.groupBy(next_run, *same).agg(best("key").alias("keep_id"), F.count("*").alias("group_size"))
+    of_digest = Window.partitionBy("run", *same)
     while left > 1:
         left = math.ceil(left / fan_in)
-        dealt = run.withColumn("run", F.floor(F.col("run") / fan_in)).repartition("run", "digest")
-        run = merge(dealt.sortWithinPartitions("run", *same), F.col("keep_id"), F.col("group_size"))
+        merged = run.select(next_run, *same, "keep_id", "group_size").select(
+            "run", *same, best("keep_id").over(of_digest).alias("keep_id"),
+            F.sum("group_size").over(of_digest).alias("group_size"),
+            F.row_number().over(of_digest.orderBy("keep_id")).alias("place"))
+        run = merged.filter("place = 1").drop("place")
     return run.drop("run")
