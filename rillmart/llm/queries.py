@@ -17,6 +17,7 @@ from .shared import documents, folder
 Run = Callable[[SparkSession, str], DataFrame]
 END_ID = 2
 PACK_END_ID = 1
+LINE_WORDS = 50
 VOCABULARY_FOLDER = "RILLMART_TOKENIZERS"
 
 
@@ -48,7 +49,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"), report=("n_lines", "n_removed"))
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    done = line_dedup.dedup_lines(docs, report=("n_lines", "n_removed"), words=LINE_WORDS)
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -112,18 +114,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM plain WINDOW same AS (PARTITION BY t)
 """
 
-SQL_LINE_DEDUP = """
+SQL_LINE_DEDUP = r"""
 WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM texts),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines),
+nearby AS (
+  SELECT doc_id, pos, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c, words AS words_a,
+         words + lead(words, 1) OVER w AS words_b FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 windows AS (
-  SELECT doc_id, pos, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c FROM lines
-  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+  SELECT doc_id, pos, 3 AS n, a, b, c FROM nearby
+  WHERE c IS NOT NULL AND NOT (trim(a) = '' AND trim(b) = '' AND trim(c) = '')
+  UNION ALL SELECT doc_id, pos, 2, a, b, NULL FROM nearby WHERE words_b >= 50
+  UNION ALL SELECT doc_id, pos, 1, a, NULL, NULL FROM nearby WHERE words_a >= 50),
 later AS (
-  SELECT doc_id, pos FROM (
-    SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS place FROM windows
-    WHERE c IS NOT NULL AND NOT (trim(a) = '' AND trim(b) = '' AND trim(c) = ''))
+  SELECT doc_id, pos, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY n, a, b, c ORDER BY doc_id, pos) AS place FROM windows)
   WHERE place > 1),
-gone AS (SELECT DISTINCT doc_id, pos + step AS pos FROM later, (VALUES (0), (1), (2)) AS steps(step)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM later),
 marked AS (SELECT l.*, g.pos IS NOT NULL AS removed FROM lines l LEFT JOIN gone g USING (doc_id, pos))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '')) AS kept_sha256

@@ -273,6 +273,84 @@ def test_near_duplicates_of_other_widths_and_radii(spark, width, bits):
     assert bits == 0 or len({least for *_, least in wanted}) < len({value for _, value, _ in wanted})
 
 
+def shingle_set(text, width=5):
+    words = words_of(lowered(text))
+    return {" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def similar_roots(texts, similarity=0.8):
+    """For each of some different texts the first one it is connected to over similar pairs; all pairs are tried."""
+    sets, root = [shingle_set(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, one in enumerate(sets):
+        for j in range(i):
+            two = sets[j]
+            if min(len(one), len(two)) >= similarity * max(len(one), len(two)) > 0:
+                shared = len(one & two)
+                if shared >= similarity * (len(one) + len(two) - shared):
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def similar_kept(rows):
+    """Keys that stay of (key, text): the smallest of each group of similar texts."""
+    texts = sorted({lowered(t) for _, t in rows})
+    group = dict(zip(texts, similar_roots(texts)))
+    least = {}
+    for key, text in rows:
+        at = group[lowered(text)]
+        least[at] = min(key, least.get(at, key))
+    return set(least.values())
+
+
+def near_copies(rng, count=60):
+    """Texts with near copies at similarities from about 0.6 to 1, tight groups and short ones among them."""
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60, 400))) for _ in range(count)]
+    for text in list(texts):
+        for _ in range(3):
+            parts, share = text.split(), rng.choice([0.005, 0.01, 0.015, 0.02, 0.05])
+            texts.append(" ".join(w if rng.random() > share else rng.choice(words) for w in parts))
+    group = texts[0].split()
+    texts += [" ".join([*group[:i], "changed", *group[i + 1:]]) for i in range(0, min(50, len(group)))]
+    return texts + ["a b", "A b", "a b c d e f", "a  b", "", None]
+
+
+def test_similar_texts_find_nearly_all_similar_pairs(spark):
+    texts = near_copies(random.Random(8))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = dict(map(tuple, simhash.similar_texts(df).collect()))
+    different = sorted({lowered(t) for t in texts})
+    first = {t: min(i for i, x in enumerate(texts) if lowered(x) == t) for t in different}
+    pairs_, found = 0, 0
+    sets = {t: shingle_set(t) for t in different}
+    for i, a in enumerate(different):
+        for b in different[:i]:
+            shared = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
+                pairs_ += 1
+                found += got[first[a]] == got[first[b]]
+    assert pairs_ > 500 and found >= 0.9 * pairs_
+    roots = dict(zip(different, similar_roots(different)))
+    for i, text in enumerate(texts):
+        assert roots[lowered(texts[got[i]])] == roots[lowered(text)], "only similar texts are joined"
+
+
+def test_similar_texts_of_the_given_table(docs, awkward, empty):
+    rows = pairs(docs)
+    got = dict(map(tuple, simhash.similar_texts(docs).collect()))
+    kept = {key for key, least in got.items() if key == least}
+    assert kept == similar_kept(rows)
+    assert simhash.similar_texts(empty).count() == 0
+    assert simhash.similar_texts(awkward).count() == awkward.count()
+
+
 def test_radius_beyond_the_byte_guarantee_is_refused(empty):
     with pytest.raises(ValueError):
         simhash.near_duplicates(empty, bits=8)
@@ -347,6 +425,13 @@ def test_line_dedup_of_long_lines(request, table, words):
     assert pairs(line_dedup.dedup_lines(df, words=words)) == sorted(expected, key=repr)
 
 
+def test_line_dedup_replaces_columns_of_the_report(spark):
+    df = spark.createDataFrame([(1, "a\nb\nc", 9), (2, "a\nb\nc", 8)], "doc_id int, text string, n_lines int")
+    got = line_dedup.dedup_lines(df, report=("n_lines", "n_removed"))
+    assert got.columns == ["doc_id", "text", "n_lines", "n_removed"]
+    assert pairs(got, "doc_id", "n_lines", "n_removed") == [(1, 3, 0), (2, 3, 3)]
+
+
 def test_line_dedup_of_one_long_line(spark):
     long = " ".join(f"w{i}" for i in range(50))
     half = [" ".join(f"{x}{i}" for i in range(25)) for x in "ab"]
@@ -581,6 +666,20 @@ def test_query_agrees_with_its_sql(spark, docs, db, name):
     assert check.rows_of(df.columns, df.collect()) == check.rows_of(wanted.columns, wanted.fetchall())
 
 
+def test_digest_runs_merge_in_sorted_rounds(spark):
+    rows = spark.range(640).selectExpr("id AS doc_id", "cast(id % 100 AS string) AS text").repartition(16)
+    digests = rows.select(F.col("doc_id").alias("key"), F.sha2("text", 256).alias("digest"), F.lit(0).alias("proof"),
+                          F.lit(1).alias("bytes"), F.spark_partition_id().alias("run")).cache()
+    merged = exact_dedup._merged(digests, ["digest", "proof", "bytes"], F.max, 2)
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    rounds = plan.count("row_number(")
+    assert rounds >= 3 and merged.count() == 100
+    merged.collect()
+    executed = merged._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("+- Sort [run") >= 3 or executed.count("Sort [run") >= 3
+    digests.unpersist()
+
+
 def test_native_operators_run_no_python(spark, docs):
     frames = [pii.summary(docs), exact_dedup.exact_dedup(docs), mixing.mix(docs), line_dedup.dedup_lines(docs)]
     for df in frames:

@@ -25,11 +25,10 @@ def test_stages(spark):
         assert name == "encode" or out.columns == docs.columns
         docs = out
     known, lined, near, mixed, encoded = made
-    texts = plain.plain_lines(plain.pairs(known))
+    texts = plain.plain_long_lines(plain.pairs(known), 50)
     wanted = [(k, texts[k, t]) for k, t in plain.pairs(known) if texts[k, t].strip(" ")]
     assert plain.pairs(lined) == sorted(wanted, key=repr)
-    keyed = [(k, plain.plain_fingerprint(t)) for k, t in plain.pairs(lined)]
-    kept = {k for k, _, least in plain.plain_components(keyed) if k == least}
+    kept = plain.similar_kept(plain.pairs(lined))
     assert plain.pairs(near) == [row for row in plain.pairs(lined) if row[0] in kept]
     assert set(plain.pairs(mixed)) <= set(plain.pairs(near))
     sizes, taken, most = {}, {}, {}
