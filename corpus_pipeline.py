@@ -21,8 +21,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines go; n_chars follows the text. A text left empty is dropped."""
-    done = _counted(line_dedup.dedup_lines(docs))
+    """Later copies of repeated runs of lines go, of three lines or of fewer with 50 words together; n_chars follows the
+    text. Null texts and lines of any length pass, a text left empty is dropped, an empty table stays empty."""
+    done = _counted(line_dedup.dedup_lines(docs, words=queries.LINE_WORDS))
     return done.filter("text IS NULL OR trim(text) <> ''")
 
 
