@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import enrich, state
+from . import enrich, state, versions
 
 
 def normal_type(kind: Column) -> Column:
@@ -57,6 +57,32 @@ def match(rows: DataFrame, config: DataFrame, by: tuple[str, ...] = ("table",))
     return matched.drop(*[F.col(f"c.source_{name}") for name in by])
 
 
+def config_versions(snapshot: DataFrame, changes: DataFrame, by: tuple[str, ...] = ("table",), order: str = "ts_ms"
+                    ) -> DataFrame:
+    """The configuration with its history: the columns of `snapshot`, `deleted`, and `valid_from` (epoch ms).
+
+    The snapshot holds from the beginning, a change (op, before, after, `order`) from its moment; a delete is a version
+    without a route.
+    """
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    fed = changes.select((F.col("op") == "d").alias("deleted"), F.col(order).cast("bigint").alias("valid_from"), row.alias("_row"))
+    start = snapshot.select("*", F.lit(False).alias("deleted"), F.lit(None).cast("bigint").alias("valid_from"))
+    return normalise(start.unionByName(fed.select("_row.*", "deleted", "valid_from")))
+
+
+def match_as_of(rows: DataFrame, history: DataFrame, by: tuple[str, ...] = ("table",), ts: str = "ts") -> DataFrame:
+    """Rows with the configuration row in force at their own time (`ts`, epoch seconds); rows without one drop.
+
+    So a replay over a change of the configuration routes each row as it was routed when it came.
+    """
+    keyed = rows.select("*", (F.col(ts) * 1000).alias("_ms"), *[
+        (normal_type(F.col("type")) if name == "type" else F.col(name)).alias(f"source_{name}") for name in by])
+    found = versions.as_of(keyed, history, config_keys(by), "_ms", "valid_from")
+    kept = found.filter(F.col(versions.FOUND).isNotNull() & ~F.col(f"{versions.FOUND}.deleted"))
+    names = [name for name in history.columns if name not in (*config_keys(by), "deleted", "valid_from")]
+    return kept.select(*rows.columns, *[F.col(versions.FOUND)[name].alias(name) for name in names])
+
+
 def prune(rows: DataFrame, columns: str = "sink_columns", mode: str = "exact") -> DataFrame:
     """Keep the keys of `data` that the configuration lists (comma-separated).
 

@@ -247,3 +247,32 @@ def numbered(
         .withColumn(name, (F.col(name) + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint"))
         .drop(_HASH, _CHUNK, "_before")
     )
+
+
+def with_last(
+    df: DataFrame, keys: list[str], order: list[str], column: str, name: str, heavy: Heavy | None = None
+) -> DataFrame:
+    """Add `name`: the last non-null value of struct column `column` at or before each row of the same key.
+
+    `order` must be total within a key and start with a number, date or timestamp. Rows of a heavy key are cut into
+    consecutive chunks; each hands the last value it knows to the next one.
+    """
+    heavy = heavy_keys(df, keys) if heavy is None else heavy
+    up_to_row = Window.unboundedPreceding, Window.currentRow
+    if not heavy:
+        of_key = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*up_to_row)
+        return df.withColumn(name, F.last(column, ignorenulls=True).over(of_key))
+    chunked = _chunked(df, keys, order, heavy)
+    moment = F.when(F.col(column).isNotNull(), F.struct(*order))
+    ends = (
+        chunked.join(heavy.frame(df).select(_HASH), _HASH, "left_semi")
+        .groupBy(*keys, _HASH, _CHUNK)
+        .agg(F.max_by(column, moment).alias(column))
+    )
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.withColumn(column, F.last(column, ignorenulls=True).over(before)).filter(F.col(column).isNotNull())
+    rows = chunked.withColumn(_GHOST, F.lit(False)).unionByName(
+        handed.withColumn(_GHOST, F.lit(True)), allowMissingColumns=True)
+    in_chunk = Window.partitionBy(*keys, _CHUNK).orderBy(F.desc(_GHOST), *order).rowsBetween(*up_to_row)
+    found = rows.withColumn(name, F.last(column, ignorenulls=True).over(in_chunk))
+    return found.filter(~F.col(_GHOST)).drop(_HASH, _CHUNK, _GHOST)

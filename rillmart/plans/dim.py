@@ -9,9 +9,13 @@ from ..operators import cdc, routing
 
 
 def changes(envelope: DataFrame, config: DataFrame, database: str | None = None) -> DataFrame:
-    """Changes for all dimension tables: sink_table, row_key, type, ts and the listed columns in `data`."""
+    """Changes for all dimension tables: sink_table, row_key, type, ts and the listed columns in `data`.
+
+    A configuration with history (`routing.config_versions`) routes each change by the version of its own time.
+    """
     usable = cdc.changes(envelope, database, skip_types=cdc.BOOTSTRAP_MARKS)
-    matched = routing.match(usable, config, by=("table",))
+    match = routing.match_as_of if "valid_from" in config.columns else routing.match
+    matched = match(usable, config, by=("table",))
     keyed = matched.withColumn("row_key", F.expr("data[sink_row_key]"))
     return routing.prune(keyed).select("sink_table", "row_key", "type", "ts", "data")
 

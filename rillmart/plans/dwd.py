@@ -47,8 +47,12 @@ def base_log(messages: DataFrame, zone: str | None = None) -> DataFrame:
 
 
 def base_db(envelope: DataFrame, config: DataFrame, mode: str = "exact") -> DataFrame:
-    """Facts that need no join, routed by table and record type: sink_table, data."""
-    matched = routing.match(cdc.changes(envelope), config, by=("table", "type"))
+    """Facts that need no join, routed by table and record type: sink_table, data.
+
+    A configuration with history (`routing.config_versions`) routes each row by the version of its own time.
+    """
+    match = routing.match_as_of if "valid_from" in config.columns else routing.match
+    matched = match(cdc.changes(envelope), config, by=("table", "type"))
     return routing.prune(matched, mode=mode).select("sink_table", "type", "ts", "data")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas, session
 from ..functions import values
-from ..operators import logs
+from ..operators import logs, routing
 from ..plans import dim, dwd, dws
 from . import shapes, sql
 from .registry import AS_OF, query
@@ -282,3 +282,41 @@ def register_topic(spark, sf_dir):
     registered = dwd.base_db(topic, config).filter(F.col("sink_table") == "dwd_user_register")
     return dws.registrations(registered.select(F.col("data")["create_time"].alias("create_time")), "1 hour",
                              as_of=AS_OF)
+
+
+# Moments at which the configuration changes, in epoch seconds.
+TURNS = (801_964_800, 852_076_800)
+
+
+def config_history(spark: SparkSession) -> DataFrame:
+    """The comment route changes its table and columns, then goes; a route for order moves is added."""
+    start = fact_config(spark).filter("source_table <> 'order_info'")
+    comment = ("comment_info", "insert", "dwd_comment", "id")
+    changes = [
+        ("u", comment, ("comment_info", "insert", "dwd_comment_new", "id,appraise"), TURNS[0] * 1000),
+        ("c", None, ("order_info", "update", "dwd_order_moves", "id"), TURNS[0] * 1000),
+        ("d", comment, None, TURNS[1] * 1000),
+    ]
+    kind = schemas.config_change(schemas.FACT_CONFIG).add("ts_ms", "long")
+    return routing.config_versions(start, spark.createDataFrame(changes, kind), ("table", "type"))
+
+
+CONFIG_AS_OF = f"""
+SELECT 'dwd_user_register' AS sink_table, 1700000000 + c_custkey AS ts,
+       '{{"id":"' || c_custkey || '","name":"' || c_name || '"}}' AS value FROM customer
+UNION ALL SELECT 'dwd_user_register', 1730000000 + c_custkey, '{{"id":"' || c_custkey || '","name":"back"}}'
+FROM customer WHERE c_custkey % 14 = 0
+UNION ALL SELECT 'dwd_comment', CAST(epoch(o_orderdate) AS BIGINT), '{{"id":"' || o_orderkey || '","user_id":"'
+  || o_custkey || '","appraise":"' || substring(o_orderpriority, 1, 1) || '","create_time":"'
+  || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"}}' FROM orders WHERE epoch(o_orderdate) < {TURNS[0]}
+UNION ALL SELECT 'dwd_comment_new', CAST(epoch(o_orderdate) AS BIGINT), '{{"id":"' || o_orderkey || '","appraise":"'
+  || substring(o_orderpriority, 1, 1) || '"}}' FROM orders WHERE epoch(o_orderdate) >= {TURNS[0]} AND epoch(o_orderdate) < {TURNS[1]}
+UNION ALL SELECT 'dwd_order_moves', CAST(epoch(o_orderdate) AS BIGINT) + 3600, '{{"id":"' || o_orderkey || '"}}'
+FROM orders JOIN (VALUES ('P'), ('F'), ('F')) m(f) ON f = o_orderstatus WHERE epoch(o_orderdate) + 3600 >= {TURNS[0]}"""
+
+
+@query("config_as_of", CONFIG_AS_OF)
+def config_as_of(spark, sf_dir):
+    """A replay over two changes of the configuration."""
+    routed = dwd.base_db(routed_topic(spark, sf_dir), config_history(spark))
+    return routed.select("sink_table", "ts", F.to_json("data").alias("value"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import naming, times, values
-from ..operators import cdc, enrich, facts, joins, keywords, logs, reports, routing, skew, state
+from ..operators import cdc, enrich, facts, joins, keywords, logs, reports, routing, skew, state, versions
 from ..sinks import topics
 from . import shapes, sql
 from .detail_queries import REPAIRED
@@ -344,3 +344,38 @@ def shop_buckets(spark, sf_dir):
     shop = values.bucket(F.col("id"), 12).cast("int")
     return shapes.line_versions(shapes.table(spark, sf_dir, "lineitem")).select(shop.alias("shop")).agg(
         F.count("shop").alias("lines"), F.min("shop").alias("first_shop"), F.max("shop").alias("last_shop"))
+
+
+_AS_OF_SQL = """
+SELECT event_id, last_id FROM (
+  SELECT *, last_value(purchase_id IGNORE NULLS) OVER (
+           PARTITION BY user_id ORDER BY ts, kind, purchase_id ROWS UNBOUNDED PRECEDING) AS last_id
+  FROM (SELECT event_id, user_id, ts, 1 AS kind, NULL AS purchase_id FROM events
+        UNION ALL SELECT NULL, user_id, ts, 0, event_id FROM events WHERE event_type = 'purchase'))
+WHERE kind = 1"""
+
+
+def _last_purchase(spark, sf_dir, **how) -> DataFrame:
+    events = shapes.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    bought = events.filter("event_type = 'purchase'").select("user_id", "ts", "event_id")
+    found = versions.as_of(events, bought, ["user_id"], "ts", "ts", ("event_id",), **how)
+    return found.select("event_id", F.col(versions.FOUND)["event_id"].alias("last_id"))
+
+
+@query("as_of_intervals", _AS_OF_SQL)
+def as_of_intervals(spark, sf_dir):
+    """Each event with the last purchase of its user, purchases joined as intervals."""
+    return _last_purchase(spark, sf_dir, few=True)
+
+
+@query("as_of_ordered", _AS_OF_SQL)
+def as_of_ordered(spark, sf_dir):
+    """The same with purchases put between the events in order of time."""
+    return _last_purchase(spark, sf_dir, few=False)
+
+
+@query("as_of_split", _AS_OF_SQL)
+def as_of_split(spark, sf_dir):
+    """The same with every user above 20 events treated as heavy."""
+    heavy = skew.heavy_keys(shapes.table(spark, sf_dir, "events"), ["user_id"], limit=20)
+    return _last_purchase(spark, sf_dir, few=False, heavy=heavy)

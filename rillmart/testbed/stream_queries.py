@@ -17,7 +17,9 @@ from ..sinks import dims as dim_sink
 from ..sinks import merge_tables, tables, topics, upserts
 from ..streaming import details, queries
 from . import shapes, sql
-from .detail_queries import REPAIRED, detail_topic, dim_config, fact_config, routed_topic, split_fields
+from .detail_queries import (
+    CONFIG_AS_OF, REPAIRED, config_history, detail_topic, dim_config, fact_config, routed_topic, split_fields,
+)
 from .registry import AS_OF, QUERIES, query
 from .summary_queries import PROVINCE_SQL
 
@@ -350,3 +352,19 @@ def stream_lookups(spark, sf_dir):
         arriving, f"{folder}/checkpoint", find, lambda rows, known: enrich.dim(rows, known, "user_id", {"name": "name"}),
         f"{folder}/out", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
+
+
+@query("stream_config_as_of", CONFIG_AS_OF)
+def stream_config_as_of(spark, sf_dir):
+    """The rows of the replay in several micro-batches and no order of time, each routed by the version of its own time."""
+    folder, topic = scratch(spark), routed_topic(spark, sf_dir)
+    topic.repartition(4).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+
+    def write(rows: DataFrame, config: DataFrame, batch: int) -> None:
+        upserts.append(dwd.base_db(rows, config).select("sink_table", "ts", F.to_json("data").alias("value")),
+                       f"{folder}/out", batch)
+
+    queries.with_live_config(arriving, f"{folder}/checkpoint", lambda: config_history(spark), write,
+                             once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
