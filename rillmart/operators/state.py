@@ -22,15 +22,18 @@ def _first_by(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFra
 
 
 def first_of_day(
-    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None,
+    past: DataFrame | None = None,
 ) -> DataFrame:
     """The row with which each key appears for the first time on a day, in time order; ties fall to `order`.
 
+    A stream may start from a batch, `past`, whose rows count as seen; so may the other functions of this module.
+
     In time order days never go back, so a row whose day differs from the previous row's day is exactly the first
     row of its (key, day). For other arrival orders use `day_changes`.
     """
     if df.isStreaming:
-        return history.first_of_day(df, keys, ts, order, zone)
+        return history.first_of_day(df, keys, ts, order, zone, past)
     return _first_by(df, [*map(F.col, keys), times.day(F.col(ts), zone)], [F.col(ts), *map(F.col, order)])
 
 
@@ -43,14 +46,15 @@ def day_changes(
     return seen.filter(~F.col("_day_of").eqNullSafe(F.col("_prev._day_of"))).drop("_day_of", "_prev")
 
 
-def first_ever(df: DataFrame, key: str, ts: str, order: tuple[str, ...] = (), forget: bool = False) -> DataFrame:
+def first_ever(df: DataFrame, key: str, ts: str, order: tuple[str, ...] = (), forget: bool = False,
+               past: DataFrame | None = None) -> DataFrame:
     """The first row of each key, in time order; ties fall to `order`.
 
     In a watermarked stream that is the earliest row of the micro-batch in which the key first arrives, whatever the
     order of its files. The seen keys are kept for ever, or with `forget` until the watermark has passed them.
     """
     if df.isStreaming:
-        return history.first_ever(df, [key], ts, order, forget)
+        return history.first_ever(df, [key], ts, order, forget, past)
     return _first_by(df, [F.col(key)], [F.col(ts), *map(F.col, order)])
 
 
@@ -90,7 +94,7 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def delta(
     df: DataFrame, keys: list[str], order: list[str], measures: list[str], heavy: skew.Heavy | None = None,
-    ttl: str | None = None,
+    ttl: str | None = None, past: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each measure by its change since the key's previous version; the first version counts in full.
 
@@ -98,7 +102,7 @@ def delta(
     the event time. In a stream it always does, watermarked, and measures must not be null.
     """
     if df.isStreaming:
-        return history.delta(df, keys, order[0], order[1:], measures, ttl)
+        return history.delta(df, keys, order[0], order[1:], measures, ttl, past)
     looked_at = list(dict.fromkeys([*measures, *([order[0]] if ttl else [])]))
     seen = skew.with_previous(df, keys, order, looked_at, heavy)
     known = F.lit(True)
@@ -122,6 +126,7 @@ def repair_is_new(
     heavy: skew.Heavy | None = None,
     facts_from: DataFrame | None = None,
     copies: bool = False,
+    past: DataFrame | None = None,
 ) -> DataFrame:
     """Correct the new-visitor flag of each row from the visitor's history, in time order.
 
@@ -131,7 +136,7 @@ def repair_is_new(
     the same rows in a form that is cheaper to read for the two facts; `copies` is that of `skew.join`.
     """
     if df.isStreaming:
-        return history.repair_is_new(df, [key], ts, flag, order, zone)
+        return history.repair_is_new(df, [key], ts, flag, order, zone, past)
     moment = F.struct(F.col(ts), *map(F.col, order))
     day = times.day(F.col(ts), zone)
     facts = session.settled(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from .. import schemas
+from .. import schemas, session
 from ..functions import times
 from ..operators import cdc
 from ..sinks import merge_tables, upserts
@@ -82,6 +82,10 @@ class Lines(_Processor):
             yield Row(order_id=line[0], id=key[0], wide=Row(**dict(zip(_WIDE.names, wide))), at=at)
 
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.known.update(tuple(_values(initialState[name]) for name in _PARTS))
+
+
 class Orders(_Processor):
     """Key: order. Emits a line when it or its order changes, once both are known."""
 
@@ -109,6 +113,13 @@ class Orders(_Processor):
                 yield Row(**{name: values[name] for name in schemas.ORDER_DETAIL})
 
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        if initialState["order"] is not None:
+            self.order.update(_values(initialState["order"]))
+        if initialState["wide"] is not None:
+            self.lines.updateValue((initialState["id"],), _values(initialState["wide"]))
+
+
 def _inserted(envelope: DataFrame, database: str | None) -> DataFrame:
     rows = envelope.filter(F.col("type").isin(*cdc.INSERTS))
     return rows if database is None else rows.filter(F.col("database") == database)
@@ -120,38 +131,77 @@ def _filled(table: str, fields: dict[str, str], kind: T.StructType, *more: Colum
     return F.when(F.col("table") == table, F.struct(*values, *more).cast(kind))
 
 
-def order_details(envelope: DataFrame, database: str | None = None, ttl: str | None = None, spread: int = 1) -> DataFrame:
+def _records(envelope: DataFrame, database: str | None) -> tuple[DataFrame, DataFrame]:
+    """Records keyed by line (id, line, activity, coupon, at) and by order (order_id, order, at)."""
+    inserted = _inserted(envelope, database)
+    names = ("order_detail", "order_detail_activity", "order_detail_coupon")
+    parts = (_filled(names[0], {name: name for name in _LINE}, _LINE_TYPE, F.col("ts")),
+             _filled(names[1], _ACTIVITY, _PARTS["activity"]), _filled(names[2], _COUPON, _PARTS["coupon"]))
+    line_id = F.when(F.col("table") == names[0], F.col("data")["id"]).otherwise(F.col("data")["order_detail_id"])
+    of_line = inserted.filter(F.col("table").isin(*names)).select(
+        line_id.alias("id"), *[part.alias(name) for name, part in zip(_PARTS, parts)], F.col("ts").alias("at"))
+    of_order = inserted.filter(F.col("table") == "order_info").select(
+        F.col("data")["id"].alias("order_id"), _filled("order_info", _ORDER, _ORDER_TYPE).alias("order"), F.col("ts").alias("at"))
+    return of_line.filter("id IS NOT NULL"), of_order.filter("order_id IS NOT NULL")
+
+
+def _last_of(rows: DataFrame, key: str, names: Iterable[str]) -> DataFrame:
+    """Per key the last filled struct of each name: what the state holds after these rows."""
+    return rows.groupBy(key).agg(*[
+        F.max(F.when(F.col(name).isNotNull(), F.struct("at", name)))[name].alias(name) for name in names])
+
+
+def _wide() -> Column:
+    """The line with its activity and coupon."""
+    parts = [*[("line", name) for name in _LINE], *[("activity", name) for name in _ACTIVITY],
+             *[("coupon", name) for name in _COUPON], ("line", "ts")]
+    return F.when(F.col("line").isNotNull(), F.struct(*[F.col(part)[name].alias(name) for part, name in parts])).cast(_WIDE)
+
+
+def _part(spread: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int").alias("part")
+
+
+def _every_part(spread: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part")
+
+
+def order_details(envelope: DataFrame, database: str | None = None, ttl: str | None = None, spread: int = 1,
+                  past: DataFrame | None = None) -> DataFrame:
     """Versions of order lines from a stream of change records: the columns of `plans.dwd.order_detail`.
 
     Whenever a line, its order, activity or coupon is inserted, the lines this changes come out as they are now, whatever
     their age; the last version of a line is the row that the batch job gives. Of several records of one key the last one counts, by
     `ts` within a micro-batch and by arrival across them. Records without their key are left out, as in a join.
 
-    State is kept for good, or with `ttl` for so long after it was written, in processing time. An order with very many lines
-    may be dealt over `spread` keys, each of which keeps the order.
+    State is kept for good, or with `ttl` for so long after it was written, in processing time; such a query goes on
+    until it is stopped. An order with very many lines may be dealt over `spread` keys, each of which keeps the
+    order. Records of `past`, a batch, came before the stream: they are in the state from the start, and lines they
+    complete do not come out again.
     """
     ttl_ms = None if ttl is None else int(times.seconds(ttl) * 1000)
-    def stateful(rows: DataFrame, keys: list[str], processor: _Processor, out: T.StructType) -> DataFrame:
+
+    def stateful(rows: DataFrame, keys: list[str], processor: _Processor, out: T.StructType, start: DataFrame | None) -> DataFrame:
         return rows.groupBy(*keys).transformWithState(
             statefulProcessor=processor, outputStructType=out, outputMode="Append",
-            timeMode="None" if ttl_ms is None else "ProcessingTime")
-
-    inserted = _inserted(envelope, database)
-    names = ("order_detail", "order_detail_activity", "order_detail_coupon")
-    parts = (_filled(names[0], {name: name for name in _LINE}, _LINE_TYPE, F.col("ts")),
-             _filled(names[1], _ACTIVITY, _PARTS["activity"]), _filled(names[2], _COUPON, _PARTS["coupon"]))
-    line_id = F.when(F.col("table") == names[0], F.col("data")["id"]).otherwise(F.col("data")["order_detail_id"])
-    records = inserted.filter(F.col("table").isin(*names)).select(
-        line_id.alias("id"), *[part.alias(name) for name, part in zip(_PARTS, parts)], F.col("ts").alias("at")).filter("id IS NOT NULL")
-    orders = inserted.filter(F.col("table") == "order_info").select(
-        F.col("data")["id"].alias("order_id"), _filled("order_info", _ORDER, _ORDER_TYPE).alias("order"), F.col("ts").alias("at"))
-    wide = stateful(records, ["id"], Lines(ttl_ms), _KEYED_LINE).filter("order_id IS NOT NULL")
-    salt = F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int").alias("part")
-    every = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part")
-    of_order = wide.select("*", salt, F.lit(None).cast(_ORDER_TYPE).alias("order")).unionByName(
-        orders.filter("order_id IS NOT NULL").select("*", every), allowMissingColumns=True)
+            timeMode="None" if ttl_ms is None else "ProcessingTime",
+            initialState=None if start is None else start.groupBy(*keys))
+
+    def dealt(lines: DataFrame, orders: DataFrame) -> DataFrame:
+        no_order = F.lit(None).cast(_ORDER_TYPE).alias("order")
+        return lines.filter("order_id IS NOT NULL").select("*", _part(spread), no_order).unionByName(
+            orders.select("*", _every_part(spread)), allowMissingColumns=True)
+
+    line_start = order_start = None
+    if past is not None:
+        known, placed = _records(past, database)
+        line_start = session.settled(_last_of(known, "id", _PARTS))
+        lines = line_start.select(F.col("line.order_id").alias("order_id"), "id", _wide().alias("wide"))
+        order_start = dealt(lines, _last_of(placed, "order_id", ["order"]))
+    of_line, of_order = _records(envelope, database)
+    wide = stateful(of_line, ["id"], Lines(ttl_ms), _KEYED_LINE, line_start)
     result = T.StructType([*_struct(schemas.ORDER_DETAIL[:-1]).fields, T.StructField("ts", T.LongType())])
-    return stateful(of_order, ["order_id", "part"], Orders(ttl_ms), result)
+    return stateful(dealt(wide, of_order), ["order_id", "part"], Orders(ttl_ms), result, order_start)
 
 
 def order_detail_versions(envelope: DataFrame, checkpoint: str, out: str, once: bool = False, database: str | None = None,

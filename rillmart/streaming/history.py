@@ -3,6 +3,9 @@
 Rows of one key and micro-batch meet the state in event-time order; across batches arrival order counts. First-ever and
 first-of-day hold one row per key and day of the micro-batch. The others hold a key's rows of one micro-batch, so
 sources limit what a micro-batch reads (see `sources.messages`).
+
+A stream may take over from a batch: with `past` the state each key has after those rows is computed in batch and loaded
+once, when the query first starts, so results go on as if all rows had come through the stream.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -46,6 +49,13 @@ class _Ordered(StatefulProcessor):
             if self.keep is not None:
                 self.handle.registerTimer(self._expiry(last))
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        names = [field.split()[0] for field in self.state_type.split(", ")]
+        last = tuple(initialState[name] for name in names)
+        self.state.update(last)
+        if self.keep is not None:
+            self.handle.registerTimer(self._expiry(last))
+
     def place(self, row: Row) -> list:
         return [(row[name] is not None, row[name]) for name in self.order]
 
@@ -149,61 +159,89 @@ class Delta(_Ordered):
         return [row[name] - before[name] if name in before else row[name] for name in self.out], (row[_AT], *values)
 
 
-def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType
-         ) -> DataFrame:
+def _dated(df: DataFrame, ts: str, zone: str | None) -> DataFrame:
     # Order and day are fixed here, so that no clock or zone of a Python worker takes part.
-    rows = df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, times.day(F.col(ts), zone))
-    return rows.groupBy(*keys).transformWithState(
+    return df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, times.day(F.col(ts), zone))
+
+
+def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType,
+         past: DataFrame | None = None) -> DataFrame:
+    """`past` holds the state at the start: one row per key with the columns of the state."""
+    return _dated(df, ts, zone).groupBy(*keys).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
         timeMode="EventTime",
+        initialState=None if past is None else past.groupBy(*keys),
         eventTimeColumnName=ts,
     )
 
 
+def _moment(order: tuple[str, ...]) -> Column:
+    return F.struct(_AT, *order)
+
+
 def repair_is_new(
-    df: DataFrame, keys: list[str], ts: str, flag: str, order: tuple[str, ...] = (), zone: str | None = None
+    df: DataFrame, keys: list[str], ts: str, flag: str, order: tuple[str, ...] = (), zone: str | None = None,
+    past: DataFrame | None = None,
 ) -> DataFrame:
-    """`operators.state.repair_is_new` for a watermarked stream."""
-    return _run(df, keys, ts, zone, RepairIsNew([_AT, *order], df.columns, flag), df.schema)
+    """`operators.state.repair_is_new` for a watermarked stream. Rows of `past`, a batch, came before it."""
+    if past is not None:
+        old, new = F.col(flag) == "0", F.col(flag) == "1"
+        known = _dated(past, ts, zone).groupBy(*keys).agg(
+            F.max_by(F.date_sub(_DAY, 1), F.when(old, _moment(order))).alias("_old"),
+            F.min_by(F.col(_DAY), F.when(new, _moment(order))).alias("_new"))
+        past = known.select(*keys, F.coalesce("_old", "_new").alias("day")).filter("day IS NOT NULL")
+    return _run(df, keys, ts, zone, RepairIsNew([_AT, *order], df.columns, flag), df.schema, past)
 
 
 def day_changes(
     df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None,
-    keep_days: int | None = None,
+    keep_days: int | None = None, past: DataFrame | None = None,
 ) -> DataFrame:
     """First-of-day rows of a watermarked stream with `prev_day`; remembers only the last day, in arrival order.
 
-    With `keep_days` a key is forgotten that many days after the end of its last day.
+    With `keep_days` a key is forgotten that many days after the end of its last day. Rows of `past`, a batch, came
+    before the stream, in order of time.
     """
     schema = T.StructType([*df.schema.fields, T.StructField("prev_day", T.DateType())])
     keep = None if keep_days is None else dt.timedelta(days=keep_days + 1)
-    return _run(df, keys, ts, zone, DayChanges([_AT, *order], schema.names, keep), schema)
+    if past is not None:
+        past = _dated(past, ts, zone).groupBy(*keys).agg(F.max(_DAY).alias("day"))
+    return _run(df, keys, ts, zone, DayChanges([_AT, *order], schema.names, keep), schema, past)
 
 
 def first_of_day(
-    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), zone: str | None = None,
+    past: DataFrame | None = None,
 ) -> DataFrame:
     """`operators.state.first_of_day` for a watermarked stream; a key is forgotten one day after its last day."""
-    return day_changes(df, keys, ts, order, zone, keep_days=1).drop("prev_day")
+    return day_changes(df, keys, ts, order, zone, keep_days=1, past=past).drop("prev_day")
 
 
 def first_ever(
-    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), forget: bool = False
+    df: DataFrame, keys: list[str], ts: str, order: tuple[str, ...] = (), forget: bool = False,
+    past: DataFrame | None = None,
 ) -> DataFrame:
-    """`operators.state.first_ever` for a watermarked stream."""
+    """`operators.state.first_ever` for a watermarked stream. Rows of `past`, a batch, came before it."""
     keep = dt.timedelta() if forget else None
-    return _run(df, keys, ts, None, FirstEver([_AT, *order], df.columns, keep), df.schema)
+    if past is not None:
+        past = _dated(past, ts, None).groupBy(*keys).agg(F.min(_AT).alias("at"))
+    return _run(df, keys, ts, None, FirstEver([_AT, *order], df.columns, keep), df.schema, past)
 
 
 def delta(
-    df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str], ttl: str | None = None
+    df: DataFrame, keys: list[str], ts: str, order: list[str], measures: list[str], ttl: str | None = None,
+    past: DataFrame | None = None,
 ) -> DataFrame:
     """`operators.state.delta` for a watermarked stream, ordered by `ts` and `order`. Measures must not be null.
 
-    With `ttl` a key is forgotten once the watermark is that far past its last version.
+    With `ttl` a key is forgotten once the watermark is that far past its last version. Rows of `past`, a batch, came
+    before the stream.
     """
     state_type = ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in measures)
     keep = None if ttl is None else dt.timedelta(seconds=times.seconds(ttl))
-    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type, keep), df.schema)
+    if past is not None:
+        last = F.max_by(F.struct(F.col(_AT).alias("at"), *measures), _moment(tuple(order)))
+        past = _dated(past, ts, None).groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
+    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type, keep), df.schema, past)

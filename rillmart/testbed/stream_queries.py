@@ -197,6 +197,21 @@ def stream_is_new_repair(spark, sf_dir):
     return _appended(spark, state.repair_is_new(rows, "mid", "et", "is_new", ("ts",)).drop("et"))
 
 
+_HANDOVER = "2024-01-16"
+
+
+@query("stream_handover", f"WITH {REPAIRED} SELECT mid, ts, is_new FROM fixed")
+def stream_handover(spark, sf_dir):
+    """Flags of the first half of the time repaired in batch, those of the rest by a stream that starts from its state."""
+    rows = shapes.pages(shapes.events(spark, sf_dir)).select("mid", "ts", "is_new").withColumn("et", F.timestamp_millis("ts"))
+    before = F.col("et") < _HANDOVER
+    past, folder = rows.filter(before), scratch(spark)
+    rows.filter(~before).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{folder}/in").withWatermark("et", dwd.LOG_DELAY)
+    later = _appended(spark, state.repair_is_new(arriving, "mid", "et", "is_new", ("ts",), past=past))
+    return state.repair_is_new(past, "mid", "et", "is_new", ("ts",)).unionByName(later).drop("et")
+
+
 @query("stream_payments", QUERIES["payments_interval"].sql)
 def stream_payments(spark, sf_dir):
     def of(kind: str, id_: str, ts: str) -> DataFrame:

@@ -302,3 +302,44 @@ def test_merge_table_of_dimensions(spark, rows, tmp_path):
         assert rows(dims.current(table, "d", ["id", "n"], keys)) == wanted[:1]
         table.compact(tails=1)
     assert rows(table.versions().filter("type = 'delete'")) == []
+
+
+# snapshot, then changes
+
+HANDOVER = {
+    "repair": (VISITS, "mid string, et timestamp, is_new string",
+               lambda df, past: state.repair_is_new(df, "mid", "et", "is_new", past=past)),
+    "first_of_day": (VISITS, "mid string, et timestamp, is_new string",
+                     lambda df, past: state.first_of_day(df, ["mid"], "et", past=past)),
+    "first_ever": (VISITS, "mid string, et timestamp, is_new string",
+                   lambda df, past: state.first_ever(df, "mid", "et", past=past)),
+    "delta": (AMOUNTS, "id string, et timestamp, amount bigint",
+              lambda df, past: state.delta(df, ["id"], ["et"], ["amount"], past=past)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(HANDOVER))
+def test_a_stream_goes_on_where_the_batch_ended(spark, rows, tmp_path, name):
+    parts, schema, job = HANDOVER[name]
+    past, *later = [spark.createDataFrame(part, schema) for part in parts]
+    arrivals = Arrivals(spark, tmp_path / "in").add(*later)
+    out = str(tmp_path / "out")
+    streamed = job(arrivals.stream().withWatermark("et", "9 days"), past)
+    queries.each_batch(streamed, str(tmp_path / "c"), lambda df, n: upserts.append(df, out, n), once=True).awaitTermination()
+    whole = past
+    for part in later:
+        whole = whole.unionByName(part)
+    got = spark.read.parquet(out).select(*schema_names(schema)).unionByName(job(past, None).select(*schema_names(schema)))
+    assert rows(got) == rows(job(whole, None), *schema_names(schema))
+
+
+def schema_names(schema):
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def test_details_go_on_from_a_snapshot(spark, topic, rows, tmp_path):
+    past = topic(*BATCHES[0], *BATCHES[1])
+    arrivals = Arrivals(spark, tmp_path / "in").add(topic(*BATCHES[2]))
+    versions, found = details.order_details(arrivals.stream(), "shop", spread=2, past=past), []
+    queries.each_batch(versions, str(tmp_path / "c"), lambda df, n: found.extend(df.collect()), once=True).awaitTermination()
+    assert sorted((r["id"], r["user_id"], r["activity_id"]) for r in found) == [("d1", "u", "new"), ("d3", "u", "late")]
