@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import values
+from . import segments
 
 
 def searches(pages: DataFrame) -> DataFrame:
@@ -31,6 +33,19 @@ def explode(
     return df.withColumn(out, F.explode(F.array_distinct(words(F.col(column)))))
 
 
+def by_dictionary(df: DataFrame, column: str, dictionary: DataFrame, out: str = "keyword", longest: int = segments.LONGEST
+                  ) -> DataFrame:
+    """One row per distinct word of a text column in batch, where runs of letters or digits are cut by a dictionary (column `word`).
+
+    Each different run is cut once (`segments.cut_runs`) and joined back; texts without words give no row.
+    """
+    rows = session.settled(df.withColumn("_row", F.monotonically_increasing_id()))
+    runs = rows.select("_row", F.explode(values.tokens(F.col(column))).alias("run"))
+    cut = segments.cut_runs(runs, dictionary, longest)
+    words = runs.join(cut, "run").select("_row", F.explode("words").alias(out)).distinct()
+    return rows.join(words, "_row").drop("_row")
+
+
 def register(spark: SparkSession, name: str = "kw_split") -> None:
     """The splitter as a table function for SQL: `FROM t, LATERAL kw_split(t.item)` gives a row per distinct word."""
     spark.sql(rf"""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import session
@@ -23,6 +24,24 @@ def writer(df: DataFrame, checkpoint: str, once: bool = False, trigger: str = TR
     return started.trigger(availableNow=True) if once else started.trigger(processingTime=trigger)
 
 
+_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
+@contextmanager
+def idle_inputs(spark: SparkSession, skip: bool = True) -> Iterator[None]:
+    """Queries started within do not wait for idle inputs: their watermark follows the furthest of their inputs.
+
+    Otherwise it follows the slowest, so an input without rows keeps all windows open. With `skip` rows of an input that
+    wakes up behind the watermark are late and left out. The choice stays with the query's checkpoint.
+    """
+    before = spark.conf.get(_POLICY)
+    spark.conf.set(_POLICY, "max" if skip else "min")
+    try:
+        yield
+    finally:
+        spark.conf.set(_POLICY, before)
+
+
 def each_batch(
     df: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None], once: bool = False,
     trigger: str = TRIGGER, mode: str = "append",

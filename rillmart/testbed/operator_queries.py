@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, session
 from ..functions import naming, times, values
-from ..operators import cdc, enrich, facts, joins, keywords, logs, reports, routing, skew, state, versions
+from ..operators import bitmaps, cdc, enrich, facts, joins, keywords, logs, reports, routing, skew, state, versions
 from ..sinks import topics
 from . import shapes, sql
 from .detail_queries import REPAIRED
@@ -379,3 +379,29 @@ def as_of_split(spark, sf_dir):
     """The same with every user above 20 events treated as heavy."""
     heavy = skew.heavy_keys(shapes.table(spark, sf_dir, "events"), ["user_id"], limit=20)
     return _last_purchase(spark, sf_dir, few=False, heavy=heavy)
+
+
+_UV_SQL = f"""
+SELECT {sql.window('1 day', 'ts')}, event_type, count(DISTINCT user_id) AS uv FROM events GROUP BY ALL"""
+
+
+@query("uv_rolled_up", _UV_SQL)
+def uv_rolled_up(spark, sf_dir):
+    """Visitors per day from the bitmaps of 5 seconds, combined per hour and then per day."""
+    events = shapes.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("et"), "user_id", "event_type")
+    short = session.settled(bitmaps.construct(events, "et", "5 seconds", ["event_type"], "user_id"))
+    hours = bitmaps.roll_up(short, "1 hour", ["event_type"])
+    return bitmaps.counts(bitmaps.roll_up(hours, "1 day", ["event_type"]), ["event_type"], "uv")
+
+
+@query("keyword_dictionary", """
+SELECT a.p_partkey AS id, unnest(list_distinct(string_split(a.p_name || ' ' || b.p_name, ' '))) AS keyword
+FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1""")
+def keyword_dictionary(spark, sf_dir):
+    """The names of two parts written together without blanks, cut by the dictionary of all words in names."""
+    part = shapes.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    names = F.regexp_replace(F.concat("p_name", "next_name"), " ", "")
+    after = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("next_name"))
+    texts = part.join(after, "p_partkey").select(F.col("p_partkey").alias("id"), names.alias("text"))
+    dictionary = part.select(F.explode(F.split("p_name", " ")).alias("word"))
+    return keywords.by_dictionary(texts, "text", dictionary).select("id", "keyword")

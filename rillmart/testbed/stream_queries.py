@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
-from ..operators import enrich, joins, routing, state, windows
+from ..operators import bitmaps, enrich, joins, routing, state, windows
 from ..plans import dim, dwd, dws
 from ..sinks import dims as dim_sink
 from ..sinks import merge_tables, tables, topics, upserts
@@ -383,3 +383,34 @@ def stream_config_as_of(spark, sf_dir):
     queries.with_live_config(arriving, f"{folder}/checkpoint", lambda: config_history(spark), write,
                              once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
+
+
+@query("stream_uv_rolled_up", f"""
+SELECT {sql.window(_DAY, 'ts')}, event_type, count(DISTINCT user_id) AS uv FROM events
+WHERE time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' <= (SELECT max(ts) - INTERVAL '5 seconds' FROM events)
+GROUP BY ALL""")
+def stream_uv_rolled_up(spark, sf_dir):
+    """Bitmaps of 5 seconds appended by a stream, visitors per day from them."""
+    events = stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("et"), "user_id", "event_type")
+    short = _appended(spark, bitmaps.construct(events, "et", "5 seconds", ["event_type"], "user_id", dwd.DELAY))
+    return bitmaps.counts(bitmaps.roll_up(short, _DAY, ["event_type"]), ["event_type"], "uv")
+
+
+@query("stream_idle_input", _closed(f"""
+SELECT {sql.window('1 hour', 'ts')}, '{AS_OF}' AS cur_date, count(*) AS event_ct FROM events
+WHERE event_type <> 'click' OR ts < TIMESTAMP '2024-01-02' GROUP BY ALL""", "max(ts) FROM events WHERE event_type <> 'click'"))
+def stream_idle_input(spark, sf_dir):
+    """Two inputs, one of which has no rows after the first day: windows close by the other."""
+    folder = scratch(spark)
+    events = shapes.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("et"), "event_type")
+    clicks = F.col("event_type") == "click"
+    events.filter(~clicks).write.parquet(f"{folder}/busy")
+    events.filter(clicks & (F.col("et") < "2024-01-02")).write.parquet(f"{folder}/idle")
+
+    def of(name: str) -> DataFrame:
+        return spark.readStream.schema(events.schema).parquet(f"{folder}/{name}").withWatermark("et", dwd.DELAY)
+
+    counted = windows.tumble(of("busy").unionByName(of("idle")), "et", "1 hour", [], [F.count(F.lit(1)).alias("event_ct")],
+                             None, AS_OF)
+    with queries.idle_inputs(spark):
+        return _appended(spark, counted)
