@@ -56,11 +56,13 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     the document, `taken` is times * size.
 
     Prefix sums are taken in two levels: each source is cut into about as many key ranges as each range has rows
-    (the square root of its count), ranges are summed first, and a window adds up the rows within one range only.
-    Only the source table, one row per source, is ordered in one task.
+    (the square root of its count), ranges are summed first, and a window adds up the rows within one range only. Ranges
+    follow the distribution of the source's keys, which its counts of rows per weight give, so they are even whatever
+    the weights are. Only the source table, one row per source, is ordered in one task.
 
-    The draw depends on `seed`, key and nothing else, so reruns agree; ties go by key, then size, and rows equal in both
-    count as any order. Null sources are a source. Sources without words have target 0. An empty table gives no rows.
+    The draw depends on `seed`, key and weight alone, so reruns agree; ties go by key, then size, and rows equal in both
+    count as any order. Null sources are a source. Sources without words have target 0. Texts of any length are taken
+    whole. An empty table gives no rows. Other columns are ignored, whatever their names.
     `weight` (a column over docs, from 0 exclusive to 1) replaces the built-in quality; null weighs 1.
     """
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
@@ -70,23 +72,26 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"),
                     F.coalesce(F.char_length(text), F.lit(0)).alias("chars"),
                     (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight"))
-        # 1 - exp(-k) for the sampling key k = -ln(unit) / weight: rises with k, from 0 to 1.
-        .select("key", "source", _label("source"), "size", (1 - F.pow(unit, 1 / own)).alias("at")),
+        .select("key", "source", _label("source"), "size", own.alias("weight"), (-F.log(unit) / own).alias("at")),
         "sizes",
     )
+    # Weights within a fifth of each other count as one.
+    about = F.greatest(F.floor(4 * F.log2("weight")), F.lit(-256))
+    per_weight = rows.groupBy("label", about.alias("about")).agg(
+        F.first("source").alias("source"), F.sum("size").alias("size"), F.count("*").alias("n"), F.avg("weight").alias("weight"))
     totals = settled(
-        rows.groupBy("label").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"),
-                                  F.count("*").alias("n")), "sources")
+        per_weight.groupBy("label").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.sum("n").alias("n"),
+                                        F.collect_list(F.struct("n", "weight")).alias("mixture")), "sources")
     plan = targets(totals, weights, share, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = settled(
         plan.withColumn("epochs", epochs.cast("int"))
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-        .withColumn("ranges", F.ceil(F.sqrt("n"))).drop("source", "n"),
+        .withColumn("ranges", F.ceil(F.sqrt("n"))).drop("source"),
         "targets",
     )
     known = _with_source(rows, plan).withColumn(
-        "range", F.least(F.floor(F.col("at") * F.col("ranges")), F.col("ranges") - 1))
+        "range", F.least(F.floor(below(F.col("at"), F.col("mixture")) / F.col("n") * F.col("ranges")), F.col("ranges") - 1))
     ranges = known.groupBy("label", "range").agg(F.sum("size").alias("range_size"))
     ahead = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = settled(
@@ -102,6 +107,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
 
 
+def below(at: Column, mixture: Column) -> Column:
+    """How many keys of a source are expected up to `at`; its rows per weight are the array `mixture` of (n, weight)."""
+    return F.aggregate(mixture, F.lit(0.0), lambda acc, part: acc + part["n"] * (1 - F.exp(-at * part["weight"])))
+
+
 def _label(source: str) -> Column:
     """A source as a join key that is never null."""
     return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("label")
