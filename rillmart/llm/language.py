@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import settled, ship
 
 #: Bounds of the training sample: documents per language, characters of each, bytes of a dictionary.
 SAMPLE_DOCS = 400
@@ -19,6 +19,7 @@ PIECE = 2_048
 LEVEL = 3
 MARGIN = 0.002
 UNKNOWN = "und"
+_LANGUAGES = 10_000
 
 
 def held_out(key: Column) -> Column:
@@ -31,23 +32,48 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column
           dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw-content dictionary per language from a sample whose size does not depend on the input.
 
-    Of each language the `sample_docs` different texts come first in `order` (a hash of the text by default, the least of
-    copies), with the first `sample_chars` characters of each; of these the first that fit `dictionary_bytes` are learned
-    from. Texts count as different by these characters in lower case; null languages and texts are left out.
+    Of each language the `sample_docs` different texts come first in order of a hash, with the first `sample_chars`
+    characters of each; of these the first that fit `dictionary_bytes` are learned from. Texts count as different by these
+    characters in lower case, which the hash is of, so any number of copies or repeated rows is one text, and the rest of
+    a very long text does not count here. Null languages, null and empty texts are left out; an empty table gives no dictionaries.
+
+    How many different texts a language has is estimated by a sketch, and only those below the hash that leaves about
+    twice `sample_docs` are gathered; if there are fewer than wanted, that is repeated with more. So what meets in a
+    task and on the driver depends on the number of languages alone. With an `order` of one's own, all different texts are gathered
+    and ranked per language.
     """
-    known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
-                        (F.xxhash64(text) if order is None else order).alias("at"))
-    known = known.filter("lang IS NOT NULL AND length(text) > 0").select(
-        "lang", "at", F.lower(F.substring("text", 1, sample_chars)).alias("text"))
+    known = docs.select(F.col(lang).alias("lang"), F.lower(F.substring(F.col(text), 1, sample_chars)).alias("text"),
+                        *([] if order is None else [order.alias("at")])).filter("lang IS NOT NULL AND length(text) > 0")
+    if order is None:
+        known = _lowest(known.withColumn("at", F.xxhash64("text")), sample_docs)
     different = known.groupBy("lang", "text").agg(F.min("at").alias("at"))
     first = Window.partitionBy("lang").orderBy("at", "text")
-    sample = different.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs)
+    bytes_before = F.sum(F.octet_length("text") + 1).over(first.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = different.withColumn("before", F.coalesce(bytes_before, F.lit(0))).withColumn(
+        "n", F.row_number().over(first)).filter(F.col("n") <= sample_docs)
+    sample = ranked.filter((F.col("before") < dictionary_bytes) | (F.col("n") == 1))
     parts: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda row: (row["lang"], -row["n"])):
         parts.setdefault(row["lang"], []).append(row["text"])
     return {lang: _last_bytes("\n".join(texts).encode(), dictionary_bytes) for lang, texts in parts.items()}
 
 
+def _lowest(known: DataFrame, wanted: int) -> DataFrame:
+    """Rows whose hash `at` is low enough that each language keeps at least `wanted` different ones, if it has them, and
+    about twice as many."""
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("at").alias("n"))
+    share = 2.0 * wanted
+    while True:
+        limit = F.least(F.lit(1.0), share / F.col("n")) * float(1 << 64) - float(1 << 63)
+        limits = sizes.select("lang", (F.col("n") <= share).alias("all"), limit.alias("limit"))
+        kept = settled(known.join(F.broadcast(limits) if limits.limit(_LANGUAGES + 1).count() <= _LANGUAGES else limits, "lang")
+                       .filter(F.col("all") | (F.col("at") <= F.col("limit"))).drop("limit"), "sample")
+        short = kept.filter("NOT all").groupBy("lang").agg(F.countDistinct("at").alias("n")).filter(F.col("n") < wanted)
+        if short.isEmpty():
+            return kept.drop("all")
+        share *= 4
+
+
 def _last_bytes(content: bytes, most: int) -> bytes:
     return content[max(0, len(content) - most):]
 

@@ -178,6 +178,18 @@ def test_mixing_meets_its_targets(request, table):
     assert sorted(map(repr, again)) == sorted(map(repr, rows))
 
 
+def test_mixing_ranges_are_even_for_any_weights(spark):
+    for weights in ("0.25", "1.0", "if(id % 3 = 0, 1.0, if(id % 3 = 1, 0.5, 0.25))", "0.01 + (id % 100) / 101.0"):
+        df = spark.range(10_000).selectExpr("id", f"{weights} AS weight")
+        unit = (F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 11).cast("double") + 0.5) / float(2**53)
+        keyed = df.withColumn("at", -F.log(unit) / F.col("weight"))
+        found = keyed.groupBy(F.floor(4 * F.log2("weight"))).agg(F.count("*").alias("n"), F.avg("weight").alias("weight")).collect()
+        mixture = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.lit(float(r["weight"])).alias("weight")) for r in found])
+        place = F.least(F.floor(mixing.below(F.col("at"), mixture) / 100), F.lit(99))
+        counts = [r["count"] for r in keyed.groupBy(place.alias("range")).count().collect()]
+        assert len(counts) == 100 and max(counts) < 4 * 100
+
+
 def test_mixing_of_nothing(empty, spark):
     assert mixing.mix(empty).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id int, text string, source string")
@@ -456,6 +468,36 @@ def test_language_learns_from_different_texts(spark):
     assert language.learn(df, order=first, sample_docs=4, dictionary_bytes=0) == {"xx": b""}
 
 
+def test_language_sample_is_the_lowest_hashes(spark):
+    df = spark.range(3_000).selectExpr("if(id % 3 = 0, 'aa', 'bb') AS lang", "concat('Text ', id % 900) AS text")
+    found = language.learn(df, sample_docs=20)
+    for lang in ("aa", "bb"):
+        texts = df.filter(F.col("lang") == lang).select(F.lower("text").alias("text")).distinct()
+        lowest = [r["text"] for r in texts.orderBy(F.xxhash64("text")).limit(20).collect()]
+        assert found[lang] == "\n".join(reversed(lowest)).encode()
+
+
+def plain_language(text, dictionaries):
+    """The language whose dictionary compresses best, by whole compressed sizes."""
+    import zstandard
+
+    if text is None or not any(map(str.isalpha, text)):
+        return "und"
+    content, sizes = text.lower().encode(), {}
+    for lang in sorted(dictionaries):
+        words = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        compressor = zstandard.ZstdCompressor(level=language.LEVEL, write_content_size=False, write_checksum=False,
+                                              write_dict_id=False, dict_data=words)
+        sizes[lang] = sum(len(compressor.compress(content[i:i + language.PIECE])) for i in range(0, len(content), language.PIECE))
+    return min(sizes, key=lambda lang: (sizes[lang], lang))
+
+
+def test_language_agrees_with_plain_compression(docs):
+    dictionaries = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
+    got = language.identify(docs, dictionaries).collect()
+    assert [r["lang_pred"] for r in got] == [plain_language(r["text"], dictionaries) for r in got]
+
+
 def test_language_on_held_out_documents(docs, spark):
     rows = queries.op6_language(spark, SF_DIR).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
