@@ -35,6 +35,10 @@ class Heavy:
         schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(_PARTS, T.IntegerType())])
         return df.sparkSession.createDataFrame(list(self.parts.items()), schema)
 
+    def only(self, df: DataFrame) -> DataFrame:
+        """Rows of heavy keys, of a frame that has the key hash. The keys, bounded in number, are joined as a table."""
+        return df.join(F.broadcast(self.frame(df).select(_HASH)), _HASH, "left_semi")
+
 
 def rows_per_task(df: DataFrame) -> int:
     """Setting `rillmart.skew.rowsPerTask`: the most rows of one key that a single task should get."""
@@ -125,7 +129,7 @@ def _cut_points(df: DataFrame, keys: list[str], first: str, heavy: Heavy) -> Dat
     )
     found = (
         df.select(F.xxhash64(*keys).alias(_HASH), F.col(first).alias("v"))
-        .filter(F.col(_HASH).isin(list(heavy.parts)))
+        .transform(heavy.only)
         .groupBy(_HASH)
         .agg(F.percentile_approx("v", shares, max(10_000, 10 * most)).alias("all_cuts"))
         .join(heavy.frame(df), _HASH)
@@ -148,13 +152,14 @@ def _chunked(df: DataFrame, keys: list[str], order: list[str], heavy: Heavy) ->
     cuts = _cut_points(df, keys, order[0], heavy)
     sub_chunk, tied = F.lit(0), Heavy({})
     if len(order) > 1 and isinstance(df.schema[order[1]].dataType, _CUTTABLE):
-        hot_rows = rows.filter(F.col(_HASH).isin(list(heavy.parts)))
+        hot_rows = rows.transform(heavy.only)
         group = [*keys, order[0]]
         counts = hot_rows.groupBy(_HASH, *group).count()
         tied = heavy_from_counts(counts.drop(_HASH), group, "count", heavy.limit)
     if tied:
         ends = (
-            counts.filter(F.xxhash64(*group).isin(list(tied.parts)))
+            counts.withColumnRenamed(_HASH, "_of_key").withColumn(_HASH, F.xxhash64(*group)).transform(tied.only)
+            .drop(_HASH).withColumnRenamed("_of_key", _HASH)
             .groupBy(_HASH)
             .agg(F.collect_set(order[0]).alias("ends"))
         )
@@ -191,7 +196,7 @@ def with_previous(
     chunked = _chunked(df, keys, order, heavy)
     carried = list(dict.fromkeys([*order, *columns]))
     lasts = (
-        chunked.filter(F.col(_HASH).isin(list(heavy.parts)))
+        chunked.transform(heavy.only)
         .groupBy(*keys, _HASH, _CHUNK)
         .agg(F.max_by(F.struct(*carried), F.struct(*order)).alias("_last"))
         .withColumn(_CHUNK, F.lead(_CHUNK).over(Window.partitionBy(*keys).orderBy(_CHUNK)))
@@ -229,7 +234,7 @@ def numbered(
     )
     # One small row per key and range; only heavy keys have more than one range.
     offsets = (
-        chunked.filter(F.col(_HASH).isin(list(heavy.parts)))
+        chunked.transform(heavy.only)
         .groupBy(_HASH, *keys, _CHUNK)
         .count()
         .withColumn(
@@ -265,7 +270,7 @@ def with_last(
     chunked = _chunked(df, keys, order, heavy)
     moment = F.when(F.col(column).isNotNull(), F.struct(*order))
     ends = (
-        chunked.join(heavy.frame(df).select(_HASH), _HASH, "left_semi")
+        chunked.transform(heavy.only)
         .groupBy(*keys, _HASH, _CHUNK)
         .agg(F.max_by(column, moment).alias(column))
     )

@@ -24,6 +24,8 @@ from .registry import AS_OF, QUERIES, query
 from .summary_queries import PROVINCE_SQL
 
 _DAY = "1 day"
+# Files of one part of a table and of one micro-batch, where parts arrive one after the other.
+_FILES = 4
 
 
 def scratch(spark: SparkSession) -> str:
@@ -140,7 +142,7 @@ def stream_live_provinces(spark, sf_dir):
     rows = orders.select(shapes.text("o_orderkey").alias("id"), shapes.text("c_nationkey").alias("province_id"),
                          (F.col("o_orderdate") >= _TURN).alias("later"))
     for later in (False, True):
-        part = rows.filter(F.col("later") == later).coalesce(1)
+        part = rows.filter(F.col("later") == later).repartition(_FILES)
         part.write.mode("append").parquet(f"{folder}/in")
     early = F.col("id").cast("int") < 12
     provinces.filter(early).write.parquet(f"{folder}/provinces")
@@ -151,7 +153,7 @@ def stream_live_provinces(spark, sf_dir):
         if batch == 0:
             provinces.filter(~early).write.mode("append").parquet(f"{folder}/provinces")
 
-    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _FILES).parquet(f"{folder}/in")
     queries.with_live_config(arriving, f"{folder}/checkpoint", lambda: spark.read.parquet(f"{folder}/provinces"), write,
                              once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
@@ -170,8 +172,8 @@ def stream_late_rows(spark, sf_dir):
     folder = scratch(spark)
     events = shapes.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("et"))
     for part in ("event_id % 4 = 0", "event_id % 4 = 2", "event_id % 2 = 1"):
-        events.filter(part).select("et").coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    arriving = spark.readStream.schema("et timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        events.filter(part).select("et").repartition(_FILES).write.mode("append").parquet(f"{folder}/in")
+    arriving = spark.readStream.schema("et timestamp").option("maxFilesPerTrigger", _FILES).parquet(f"{folder}/in")
     return _appended(spark, windows.tumble(arriving, "et", _DAY, [], [F.count(F.lit(1)).alias("event_ct")], dwd.DELAY,
                                            AS_OF))
 
