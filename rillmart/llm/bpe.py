@@ -167,7 +167,11 @@ def _pieces(text: str) -> list[str]:
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "token_ids") -> DataFrame:
-    """Add `out`, the ids of the whole text (array<int>); null texts have none. All other columns stay."""
+    """Add `out`, the ids of the whole text (array<int>). All other columns stay, one of the name `out` is replaced.
+
+    Null and empty texts have no ids, texts of any length are encoded whole in their row, repeated rows are encoded
+    each, an empty table stays empty.
+    """
     ship(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
@@ -180,7 +184,11 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "tok
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "token_ids", out: str = "text") -> DataFrame:
-    """Add `out`, the decoded text of an array of ids; unknown ids are left out, a null array gives an empty text."""
+    """Add `out`, the decoded text of an array of ids. All other columns stay, one of the name `out` is replaced.
+
+    Unknown ids are left out; a null or empty array gives an empty text, a long one a long text in one row. Repeated rows are decoded each,
+    an empty table stays empty.
+    """
     ship(docs.sparkSession)
 
     @F.pandas_udf("string")
@@ -193,7 +201,11 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "token_ids", out: str =
 
 
 def digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_tokens, ids_sha256, decoded_sha256, without carrying the ids. Null texts are empty."""
+    """Per row: key, n_tokens, ids_sha256, decoded_sha256, without carrying the ids.
+
+    Null texts are empty, texts of any length are taken whole. Keys may be null or repeat: rows count singly. An empty
+    table gives no rows. Other columns are ignored, whatever their names.
+    """
     ship(docs.sparkSession)
 
     @F.pandas_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")

@@ -112,7 +112,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     The language is that whose dictionary compresses the whole text smallest, `und` where the text is null or has no
     letter. A row is accepted where it has a language whose size is below the second one's by more than the share `margin`.
-    Nothing but the text is looked at. The dictionaries, of bounded size, travel with the function.
+    Nothing but the text is looked at, whole, however long it is. Repeated rows are judged each, alike; an empty table
+    stays empty. The dictionaries, of bounded size, travel with the function.
     """
     ship(docs.sparkSession)
     content = dict(dictionaries)

@@ -141,7 +141,8 @@ def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame
     that fails its check (octets, Luhn, digit count, mod-97) is dropped without another try. Base kinds are reported
     at any score, the others from a score of THRESHOLD on: an account code by its checksum, a social security number only
     with a word like 'ssn' within CONTEXT characters. Null and empty texts give an empty array. All other columns
-    stay, one of the name `out` is replaced. One pass without a shuffle; a text is handled whole in its row.
+    stay, one of the name `out` is replaced. Repeated rows are searched each, an empty table stays empty. One pass
+    without a shuffle; a text of any length is handled whole in its row.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     return docs.withColumn(out, F.concat(*[_spans(whole, kind) for kind in KINDS]))

@@ -151,8 +151,9 @@ def write(docs: DataFrame, out: str, vocabulary: str, end: int | None, key: str
 
     Returns the manifest (part, name, n_docs, n_tokens), parts in order of their keys. Rows are dealt by ranges of
     the key and sorted, so a part is one task. A task writes under a name of its own and only what the manifest
-    lists counts: tasks that run twice do no harm. Null texts are empty, a null key comes first, rows of equal keys
-    are ordered by text; an empty table has an empty manifest.
+    lists counts: tasks that run twice do no harm. Null texts are empty, texts of any length are one record, a null key
+    comes first, rows of equal keys are ordered by text; an empty table has an empty manifest. Other columns are
+    ignored, whatever their names.
     """
     ship(docs.sparkSession)
 

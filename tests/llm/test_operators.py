@@ -477,21 +477,35 @@ def test_language_sample_is_the_lowest_hashes(spark):
         assert found[lang] == "\n".join(reversed(lowest)).encode()
 
 
-def plain_language(text, dictionaries):
-    """The language whose dictionary compresses best, by whole compressed sizes."""
+def plain_sizes(text, dictionaries):
+    """Compressed sizes of a whole text per language."""
     import zstandard
 
-    if text is None or not any(map(str.isalpha, text)):
-        return "und"
     content, sizes = text.lower().encode(), {}
     for lang in sorted(dictionaries):
         words = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         compressor = zstandard.ZstdCompressor(level=language.LEVEL, write_content_size=False, write_checksum=False,
                                               write_dict_id=False, dict_data=words)
         sizes[lang] = sum(len(compressor.compress(content[i:i + language.PIECE])) for i in range(0, len(content), language.PIECE))
+    return sizes
+
+
+def plain_language(text, dictionaries):
+    """The language whose dictionary compresses best."""
+    if text is None or not any(map(str.isalpha, text)):
+        return "und"
+    sizes = plain_sizes(text, dictionaries)
     return min(sizes, key=lambda lang: (sizes[lang], lang))
 
 
+def clear_language(text, dictionaries):
+    """Whether the best language leads the second by more than the margin."""
+    if text is None or not any(map(str.isalpha, text)):
+        return False
+    best, second = sorted(plain_sizes(text, dictionaries).values())[:2]
+    return 1 - best / second > language.MARGIN
+
+
 def test_language_agrees_with_plain_compression(docs):
     dictionaries = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
     got = language.identify(docs, dictionaries).collect()

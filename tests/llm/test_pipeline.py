@@ -10,7 +10,8 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 import corpus_pipeline  # noqa: E402
 import test_operators as plain  # noqa: E402
-from rillmart.llm import queries, shared  # noqa: E402
+from rillmart.llm import language, queries, shared  # noqa: E402
+from test_operators import awkward, empty  # noqa: E402, F401
 
 
 def test_stages(spark):
@@ -25,6 +26,10 @@ def test_stages(spark):
         assert name == "encode" or out.columns == docs.columns
         docs = out
     known, lined, near, mixed, encoded = made
+    whole = shared.documents(spark, plain.SF_DIR)
+    dictionaries = language.learn(whole.filter(~language.held_out(whole["doc_id"])))
+    clear = [row for row in plain.pairs(whole) if plain.clear_language(row[1], dictionaries)]
+    assert plain.pairs(known) == clear
     texts = plain.plain_long_lines(plain.pairs(known), 50)
     wanted = [(k, texts[k, t]) for k, t in plain.pairs(known) if texts[k, t].strip(" ")]
     assert plain.pairs(lined) == sorted(wanted, key=repr)
@@ -42,3 +47,15 @@ def test_stages(spark):
     library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
     ids = [(k, library.encode(t, add_special_tokens=False).ids) for k, t in plain.pairs(mixed)]
     assert plain.pairs(encoded, "doc_id", "token_ids") == sorted(ids, key=repr)
+
+
+@pytest.mark.parametrize("table", ["awkward", "empty"])
+def test_stages_on_awkward_rows(request, spark, table):
+    """Nulls, ties, repeated ids and rows, long texts and columns of clashing names pass all stages."""
+    docs = request.getfixturevalue(table)
+    for name, stage in corpus_pipeline.STAGES:
+        out = shared.settled(stage(spark, docs, plain.SF_DIR), name)
+        assert name == "encode" or out.columns == docs.columns
+        assert name == "mix_sources" or out.count() <= docs.count()
+        docs = out
+    assert (docs.count() == 0) == (table == "empty")
