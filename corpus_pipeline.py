@@ -14,7 +14,10 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; those rejected go. Learned from the part that is not held out."""
+    """Documents whose language is clear; those rejected go, null texts and texts without letters among them.
+
+    Learned from the part that is not held out. Copies are judged alike, an empty table stays empty, other columns stay.
+    """
     dictionaries = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
     names = ("__rm_lang", "__rm_score", "__rm_accepted")
     return language.identify(docs, dictionaries, names=names).filter("__rm_accepted").drop(*names).select(docs.columns)
@@ -36,7 +39,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them. Rows that repeat an id are taken alike, as often as any of them."""
+    """Documents as often as the mixture takes them. Rows that repeat an id are taken alike, as often as any of them.
+
+    Null and empty texts have size zero, long ones enter whole; a null source is a source, rows without an id are one
+    document. An empty table stays empty, other columns stay.
+    """
     drawn = mixing.mix(docs.select("doc_id", "source", "text")).filter("times > 0")
     times = drawn.groupBy(F.col("doc_id").alias("__rm_id")).agg(F.max("times").alias("__rm_times"))
     taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__rm_id")))
@@ -44,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in place of the text."""
+    """Token ids in place of the text: none for null and empty texts, all of a long one. Rows stay as they are."""
     encoded = bpe.encode(docs, queries.vocabulary("word_bpe_49k.json"))
     return encoded.select("doc_id", "lang", "source", F.size("token_ids").alias("n_tokens"), "token_ids")
 
