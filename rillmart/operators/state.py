@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import session
 from ..functions import times
 from ..streaming import history
-from . import skew
+from . import enrich, skew
 
 
 def _first_by(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -132,8 +132,9 @@ def repair_is_new(
 
     A visitor who has shown up as old ('0') stays old. A visitor first seen as new ('1') on one day is old on later
     days. So two facts per visitor decide every row: the time of the first '0' and the day of the first '1'. They are
-    aggregated before the shuffle, written to the checkpoint folder, and joined back with heavy visitors split. `facts_from` may give
-    the same rows in a form that is cheaper to read for the two facts; `copies` is that of `skew.join`.
+    aggregated before the shuffle, written to the checkpoint folder, and joined back: broadcast where they are measured as
+    small, so that rows are not shuffled, otherwise with heavy visitors split. `facts_from` may give the same rows in a
+    form that is cheaper to read for the two facts; `copies` is that of `skew.join`.
     """
     if df.isStreaming:
         return history.repair_is_new(df, [key], ts, flag, order, zone, past)
@@ -146,8 +147,11 @@ def repair_is_new(
             F.count(F.lit(1)).alias("_rows"),
         )
     )
-    heavy = skew.heavy_from_counts(facts, [key], "_rows") if heavy is None else heavy
     known_old = (F.col("_first_old") < moment) | (F.col("_first_new_day") < day)
     fixed = F.when((F.col(flag) == "1") & known_old, F.lit("0")).otherwise(F.col(flag))
-    joined = skew.join(df, facts.drop("_rows"), [key], "left", [ts, *order], heavy, copies)
+    if heavy is None and enrich.small(facts):
+        joined = df.join(F.broadcast(facts.drop("_rows")), key, "left")
+    else:
+        heavy = skew.heavy_from_counts(facts, [key], "_rows") if heavy is None else heavy
+        joined = skew.join(df, facts.drop("_rows"), [key], "left", [ts, *order], heavy, copies)
     return joined.withColumn(flag, fixed).select(df.columns)
