@@ -16,6 +16,15 @@ from rillmart.streaming import details, queries
 T0 = 1_700_000_000
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small states: each partition of a stateful step starts workers of its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture
 def topic(spark):
     def build(*records):
