@@ -117,12 +117,13 @@ def join(
 
 
 def _cut_points(df: DataFrame, keys: list[str], first: str, heavy: Heavy) -> DataFrame:
-    """For each heavy key, values of the first order column that cut its rows into even parts.
+    """For each heavy key, values of the first order column that cut its rows into even parts, in ascending order.
 
     A key of p parts gets p - 1 cuts, so all keys together have at most `total / limit` of them.
     """
     most = max(heavy.parts.values())
-    shares = F.array(*[F.lit(i / most) for i in range(1, most)])
+    # One literal however many shares there are.
+    shares = F.split(F.lit(",".join(str(i / most) for i in range(1, most))), ",").cast("array<double>")
     own_share = F.transform(
         F.sequence(F.lit(1), F.col(_PARTS) - 1),
         lambda i: F.element_at("all_cuts", F.ceil(i * F.lit(most - 1) / F.col(_PARTS)).cast("int")),
@@ -139,6 +140,43 @@ def _cut_points(df: DataFrame, keys: list[str], first: str, heavy: Heavy) -> Dat
     return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
+def _passed(rows: DataFrame, of: str, cuts: DataFrame, value: str, name: str, equal: bool = False) -> DataFrame:
+    """Add `name`: how many cuts of the row's key hash (column `of`) are below its value, or with `equal` not above it.
+
+    It is null for keys without cuts. Cuts lie in blocks of about the square root of their number. A row meets the last
+    cut of each full block, then the cuts of its own block, by bisection in both, so what a row carries and compares
+    hardly grows with the number of parts. Cuts are bounded as heavy keys are, and broadcast.
+    """
+    cuts = cuts.filter(F.size("cuts") > 0).withColumn("_width", F.ceil(F.sqrt(F.size("cuts"))).cast("int"))
+    longest = cuts.agg(F.max("_width")).first()[0]
+    if longest is None:
+        return rows.withColumn(name, F.lit(None).cast("int"))
+    # Full blocks may be one more than the width.
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range((longest + 1).bit_length()))])
+
+    def passed(of_row: str):
+        def further(at, step):
+            cut = F.get(F.col(of_row), at + step - 1)
+            return F.when(cut <= F.col(value) if equal else cut < F.col(value), at + step).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), further)
+
+    width, size = F.col("_width"), F.size("cuts")
+    lasts = F.transform(F.sequence(F.lit(1), F.floor(size / width)), lambda i: F.element_at("cuts", (i * width).cast("int")))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / width)),
+                         lambda i: F.slice("cuts", (i * width + 1).cast("int"), width))
+    outer = cuts.select(F.col(_HASH).alias(of), "_width", lasts.alias("_lasts"))
+    inner = cuts.select(F.col(_HASH).alias(of), F.posexplode(blocks).alias("_block", "_of_block"))
+    return (
+        rows.join(F.broadcast(outer), of, "left")
+        .withColumn("_block", passed("_lasts"))
+        .drop("_lasts")
+        .join(F.broadcast(inner), [of, "_block"], "left")
+        .withColumn(name, F.col("_block") * width + passed("_of_block"))
+        .drop("_width", "_block", "_of_block")
+    )
+
+
 _CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -150,7 +188,7 @@ def _chunked(df: DataFrame, keys: list[str], order: list[str], heavy: Heavy) ->
     """
     rows = df.withColumn(_HASH, F.xxhash64(*keys))
     cuts = _cut_points(df, keys, order[0], heavy)
-    sub_chunk, tied = F.lit(0), Heavy({})
+    rows, tied = rows.withColumn("_part", F.lit(0)), Heavy({})
     if len(order) > 1 and isinstance(df.schema[order[1]].dataType, _CUTTABLE):
         hot_rows = rows.transform(heavy.only)
         group = [*keys, order[0]]
@@ -163,19 +201,17 @@ def _chunked(df: DataFrame, keys: list[str], order: list[str], heavy: Heavy) ->
             .groupBy(_HASH)
             .agg(F.collect_set(order[0]).alias("ends"))
         )
-        with_ends = cuts.join(ends, _HASH, "left").select(
-            _HASH, F.array_distinct(F.concat("cuts", F.coalesce("ends", F.array()))).alias("cuts"))
+        both = F.concat("cuts", F.coalesce("ends", F.array()))
+        with_ends = cuts.join(ends, _HASH, "left").select(_HASH, F.array_sort(F.array_distinct(both)).alias("cuts"))
         cuts = df.sparkSession.createDataFrame(with_ends.collect(), cuts.schema)
-        inner = _cut_points(df, group, order[1], tied).withColumnsRenamed({_HASH: "_group_hash", "cuts": "_inner"})
-        rows = rows.withColumn("_group_hash", F.xxhash64(*group)).join(inner, "_group_hash", "left")
-        passed = F.size(F.filter("_inner", lambda cut: cut < F.col(order[1])))
-        sub_chunk = F.when(F.col("_inner").isNotNull(), passed + 1).otherwise(F.lit(0))
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col(order[0])))
-    chunk = F.when(F.col("cuts").isNotNull(), below).otherwise(F.lit(0))
+        inner = _cut_points(df, group, order[1], tied)
+        rows = _passed(rows.withColumn("_group_hash", F.xxhash64(*group)), "_group_hash", inner, order[1], "_part")
+        # Part 0 holds the rows of a range below its upper end.
+        rows = rows.withColumn("_part", F.coalesce(F.col("_part") + 1, F.lit(0)))
     return (
-        rows.join(cuts, _HASH, "left")
-        .withColumn(_CHUNK, F.struct(chunk.alias("range"), sub_chunk.alias("part")))
-        .drop("cuts", "_inner", "_group_hash")
+        _passed(rows, _HASH, cuts, order[0], "_range")
+        .withColumn(_CHUNK, F.struct(F.coalesce("_range", F.lit(0)).alias("range"), F.col("_part").alias("part")))
+        .drop("_range", "_part", "_group_hash")
     )
 
 
@@ -225,13 +261,9 @@ def numbered(
     if not heavy:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)).cast("bigint"))
     cuts = _cut_points(df, keys, by, heavy)
-    above = F.size(F.filter("cuts", lambda cut: cut > F.col(by)))
-    chunked = (
-        df.withColumn(_HASH, F.xxhash64(*keys))
-        .join(cuts, _HASH, "left")
-        .withColumn(_CHUNK, F.when(F.col("cuts").isNotNull(), above).otherwise(F.lit(0)))
-        .drop("cuts")
-    )
+    # Ranges of larger values come first; null, which passes no cut, is in the last one.
+    chunked = _passed(df.withColumn(_HASH, F.xxhash64(*keys)), _HASH, cuts, by, _CHUNK, equal=True).withColumn(
+        _CHUNK, -F.coalesce(_CHUNK, F.lit(0)))
     # One small row per key and range; only heavy keys have more than one range.
     offsets = (
         chunked.transform(heavy.only)

@@ -117,3 +117,38 @@ def test_a_hot_order_is_split_by_the_engine(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_ranges_of_a_key_with_very_many_parts(spark):
+    """What a row carries follows the square root of the number of parts; before, each row met all cuts of its key."""
+    df = spark.range(0, 6000, 1, 4).select(F.lit(0).alias("k"), (F.col("id") * 7919 % 6000).alias("v"), F.col("id").alias("n"))
+    heavy = skew.heavy_keys(df, ["k"], 3)
+    assert list(heavy.parts.values()) == [2000]
+    got = skew.numbered(df, ["k"], [F.asc("n")], "v", "num", heavy)
+    assert got.filter(F.col("num") != 6000 - F.col("v")).isEmpty() and got.count() == 6000
+    seen = skew.with_previous(df, ["k"], ["v", "n"], ["v"], heavy)
+    assert seen.filter(~F.col("_prev.v").eqNullSafe(F.when(F.col("v") > 0, F.col("v") - 1))).isEmpty()
+    cuts = skew._cut_points(df, ["k"], "v", heavy)
+    plan = skew._passed(df.withColumn(skew._HASH, F.xxhash64("k")), skew._HASH, cuts, "v", "range")
+    assert cuts.select(F.size("cuts")).first()[0] > 1900
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_passed_cuts_are_counted_exactly(spark, equal):
+    """For every number of cuts, full and broken blocks alike; null and keys without cuts included."""
+    lists = [(size, list(range(0, 2 * size, 2))) for size in (0, 1, 2, 3, 4, 5, 8, 9, 10, 16, 17, 25, 100)]
+    cuts = spark.createDataFrame(lists, f"{skew._HASH} bigint, cuts array<int>")
+    rows_ = [(size, v) for size, _ in [*lists, (7, [])] for v in [None, *range(-1, 2 * size + 2)]]
+    df = spark.createDataFrame(rows_, f"{skew._HASH} bigint, v int")
+    known = dict(lists)
+    for size, v, found in skew._passed(df, skew._HASH, cuts, "v", "found", equal).collect():
+        below = [] if v is None else [c for c in known.get(size, []) if c < v or equal and c == v]
+        assert found == (len(below) if known.get(size) else None)
+
+
+def test_numbering_puts_null_last(spark, rows):
+    df = spark.createDataFrame([(0, n % 40 if n % 5 else None, n) for n in range(200)], "k int, v int, n int")
+    got = skew.numbered(df, ["k"], [F.asc("n")], "v", "num", skew.heavy_keys(df, ["k"], 20))
+    wanted = df.withColumn("num", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "n")))
+    assert rows(got, "n", "num") == rows(wanted, "n", "num")
