@@ -110,6 +110,17 @@ def test_distinct_counts_roll_up(spark, rows):
     assert [r["n"] for r in day.orderBy("stt").collect()] == [len(ids) for _, ids in sorted(wanted.items())]
 
 
+def test_bitmaps_take_no_more_room_than_their_ids(spark, rows):
+    """Windows of one id each: a bitmap is a number, at first it was 4 KB however few ids it held."""
+    start, ids = dt.datetime(2024, 1, 1), [0, 63, 64, -1, -64, -65, 2**63 - 1, -(2**63)]
+    data = [(start + dt.timedelta(seconds=10 * n), id_) for n, id_ in enumerate(ids + ids)]
+    short = bitmaps.construct(spark.createDataFrame(data, "t timestamp, id long"), "t", "5 seconds", [], "id")
+    assert short.schema[bitmaps.BITS].dataType.simpleString() == "bigint" and short.count() == len(data)
+    day = bitmaps.roll_up(short, "1 day", [])
+    assert day.count() == 6
+    assert [r["n"] for r in bitmaps.counts(day, [], "n").collect()] == [len(ids)]
+
+
 # idle inputs
 
 @pytest.mark.parametrize("skip, closed", [(True, ["2024-01-01 00:00:00", "2024-01-01 00:00:30"]), (False, [])])
