@@ -109,10 +109,11 @@ class MergeTable:
         return state.latest(rows, list(self.keys), [BATCH, *self.order])
 
     def _write(self, rows: DataFrame, name: str) -> list[int]:
-        """Rows into one folder per bucket, one file each; the buckets written."""
+        """Rows into one folder per bucket, in files of the size Spark advises for a task; the buckets written."""
         bucketed = rows.select(*self.schema.names, BATCH).withColumn(BUCKET, self._bucket())
         target = f"{self.path}/data/{PART}={name}"
-        dealt = bucketed.repartition(self.buckets, BUCKET).sortWithinPartitions(BUCKET, *self.keys)
+        # Small buckets stay together, large ones are split: a task's size does not follow the number of buckets.
+        dealt = bucketed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys)
         dealt.write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
         folder, files = self._files()
         held = [status.getPath().getName() for status in files.listStatus(

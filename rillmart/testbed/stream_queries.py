@@ -5,6 +5,7 @@ Windows that the watermark has not closed stay in the state; the checking SQL le
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ from .summary_queries import PROVINCE_SQL
 _DAY = "1 day"
 # Files of one part of a table and of one micro-batch, where parts arrive one after the other.
 _FILES = 4
+# Rows of a file of a streamed table, about.
+_ROWS = 1_000_000
 
 
 def scratch(spark: SparkSession) -> str:
@@ -42,6 +45,14 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def _arriving(spark: SparkSession, rows: DataFrame, folder: str, batches: int, files: int) -> DataFrame:
+    """Rows written to at least so many files, more for a large table, and streamed in so many micro-batches, in any order."""
+    parts = max(files, math.ceil(rows.count() / _ROWS))
+    rows.repartition(parts).write.parquet(folder)
+    written = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", math.ceil(written / batches)).parquet(folder)
+
+
 def _appended(spark: SparkSession, df: DataFrame) -> DataFrame:
     """What a finished stream has appended to a table."""
     folder = scratch(spark)
@@ -232,8 +243,7 @@ def stream_order_detail(spark, sf_dir):
     records come, and merged into a table."""
     folder = scratch(spark)
     topic = detail_topic(spark, sf_dir)
-    topic.repartition(4).write.parquet(f"{folder}/in")
-    records = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    records = _arriving(spark, topic, f"{folder}/in", batches=2, files=4)
     schema = dwd.order_detail(topic, shapes.DATABASE).schema
     table = merge_tables.MergeTable(spark, f"{folder}/table", schema, ("id",), ("ts",), buckets=8)
     details.order_detail_table(records, f"{folder}/checkpoint", table, once=True,
@@ -318,8 +328,7 @@ def stream_merge_table(spark, sf_dir):
     folder = scratch(spark)
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     lines = shapes.table(spark, sf_dir, "lineitem").select(columns)
-    lines.repartition(4, "l_shipdate").write.parquet(f"{folder}/in")
-    arriving = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    arriving = _arriving(spark, lines, f"{folder}/in", batches=2, files=4)
     table = merge_tables.MergeTable(spark, f"{folder}/table", lines.schema, tuple(columns[:2]),
                                     ("l_shipdate", "l_partkey", "l_suppkey"), buckets=8,
                                     combine=lambda rows: rows, reduce=_last_line)
@@ -359,8 +368,7 @@ def stream_lookups(spark, sf_dir):
     table.merge(dim.changes(users, dim_config(spark), shapes.DATABASE), 0)
     orders = shapes.table(spark, sf_dir, "orders").select(
         shapes.text("o_orderkey").alias("id"), shapes.text("o_custkey").alias("user_id"))
-    orders.repartition(3).write.parquet(f"{folder}/in")
-    arriving = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    arriving = _arriving(spark, orders, f"{folder}/in", batches=3, files=3)
 
     def find(rows: DataFrame) -> DataFrame:
         return dim_sink.current(table, "dim_user_info", ["id", "name"], rows.select(F.col("user_id").alias("row_key")))
@@ -375,8 +383,7 @@ def stream_lookups(spark, sf_dir):
 def stream_config_as_of(spark, sf_dir):
     """The rows of the replay in several micro-batches and no order of time, each routed by the version of its own time."""
     folder, topic = scratch(spark), routed_topic(spark, sf_dir)
-    topic.repartition(4).write.parquet(f"{folder}/in")
-    arriving = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    arriving = _arriving(spark, topic, f"{folder}/in", batches=2, files=4)
 
     def write(rows: DataFrame, config: DataFrame, batch: int) -> None:
         upserts.append(dwd.base_db(rows, config).select("sink_table", "ts", F.to_json("data").alias("value")),

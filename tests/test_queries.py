@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
@@ -49,3 +50,40 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_files_of_a_streamed_table_follow_its_rows(spark, tmp_path, monkeypatch):
+    """At first a streamed table was written to a fixed number of files, so a task's input grew with the table."""
+    from rillmart.testbed import stream_queries
+
+    monkeypatch.setattr(stream_queries, "_ROWS", 100)
+    rows = spark.range(1000)
+    arriving = stream_queries._arriving(spark, rows, str(tmp_path / "in"), batches=2, files=4)
+    assert len(spark.read.parquet(str(tmp_path / "in")).inputFiles()) == 10
+    seen = []
+    arriving.writeStream.foreachBatch(lambda part, _: seen.append(part.count())).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 2 and sum(seen) == 1000
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """At first a bucket was one task, whatever it held."""
+    from rillmart.sinks import merge_tables
+
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB",
+                "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        table = merge_tables.MergeTable(spark, str(tmp_path / "t"), rows.schema, ("id",), buckets=1)
+        table.merge(rows.repartition(8), 0)
+        assert len(table.versions().inputFiles()) > 1
+        assert table.read().exceptAll(rows).isEmpty() and table.read().count() == 20_000
+        assert table.compact(tails=1) == [0] and table.read().count() == 20_000
+        assert len(table.versions().inputFiles()) > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
