@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 5_000_000
 MAX_HEAVY_KEYS = 20_000
+# Bins of key hashes that are counted before the keys are.
+BINS = 65_536
 
 _HASH, _SALT, _PARTS, _CHUNK, _GHOST = "_key_hash", "_salt", "_parts", "_chunk", "_ghost"
 
@@ -49,14 +51,24 @@ def heavy_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> Heav
     """Find heavy keys of a batch frame. Call it on frames close to a scan: it reads the key columns once.
 
     A table with at most `limit` rows has none; then only the row count is taken, which for a plain scan comes
-    from file metadata. Nothing is sampled.
+    from file metadata. Otherwise bins of keys are counted first, and keys only in bins above `limit`: mostly none, so the
+    keys are not shuffled. Nothing is sampled.
     """
     if df.isStreaming:
         return Heavy({})
     limit = limit or rows_per_task(df)
     if df.count() <= limit:
         return Heavy({})
-    return heavy_from_counts(df.groupBy(F.xxhash64(*keys).alias(_HASH)).count(), [], "count", limit)
+    hashed = df.select(F.xxhash64(*keys).alias(_HASH))
+    # A key cannot have more rows than its bin, and bins are counted without shuffling the keys.
+    own = F.pmod(F.col(_HASH), F.lit(BINS))
+    full = hashed.groupBy(own.alias("_bin")).count().filter(F.col("count") > limit).select("_bin").collect()
+    if not full:
+        return Heavy({})
+    if len(full) <= BINS // 16:
+        bins = df.sparkSession.createDataFrame(full, "_bin bigint")
+        hashed = hashed.withColumn("_bin", own).join(F.broadcast(bins), "_bin", "left_semi").drop("_bin")
+    return heavy_from_counts(hashed.groupBy(_HASH).count(), [], "count", limit)
 
 
 def heavy_from_counts(counts: DataFrame, keys: list[str], count: str, limit: int | None = None) -> Heavy:

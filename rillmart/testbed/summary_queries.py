@@ -250,7 +250,9 @@ def province_orders_by_arrival(spark, sf_dir):
         "split_total_amount", F.when(F.col("arrival") == 1, amount).otherwise(amount - 1).cast("string"))
     details = shapes.with_province(both, shapes.table(spark, sf_dir, "orders"), shapes.table(spark, sf_dir, "customer"))
     provinces = shapes.provinces(shapes.table(spark, sf_dir, "nation"))
-    return dws.province_orders(details, provinces, ("et", "arrival"), _DAY, as_of=AS_OF)
+    # Looked for before the join, as above, among both versions of each line.
+    heavy = skew.heavy_keys(both, ["id"])
+    return dws.province_orders(details, provinces, ("et", "arrival"), _DAY, as_of=AS_OF, heavy=heavy)
 
 
 @query("refund_by_brand_type_user", f"""

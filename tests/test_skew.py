@@ -152,3 +152,17 @@ def test_numbering_puts_null_last(spark, rows):
     got = skew.numbered(df, ["k"], [F.asc("n")], "v", "num", skew.heavy_keys(df, ["k"], 20))
     wanted = df.withColumn("num", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "n")))
     assert rows(got, "n", "num") == rows(wanted, "n", "num")
+
+
+@pytest.mark.parametrize("bins", [1, 7, 65_536])
+def test_heavy_keys_are_found_in_any_number_of_bins(facts, monkeypatch, bins):
+    monkeypatch.setattr(skew, "BINS", bins)
+    wanted = {r.h: r.n for r in facts.groupBy(F.xxhash64("k").alias("h")).agg(F.count("*").alias("n")).collect()}
+    for limit in (8, 12, 100, 899):
+        assert skew.heavy_keys(facts, ["k"], limit).parts == {h: -(-n // limit) for h, n in wanted.items() if n > limit}
+
+
+def test_keys_are_not_counted_where_no_bin_is_full(spark, monkeypatch):
+    """At first the keys of the whole table were counted, and shuffled, to find that none is heavy."""
+    monkeypatch.setattr(skew, "heavy_from_counts", lambda *_: pytest.fail("keys were counted"))
+    assert not skew.heavy_keys(spark.range(0, 300_000, 1, 4), ["id"], 1000)
