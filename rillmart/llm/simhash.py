@@ -193,6 +193,11 @@ def links(prints: DataFrame, heavy: int = HEAVY, bits: int = BITS) -> DataFrame:
     return light.unionByName(sorted_parts.mapInPandas(_links(key, None, bits), form).select("a", "b"))
 
 
+def once(found: DataFrame) -> DataFrame:
+    """Each link (a, b) in one row, a before b: near prints meet under up to all sets of byte positions, and each gives its link."""
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
                     bits: int = BITS) -> DataFrame:
     """One row per row of `docs`: key, fingerprint (bigint) and component_id, the smallest key reachable over links.
@@ -258,7 +263,7 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
         classes = settled(of_print.groupBy("print").agg(F.min("node").alias("first"), F.count("*").alias("n")), "print-classes")
         same = of_print.join(classes.filter("n > 1"), "print").filter("node > first").select(
             F.col("first").alias("a"), F.col("node").alias("b"))
-        near = links(classes.select("print"), bits=bits)
+        near = once(links(classes.select("print"), bits=bits))
         ends = [classes.select(F.col("print").alias(end), F.col("first").alias(f"{end}_node")) for end in ("a", "b")]
         near = near.join(ends[0], "a").join(ends[1], "b").select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
         found.append(settled(same.unionByName(near), "candidates"))
