@@ -2,14 +2,15 @@
 
 Two chained stateful steps. The first is keyed by line and keeps the last line, activity and coupon record; the second
 is keyed by order and keeps the order with its lines. A micro-batch reads the state of the keys it touches and nothing else, however
-long the history is.
+long the history is. Both run in Python, a call per key; where the lines go to a table anyway, `order_detail_table` needs
+none: lines meet their orders in a stream join, and the table takes in activities and coupons as parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -211,8 +212,56 @@ def order_detail_versions(envelope: DataFrame, checkpoint: str, out: str, once:
     return queries.each_batch(versions, checkpoint, lambda rows, batch: upserts.append(rows, out, batch), once)
 
 
+_ARRIVED = [T.StructField("arrived", T.LongType()), T.StructField("at", T.LongType())]
+_PLACED = T.StructType([*_ARRIVED, *_struct(_LINE).fields, T.StructField("order", T.StructType([*_ARRIVED, *_ORDER_TYPE.fields]))])
+_TABLE_PARTS = {"placed": _PLACED, **{name: T.StructType([*_ARRIVED, *_PARTS[name].fields]) for name in ("activity", "coupon")}}
+
+
+def order_detail_parts(envelope: DataFrame, database: str | None = None) -> DataFrame:
+    """What a stream of change records tells of order lines: id, and `placed`, `activity` or `coupon` as one struct.
+
+    A line and its order meet in the state of a stream join, whatever their age. Activities and coupons pass as they come;
+    a table of `parts_table` puts them to their line. Each struct begins with its arrival and its `ts`, so the greatest one
+    of a key is the last: by arrival across micro-batches, by `ts` within one. Records without their key are left out.
+    """
+    inserted = _inserted(envelope, database).withColumn("_arrived", F.unix_micros(F.current_timestamp()))
+
+    def of(table: str, fields: Iterable[str], kind: T.StructType, *more: Column) -> Column:
+        values = [F.col("data")[name] for name in fields]
+        return F.when(F.col("table") == table, F.struct("_arrived", "ts", *values, *more).cast(kind))
+
+    lines = inserted.filter("table = 'order_detail'").select(
+        F.col("data")["id"].alias("id"), *[F.col("data")[name].alias(name) for name in _LINE],
+        F.col("_arrived").alias("arrived"), F.col("ts").alias("at")).filter("id IS NOT NULL AND order_id IS NOT NULL")
+    orders = inserted.select(F.col("data")["id"].alias("_of"), of("order_info", _ORDER.values(), _PLACED["order"].dataType).alias("order")
+                             ).filter("_of IS NOT NULL AND order IS NOT NULL")
+    placed = lines.join(orders, F.col("order_id") == F.col("_of")).select(
+        "id", F.struct("arrived", "at", *_LINE, "order").cast(_PLACED).alias("placed"))
+    added = inserted.filter(F.col("table").isin("order_detail_activity", "order_detail_coupon")).select(
+        F.col("data")["order_detail_id"].alias("id"), F.lit(None).cast(_PLACED).alias("placed"),
+        of("order_detail_activity", _ACTIVITY.values(), _TABLE_PARTS["activity"]).alias("activity"),
+        of("order_detail_coupon", _COUPON.values(), _TABLE_PARTS["coupon"]).alias("coupon")).filter("id IS NOT NULL")
+    return added.unionByName(placed, allowMissingColumns=True)
+
+
+def _last_parts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("id").agg(*[F.max(name).alias(name) for name in (*_TABLE_PARTS, upserts.BATCH)])
+
+
+def parts_table(spark: SparkSession, path: str, buckets: int = merge_tables.BUCKETS) -> merge_tables.MergeTable:
+    """A merge table of the parts of order lines: of each line the last part of each kind counts."""
+    schema = T.StructType([T.StructField("id", T.StringType()), *[T.StructField(n, kind) for n, kind in _TABLE_PARTS.items()]])
+    return merge_tables.MergeTable(spark, path, schema, ("id",), buckets=buckets, combine=lambda rows: rows, reduce=_last_parts)
+
+
 def order_detail_table(envelope: DataFrame, checkpoint: str, table: merge_tables.MergeTable, once: bool = False,
-                       database: str | None = None, ttl: str | None = None) -> StreamingQuery:
-    """Merge the versions of `order_details` into a merge table keyed by id."""
-    versions = order_details(envelope, database, ttl)
-    return queries.each_batch(versions, checkpoint, table.merge, once)
+                       database: str | None = None) -> StreamingQuery:
+    """Merge the parts of order lines into a table made by `parts_table`; no Python runs per line."""
+    return queries.each_batch(order_detail_parts(envelope, database), checkpoint, table.merge, once)
+
+
+def current(table: merge_tables.MergeTable) -> DataFrame:
+    """The order lines of a table made by `parts_table`, as `plans.dwd.order_detail` gives them."""
+    where = {**{name: f"placed.{name}" for name in _LINE}, **{name: f"placed.order.{name}" for name in _ORDER}, "ts": "placed.at",
+             **{name: f"activity.{name}" for name in _ACTIVITY}, **{name: f"coupon.{name}" for name in _COUPON}, "id": "id"}
+    return table.read().filter("placed IS NOT NULL").select(*[F.col(where[name]).alias(name) for name in schemas.ORDER_DETAIL])

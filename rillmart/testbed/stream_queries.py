@@ -239,16 +239,14 @@ def stream_payments(spark, sf_dir):
 
 @query("stream_order_detail", QUERIES["order_detail"].sql)
 def stream_order_detail(spark, sf_dir):
-    """Orders and lines in any order over several micro-batches; a line is completed from state whenever its other
-    records come, and merged into a table."""
+    """Orders and lines in any order over several micro-batches; a line meets its order in the state of a join, and a table
+    takes in the pair, activities and coupons as parts of the line, whenever they come."""
     folder = scratch(spark)
-    topic = detail_topic(spark, sf_dir)
-    records = _arriving(spark, topic, f"{folder}/in", batches=2, files=4)
-    schema = dwd.order_detail(topic, shapes.DATABASE).schema
-    table = merge_tables.MergeTable(spark, f"{folder}/table", schema, ("id",), ("ts",), buckets=8)
+    records = _arriving(spark, detail_topic(spark, sf_dir), f"{folder}/in", batches=2, files=4)
+    table = details.parts_table(spark, f"{folder}/table", buckets=8)
     details.order_detail_table(records, f"{folder}/checkpoint", table, once=True,
                                database=shapes.DATABASE).awaitTermination()
-    return table.read()
+    return details.current(table)
 
 
 @query("stream_log_split", QUERIES["log_split"].sql)
