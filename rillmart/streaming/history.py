@@ -11,6 +11,7 @@ once, when the query first starts, so results go on as if all rows had come thro
 from __future__ import annotations
 
 import datetime as dt
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -20,117 +21,168 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import times
 
-_ONE_DAY = dt.timedelta(days=1)
-_AT, _DAY = "_at", "_day"
+_DAY_MS = 86_400_000
+_AT, _DAY, _GROUP = "_at", "_day", "_group"
+# Groups of keys. Checkpoints depend on the number: with another one a key would not find its state.
+GROUPS = 1 << 18
 
 
 class _Ordered(StatefulProcessor):
-    """Walks the rows of a key in order, with the state loaded once and stored once per micro-batch.
+    """Walks the rows of each key in order, with the state loaded once and stored once per micro-batch.
 
-    `step(row, last)` gives the output values (None for no output) and the new state.
+    Keys are dealt to `GROUPS` groups, and Spark is asked per group: a call, its messages and its batch of output rows cost far
+    more than a row does. The state of a group maps its keys to theirs, a micro-batch rewrites the groups it touches.
+
+    `step(row, last)` gets a row as a tuple and gives the output values (None for no output) and the new state. `place` holds
+    the positions of the columns.
     """
 
-    def __init__(self, order: list[str], state_type: str, out: list[str], keep: dt.timedelta | None = None):
-        self.order, self.state_type, self.out, self.keep = order, state_type, out, keep
+    def __init__(self, keys: list[str], order: list[str], out: list[str], ts: str, keep: dt.timedelta | None = None):
+        self.keys, self.order, self.out, self.keep = keys, order, out, keep
+        # The time goes back as microseconds, which Arrow takes for a timestamp.
+        self.taken = [_AT if name == ts else name for name in out]
+        self.place: dict[str, int] | None = None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("last", self.state_type)
+        self.state = handle.getValueState("last", "packed binary")
+
+    def _load(self) -> dict[tuple, tuple]:
+        found = self.state.get()
+        return {} if found is None else dict(pickle.loads(found[0]))
+
+    def _store(self, known: dict[tuple, tuple]) -> None:
+        """In order of the keys, so that a repeated run leaves the same state."""
+        if not known:
+            self.state.clear()
+            return
+        self.state.update((pickle.dumps(sorted(known.items(), key=lambda item: _sortable(item[0])), protocol=4),))
+        if self.keep is not None:
+            self.handle.registerTimer(min(map(self._expiry, known.values())))
+
+    def _bind(self, names: list[str]) -> None:
+        self.place = {name: names.index(name) for name in dict.fromkeys([*names])}
+        self.at, self.day = self.place[_AT], self.place.get(_DAY)
+        self.key_at = [self.place[name] for name in self.keys]
+        self.order_at = [self.place[name] for name in self.order]
+        self.out_at = [self.place.get(name) for name in self.taken]
 
     def handleInputRows(self, key, rows: Iterable[Row], timerValues) -> Iterator[Row]:
-        make = Row(*self.out)
-        before = last = tuple(self.state.get()) if self.state.exists() else None
-        for row in sorted(self.needed(rows), key=self.place):
-            values, last = self.step(row, last)
-            if values is not None:
-                yield make(*values)
-        if last is not None and last != before:
-            self.state.update(last)
-            if self.keep is not None:
-                self.handle.registerTimer(self._expiry(last))
+        make, known, changed = Row(*self.out), self._load(), False
+        of_key: dict[tuple, list[tuple]] = {}
+        for row in self.needed(self._plain(rows)):
+            of_key.setdefault(self.key(row), []).append(row)
+        for own, found in of_key.items():
+            before = last = known.get(own)
+            if len(found) > 1:
+                found.sort(key=self.moment)
+            for row in found:
+                values, last = self.step(row, last)
+                if values is not None:
+                    yield make(*values)
+            if last is not None and last != before:
+                known[own], changed = last, True
+        if changed:
+            self._store(known)
+
+    def _plain(self, rows: Iterable[Row]) -> Iterator[tuple]:
+        for row in rows:
+            if self.place is None:
+                self._bind(list(row.__fields__))
+            yield tuple(row)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        names = [field.split()[0] for field in self.state_type.split(", ")]
-        last = tuple(initialState[name] for name in names)
-        self.state.update(last)
-        if self.keep is not None:
-            self.handle.registerTimer(self._expiry(last))
+        # One row per group, with all its keys and their states.
+        self._store({tuple(_fields(one["key"])): tuple(_fields(one["last"])) for one in initialState["known"]})
+
+    def key(self, row: tuple) -> tuple:
+        return tuple([row[i] for i in self.key_at])
+
+    def moment(self, row: tuple) -> list:
+        return [(row[i] is not None, row[i]) for i in self.order_at]
 
-    def place(self, row: Row) -> list:
-        return [(row[name] is not None, row[name]) for name in self.order]
+    def values(self, row: tuple) -> list:
+        return [row[i] for i in self.out_at]
 
-    def needed(self, rows: Iterable[Row]) -> Iterable[Row]:
+    def needed(self, rows: Iterable[tuple]) -> Iterable[tuple]:
         """The rows that can change the outcome."""
         return rows
 
-    def _firsts(self, rows: Iterable[Row], group: Callable[[Row], object]) -> Iterable[Row]:
-        found: dict[object, Row] = {}
+    def _firsts(self, rows: Iterable[tuple], group: Callable[[tuple], object]) -> Iterable[tuple]:
+        found: dict[object, tuple] = {}
         for row in rows:
             known = found.setdefault(group(row), row)
-            if known is not row and self.place(row) < self.place(known):
+            if known is not row and self.moment(row) < self.moment(known):
                 found[group(row)] = row
         return found.values()
 
     def _expiry(self, last: tuple) -> int:
-        end = dt.datetime.combine(last[0], dt.time(), dt.timezone.utc) + self.keep
-        return int(end.timestamp() * 1000)
+        """When a key whose last day is known may go, in milliseconds."""
+        return last[0] * _DAY_MS + int(self.keep.total_seconds() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # A timer of an earlier value finds a newer one and leaves it.
-        if self.state.exists() and self._expiry(tuple(self.state.get())) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.clear()
+        # A timer of an earlier value finds newer ones and leaves them; the next of the group is set with what stays.
+        due, now = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        known = self._load()
+        if known:
+            self._store({own: last for own, last in known.items() if not (self._expiry(last) <= due or self._expiry(last) < now)})
         return iter(())
 
-    def step(self, row: Row, last: tuple | None) -> tuple[list | None, tuple | None]:
+    def step(self, row: tuple, last: tuple | None) -> tuple[list | None, tuple | None]:
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
+def _sortable(values: tuple) -> list:
+    return [(value is not None, value) for value in values]
+
+
+def _fields(struct: Row | dict) -> Iterable:
+    """The values of a struct, which workers get as a row or as a dictionary."""
+    return struct.values() if isinstance(struct, dict) else struct
+
+
 class RepairIsNew(_Ordered):
     """State: the day a visitor counts as known from."""
 
-    def __init__(self, order: list[str], out: list[str], flag: str):
-        super().__init__(order, "day date", out)
+    def __init__(self, keys: list[str], order: list[str], out: list[str], ts: str, flag: str):
+        super().__init__(keys, order, out, ts)
         self.flag = flag
 
     def step(self, row, last):
-        flag, day = row[self.flag], row[_DAY]
+        flag, day = row[self.place[self.flag]], row[self.day]
         if flag == "1" and last is None:
             last = (day,)
         elif flag == "1" and day != last[0]:
             flag = "0"
         elif flag == "0":
-            last = (day - _ONE_DAY,)
-        return [flag if name == self.flag else row[name] for name in self.out], last
+            last = (day - 1,)
+        values = self.values(row)
+        values[self.out.index(self.flag)] = flag
+        return values, last
 
 
 class DayChanges(_Ordered):
-    """Rows on another day than the key's previous row, with that day. State: the last day."""
-
-    def __init__(self, order: list[str], out: list[str], keep: dt.timedelta | None):
-        super().__init__(order, "day date", out, keep)
+    """Rows on another day than the key's previous row, with that day last. State: the last day."""
 
     def needed(self, rows):
         # In time order days never go back, so only the first row of each day meets a change.
-        return self._firsts(rows, lambda row: row[_DAY])
+        return self._firsts(rows, lambda row: (self.key(row), row[self.day]))
 
     def step(self, row, last):
         previous = last[0] if last else None
-        if row[_DAY] == previous:
+        if row[self.day] == previous:
             return None, last
-        return [*[row[name] for name in self.out[:-1]], previous], (row[_DAY],)
+        return [*[row[i] for i in self.out_at[:-1]], previous], (row[self.day],)
 
 
 class FirstEver(_Ordered):
     """The first row of a key. State: its time."""
 
-    def __init__(self, order: list[str], out: list[str], keep: dt.timedelta | None):
-        super().__init__(order, "at bigint", out, keep)
-
     def needed(self, rows):
-        return self._firsts(rows, lambda row: None)
+        return self._firsts(rows, self.key)
 
     def _expiry(self, last):
         return last[0] // 1000 + int(self.keep.total_seconds() * 1000)
@@ -138,41 +190,52 @@ class FirstEver(_Ordered):
     def step(self, row, last):
         if last is not None:
             return None, last
-        return [row[name] for name in self.out], (row[_AT],)
+        return self.values(row), (row[self.at],)
 
 
 class Delta(_Ordered):
     """Measures replaced by their change. State: the time and measures of the last version."""
 
-    def __init__(self, order: list[str], out: list[str], measures: list[str], state_type: str,
+    def __init__(self, keys: list[str], order: list[str], out: list[str], ts: str, measures: list[str],
                  keep: dt.timedelta | None):
-        super().__init__(order, f"at bigint, {state_type}", out, keep)
+        super().__init__(keys, order, out, ts, keep)
         self.measures = measures
 
     def _expiry(self, last):
         return last[0] // 1000 + int(self.keep.total_seconds() * 1000)
 
     def step(self, row, last):
-        values = tuple(row[name] for name in self.measures)
-        known = last is not None and (self.keep is None or (row[_AT] - last[0]) / 1e6 <= self.keep.total_seconds())
-        before = dict(zip(self.measures, last[1:] if known else [0] * len(values)))
-        return [row[name] - before[name] if name in before else row[name] for name in self.out], (row[_AT], *values)
+        after = tuple([row[self.place[name]] for name in self.measures])
+        known = last is not None and (self.keep is None or (row[self.at] - last[0]) / 1e6 <= self.keep.total_seconds())
+        values = self.values(row)
+        if known:
+            for name, before, now in zip(self.measures, last[1:], after):
+                values[self.out.index(name)] = now - before
+        return values, (row[self.at], *after)
 
 
 def _dated(df: DataFrame, ts: str, zone: str | None) -> DataFrame:
-    # Order and day are fixed here, so that no clock or zone of a Python worker takes part.
-    return df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, times.day(F.col(ts), zone))
+    # Order and day are fixed here, so that no clock or zone of a Python worker takes part. A day is its number.
+    return df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, F.unix_date(times.day(F.col(ts), zone)))
+
+
+def _group(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).alias(_GROUP)
 
 
 def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType,
          past: DataFrame | None = None) -> DataFrame:
     """`past` holds the state at the start: one row per key with the columns of the state."""
-    return _dated(df, ts, zone).groupBy(*keys).transformWithState(
+    start = None
+    if past is not None:
+        own, last = F.struct(*keys).alias("key"), F.struct(*[n for n in past.columns if n not in keys]).alias("last")
+        start = past.groupBy(_group(keys)).agg(F.collect_list(F.struct(own, last)).alias("known")).groupBy(_GROUP)
+    return _dated(df, ts, zone).select(_group(keys), "*").groupBy(_GROUP).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
         timeMode="EventTime",
-        initialState=None if past is None else past.groupBy(*keys),
+        initialState=start,
         eventTimeColumnName=ts,
     )
 
@@ -189,10 +252,10 @@ def repair_is_new(
     if past is not None:
         old, new = F.col(flag) == "0", F.col(flag) == "1"
         known = _dated(past, ts, zone).groupBy(*keys).agg(
-            F.max_by(F.date_sub(_DAY, 1), F.when(old, _moment(order))).alias("_old"),
+            F.max_by(F.col(_DAY) - 1, F.when(old, _moment(order))).alias("_old"),
             F.min_by(F.col(_DAY), F.when(new, _moment(order))).alias("_new"))
         past = known.select(*keys, F.coalesce("_old", "_new").alias("day")).filter("day IS NOT NULL")
-    return _run(df, keys, ts, zone, RepairIsNew([_AT, *order], df.columns, flag), df.schema, past)
+    return _run(df, keys, ts, zone, RepairIsNew(keys, [_AT, *order], df.columns, ts, flag), df.schema, past)
 
 
 def day_changes(
@@ -208,7 +271,7 @@ def day_changes(
     keep = None if keep_days is None else dt.timedelta(days=keep_days + 1)
     if past is not None:
         past = _dated(past, ts, zone).groupBy(*keys).agg(F.max(_DAY).alias("day"))
-    return _run(df, keys, ts, zone, DayChanges([_AT, *order], schema.names, keep), schema, past)
+    return _run(df, keys, ts, zone, DayChanges(keys, [_AT, *order], schema.names, ts, keep), schema, past)
 
 
 def first_of_day(
@@ -227,7 +290,7 @@ def first_ever(
     keep = dt.timedelta() if forget else None
     if past is not None:
         past = _dated(past, ts, None).groupBy(*keys).agg(F.min(_AT).alias("at"))
-    return _run(df, keys, ts, None, FirstEver([_AT, *order], df.columns, keep), df.schema, past)
+    return _run(df, keys, ts, None, FirstEver(keys, [_AT, *order], df.columns, ts, keep), df.schema, past)
 
 
 def delta(
@@ -239,9 +302,8 @@ def delta(
     With `ttl` a key is forgotten once the watermark is that far past its last version. Rows of `past`, a batch, came
     before the stream.
     """
-    state_type = ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in measures)
     keep = None if ttl is None else dt.timedelta(seconds=times.seconds(ttl))
     if past is not None:
         last = F.max_by(F.struct(F.col(_AT).alias("at"), *measures), _moment(tuple(order)))
         past = _dated(past, ts, None).groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
-    return _run(df, keys, ts, None, Delta([_AT, *order], df.columns, measures, state_type, keep), df.schema, past)
+    return _run(df, keys, ts, None, Delta(keys, [_AT, *order], df.columns, ts, measures, keep), df.schema, past)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmart.operators import skew, state
+from rillmart.streaming import history
 
 
 def at(day, hour=12, minute=0):
@@ -161,3 +162,22 @@ def test_delta_with_a_life_time_is_the_same_in_batch_and_stream(spark, rows, fee
         "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(
         availableNow=True).start().awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == expected
+
+
+def test_keyed_state_is_asked_per_group_of_keys(spark, rows, feed, tmp_path):
+    """Many keys of one micro-batch share calls, messages and state rows; with every group in use there are no more of them."""
+    n = 2000
+    first = spark.range(n).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(at(1)).cast("timestamp").alias("ts"), "id")
+    later = first.filter("id < 10").withColumn("ts", F.lit(at(2)).cast("timestamp")).unionByName(
+        first.filter("id = 0").select(F.lit(None).cast("string").alias("k"), F.lit(at(2)).cast("timestamp").alias("ts"), "id"))
+    before, history.GROUPS = history.GROUPS, 16
+    try:
+        df = feed("many", first, later).withWatermark("ts", "9 days")
+        query = state.first_ever(df, "k", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        history.GROUPS = before
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == n + 1 and got.select("k").distinct().count() == n + 1
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 16
