@@ -32,14 +32,21 @@ def parse(messages: DataFrame, value: str = "value") -> DataFrame:
     return _checked(known.select("rec", "c.mid", "c.is_new", "rec.ts", "tie"))
 
 
-def heads(messages: DataFrame, value: str = "value") -> DataFrame:
-    """`parse` without `rec`: reads only the few fields a visitor's history needs."""
+def heads(messages: DataFrame, value: str = "value", keep: bool = False) -> DataFrame:
+    """`parse` without `rec`: reads only the few fields a visitor's history needs, and may `keep` the message."""
+    kept = [value] if keep else []
     parsed = values.compute_once(
         messages,
+        *kept,
         F.xxhash64(value).alias("tie"),
         h=F.from_json(value, "common struct<mid:string,is_new:string>, ts string"),
     )
-    return _checked(parsed.select("h.common.mid", "h.common.is_new", "h.ts", "tie"))
+    return _checked(parsed.select("h.common.mid", "h.common.is_new", "h.ts", "tie", *kept))
+
+
+def records(heads: DataFrame, value: str = "value") -> DataFrame:
+    """`heads` that keep the message, with `rec` read from it."""
+    return values.compute_once(heads, *[name for name in heads.columns if name != value], rec=F.from_json(value, _RECORD))
 
 
 def with_flag(logs: DataFrame) -> DataFrame:

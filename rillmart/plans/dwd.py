@@ -37,12 +37,13 @@ def base_log(messages: DataFrame, zone: str | None = None) -> DataFrame:
 
     Batch messages must come straight from storage, where logs may hold any number of copies of one record.
     """
-    parsed = logs.parse(messages)
     if messages.isStreaming:
-        parsed, heads = parsed.withWatermark("et", LOG_DELAY), None
+        # A message passes the state as one text; its fields are read after that.
+        heads = logs.heads(messages, keep=True).withWatermark("et", LOG_DELAY)
+        repaired = logs.records(state.repair_is_new(heads, "mid", "et", "is_new", ("tie",), zone))
     else:
-        heads = logs.heads(messages)
-    repaired = state.repair_is_new(parsed, "mid", "et", "is_new", ("tie",), zone, facts_from=heads, copies=True)
+        repaired = state.repair_is_new(logs.parse(messages), "mid", "et", "is_new", ("tie",), zone,
+                                       facts_from=logs.heads(messages), copies=True)
     return logs.tagged(logs.with_flag(repaired))
 
 

@@ -86,3 +86,15 @@ def test_keywords(spark, rows):
 def test_own_tokenizer(spark, rows):
     df = spark.createDataFrame([(1, "a|b|a")], "id int, t string")
     assert rows(keywords.explode(df, "t", lambda c: F.split(c, r"\|")), "keyword") == [("a",), ("b",)]
+
+
+def test_records_of_kept_messages_are_those_parsed_at_once(spark, rows):
+    """In a stream the message passes the state as one text, and its fields are read after that."""
+    messages = spark.createDataFrame([(text,) for text in (
+        '{"common":{"mid":"m","is_new":"1"},"page":{"a":[1,{"b":null}]},"displays":[{"x":1}],"ts":5}',
+        '{"common":{"mid":"m","is_new":1,"uid":7},"start":{"e":"é"},"err":{"c":1},"ts":"6"}',
+        '{"common":"m","ts":7}', '{"common":{"mid":""},"ts":8}', '{"common":{"mid":"m"},"ts":"x"}', '{"common":{"mid":{"a":1}},"ts":9}',
+        '{"common":null,"ts":1}', '[1]', 'no json', '', '{"ts":3}', '{"common":{"mid":"n"},"page":"p","ts":4.0}')], "value string")
+    columns = ("rec", "mid", "is_new", "ts", "et", "tie")
+    assert rows(logs.records(logs.heads(messages, keep=True)), *columns) == rows(logs.parse(messages), *columns)
+    assert len(rows(logs.parse(messages))) >= 3
