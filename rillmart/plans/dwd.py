@@ -70,9 +70,14 @@ def cart_adds(envelope: DataFrame, database: str | None = None) -> DataFrame:
 
 
 def order_detail(
-    envelope: DataFrame, database: str | None = None, bound: str | None = None, delay: str = DELAY
+    envelope: DataFrame, database: str | None = None, bound: str | None = None, delay: str = DELAY,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines with their order, and activity and coupon where there are any."""
+    """Order lines with their order, and activity and coupon where there are any.
+
+    `marks` (batch; order_id and `mark`, one row per order) adds the mark of a line's order. It is joined where the lines lie
+    by order anyway; lines of other orders go on with their id and `ts` alone, as they may still be the last of their id.
+    """
     envelope = _timed(envelope, delay)
     lines = cdc.slice(
         envelope, "order_detail",
@@ -90,9 +95,13 @@ def order_detail(
     coupons = cdc.slice(envelope, "order_detail_coupon", {"id": "order_detail_id", "coupon_id": "coupon_id"},
                         "row_time", database=database)
     wide = _join(lines, orders, ["order_id"], "inner", bound)
+    if marks is not None:
+        wide, kept = wide.drop("row_time").join(marks, "order_id", "left"), ("id", "ts", "mark")
+        wide = wide.select(*kept, *[F.when(F.col("mark").isNotNull(), F.col(name)).alias(name) for name in wide.columns
+                                    if name not in kept])
     wide = _join(wide, activities, ["id"], "left", bound)
     wide = _join(wide, coupons, ["id"], "left", bound)
-    return wide.select(schemas.ORDER_DETAIL)
+    return wide.select(*schemas.ORDER_DETAIL, *([] if marks is None else ["mark"]))
 
 
 def detail_table(details: DataFrame, order: tuple[str, ...]) -> DataFrame:
@@ -104,16 +113,31 @@ def detail_table(details: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return state.latest(details, ["id"], list(order)).withColumn("row_time", times.from_epoch(F.col("ts"), "s"))
 
 
+def _cancelled(envelope: DataFrame, database: str | None) -> DataFrame:
+    cancelled = cdc.status_transition(
+        envelope, "order_info", "order_status", schemas.ORDER_CANCELLED, schemas.ORDER_UNPAID, types=cdc.INSERTS,
+        database=database,
+    )
+    return cdc.project(cancelled, {"order_id": "id", "operate_time": "operate_time"}, "ts", "row_time")
+
+
+def cancels(envelope: DataFrame, order: tuple[str, ...] = ("ts",), database: str | None = None) -> DataFrame:
+    """`order_cancels` of change records alone (batch), with the last details per line id by `order` (`id`, `ts`).
+
+    The cancels of an order meet its lines before these are dealt out by id, so no wide row goes back to its order.
+    """
+    marks = _cancelled(envelope, database).groupBy("order_id").agg(
+        F.collect_list(F.struct("operate_time", "ts")).alias("mark"))
+    last = state.latest(order_detail(envelope, database, marks=marks), ["id"], list(order)).filter("mark IS NOT NULL")
+    return last.drop("ts").select("*", F.inline("mark")).select(schemas.ORDER_CANCEL)
+
+
 def order_cancels(
     envelope: DataFrame, details: DataFrame, database: str | None = None, bound: str | None = None, delay: str = DELAY
 ) -> DataFrame:
     """Cancelled orders with their lines. `details` has one row per line id (`detail_table`)."""
     envelope, details = _timed(envelope, delay), _timed(details, delay)
-    cancelled = cdc.status_transition(
-        envelope, "order_info", "order_status", schemas.ORDER_CANCELLED, schemas.ORDER_UNPAID, types=cdc.INSERTS,
-        database=database,
-    )
-    cancelled = cdc.project(cancelled, {"order_id": "id", "operate_time": "operate_time"}, "ts", "row_time")
+    cancelled = _cancelled(envelope, database)
     return _join(details.drop("ts"), cancelled, ["order_id"], "inner", bound).select(schemas.ORDER_CANCEL)
 
 

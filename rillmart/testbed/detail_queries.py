@@ -77,8 +77,7 @@ SELECT {_DETAIL}, {sql.moment("o_orderdate + INTERVAL '1 hour'")} AS operate_tim
        CAST(epoch(o_orderdate) AS BIGINT) + 3600 AS ts
 FROM ln JOIN od USING (order_id) WHERE o_orderstatus = 'P'""")
 def cancels(spark, sf_dir):
-    details = dwd.detail_table(_details(spark, sf_dir), ("ts",))
-    return dwd.order_cancels(_orders(spark, sf_dir), details, shapes.DATABASE)
+    return dwd.cancels(detail_topic(spark, sf_dir), ("ts",), shapes.DATABASE)
 
 
 @query("payments", f"""

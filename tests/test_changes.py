@@ -176,3 +176,26 @@ def test_compacted_dimensions_read_as_before(spark, tmp_path):
     dim_sink.append(spark.createDataFrame([change("d", "1", "update", 9, b="new")], dim_sink.CHANGES), target, 7)
     assert read(target)[0] == ("1", "z", "new")
     assert spark.read.parquet(target).filter("type = 'delete'").isEmpty()
+
+
+def _line(order, ts, line="d", amount="1"):
+    data = {"id": line, "order_id": order, "sku_id": "s", "split_total_amount": amount}
+    return ("shop", "order_detail", "insert", ts, data, None)
+
+
+def _order(name, status="1001", ts=0, kind="insert", old=None):
+    return ("shop", "order_info", kind, ts, {"id": name, "order_status": status, "user_id": "u", "operate_time": str(ts)}, old)
+
+
+# Versions of one line in several orders, an order cancelled twice, lines of orders that are unknown or go on.
+AWKWARD = [_order("o1"), _order("o2"), _order("o3"), *[_order("o1", "1003", t, "update", {"order_status": "1001"}) for t in (50, 60)],
+           _line("o1", 5, amount="2"), _line("o2", 9), _line("o1", 4, "e"), _line("o2", 2, "e"), _line("o3", 3, "f"), _line("o9", 3, "g"),
+           ("shop", "order_detail_coupon", "insert", 4, {"order_detail_id": "e", "coupon_id": "c"}, None)]
+
+
+def test_cancels_of_change_records_are_those_of_the_details(spark, rows):
+    envelope = cdc.with_row_time(spark.createDataFrame(AWKWARD, schemas.ENVELOPE))
+    details = dwd.detail_table(dwd.order_detail(envelope), ("ts",))
+    found = dwd.cancels(envelope)
+    assert rows(found) == rows(dwd.order_cancels(envelope, details)) and found.columns == schemas.ORDER_CANCEL
+    assert rows(found, "id", "coupon_id", "operate_time") == [("e", "c", "50"), ("e", "c", "60")]
