@@ -7,7 +7,7 @@ find every pair; left joins need it, and `streaming.details.order_detail_version
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -71,12 +71,13 @@ def cart_adds(envelope: DataFrame, database: str | None = None) -> DataFrame:
 
 def order_detail(
     envelope: DataFrame, database: str | None = None, bound: str | None = None, delay: str = DELAY,
-    marks: DataFrame | None = None,
+    marks: DataFrame | None = None, marked: Column | None = None,
 ) -> DataFrame:
     """Order lines with their order, and activity and coupon where there are any.
 
     `marks` (batch; order_id and `mark`, one row per order) adds the mark of a line's order. It is joined where the lines lie
-    by order anyway; lines of other orders go on with their id and `ts` alone, as they may still be the last of their id.
+    by order anyway; other lines go on with their id and `ts` alone, as they may still be the last of their id. `marked`, a condition
+    on `row_time` and `mark`, may leave the mark out.
     """
     envelope = _timed(envelope, delay)
     lines = cdc.slice(
@@ -96,7 +97,8 @@ def order_detail(
                         "row_time", database=database)
     wide = _join(lines, orders, ["order_id"], "inner", bound)
     if marks is not None:
-        wide, kept = wide.drop("row_time").join(marks, "order_id", "left"), ("id", "ts", "mark")
+        wide, kept = wide.join(marks, "order_id", "left"), ("id", "ts", "mark")
+        wide = (wide if marked is None else wide.withColumn("mark", F.when(marked, F.col("mark")))).drop("row_time")
         wide = wide.select(*kept, *[F.when(F.col("mark").isNotNull(), F.col(name)).alias(name) for name in wide.columns
                                     if name not in kept])
     wide = _join(wide, activities, ["id"], "left", bound)
@@ -141,6 +143,30 @@ def order_cancels(
     return _join(details.drop("ts"), cancelled, ["order_id"], "inner", bound).select(schemas.ORDER_CANCEL)
 
 
+def _paid(envelope: DataFrame, database: str | None) -> DataFrame:
+    paid = cdc.status_transition(envelope, "payment_info", "payment_status", schemas.PAYMENT_DONE, database=database)
+    return cdc.project(
+        paid, ["order_id", "user_id", "payment_type", "callback_time"], "ts", F.col("row_time").alias("pay_time")
+    )
+
+
+def payments_of_records(
+    paid: DataFrame, envelope: DataFrame, dic: DataFrame, order: tuple[str, ...] = ("ts",), database: str | None = None,
+    lower: str = "15 seconds", upper: str = "5 seconds",
+) -> DataFrame:
+    """`payments` of change records alone (batch), with the last details per line id by `order` (`id`, `ts`).
+
+    A line that lies outside the time from the first to the last payment of its order matches none. That is seen where lines lie by
+    order anyway, so the range join gets few wide rows.
+    """
+    marks = _paid(paid, database).groupBy("order_id").agg(
+        F.struct(F.min("pay_time").alias("first"), F.max("pay_time").alias("last")).alias("mark"))
+    near = (F.col("mark.last") >= F.col("row_time") - F.expr(f"INTERVAL {lower}")) & (
+        F.col("mark.first") <= F.col("row_time") + F.expr(f"INTERVAL {upper}"))
+    details = detail_table(order_detail(envelope, database, marks=marks, marked=near), order).filter("mark IS NOT NULL")
+    return payments(paid, details.drop("mark"), dic, database, lower, upper)
+
+
 def payments(
     envelope: DataFrame,
     details: DataFrame,
@@ -155,10 +181,7 @@ def payments(
     The payment may precede the order record by `lower` and follow it by `upper`.
     """
     envelope, details = _timed(envelope, delay), _timed(details, delay)
-    paid = cdc.status_transition(envelope, "payment_info", "payment_status", schemas.PAYMENT_DONE, database=database)
-    paid = cdc.project(
-        paid, ["order_id", "user_id", "payment_type", "callback_time"], "ts", F.col("row_time").alias("pay_time")
-    )
+    paid = _paid(envelope, database)
     matched = joins.interval(details.drop("ts", "user_id"), paid, ["order_id"], "row_time", "pay_time", lower, upper)
     named = enrich.code(matched, dic, "payment_type", "payment_type_name")
     return named.withColumnsRenamed({"payment_type": "payment_type_code", "callback_time": "payment_time"}).select(

@@ -90,9 +90,8 @@ WHERE o_orderstatus IN ('F', 'O')
 def payments(spark, sf_dir):
     """Ship dates stand in for order times, so the range is in days here."""
     (orders,) = _tables(spark, sf_dir, "orders")
-    details = dwd.detail_table(_details(spark, sf_dir), ("ts",))
-    return dwd.payments(shapes.payment_info(orders), details, _codes(spark, sf_dir, "orders"), shapes.DATABASE,
-                        lower="30 days", upper="40 days")
+    return dwd.payments_of_records(shapes.payment_info(orders), detail_topic(spark, sf_dir), _codes(spark, sf_dir, "orders"),
+                                   ("ts",), shapes.DATABASE, lower="30 days", upper="40 days")
 
 
 @query("refund_orders", f"""

@@ -199,3 +199,21 @@ def test_cancels_of_change_records_are_those_of_the_details(spark, rows):
     found = dwd.cancels(envelope)
     assert rows(found) == rows(dwd.order_cancels(envelope, details)) and found.columns == schemas.ORDER_CANCEL
     assert rows(found, "id", "coupon_id", "operate_time") == [("e", "c", "50"), ("e", "c", "60")]
+
+
+def test_payments_of_change_records_are_those_of_the_details(spark, rows):
+    def pay(order, ts):
+        data = {"order_id": order, "user_id": "p", "payment_type": "1", "payment_status": "1602", "callback_time": str(ts)}
+        return ("shop", "payment_info", "update", ts, data, {"payment_status": "1601"})
+
+    envelope = cdc.with_row_time(spark.createDataFrame(AWKWARD, schemas.ENVELOPE))
+    # o1: the last version of d lies in o2; e lies between two payments, near one of o2's, and on both ends of the range.
+    paid = cdc.with_row_time(spark.createDataFrame(
+        [pay("o1", 0), pay("o1", 9), pay("o1", 2), pay("o2", 100), pay("o3", 13), pay("o3", -7), pay("o3", 3), pay("o9", 3)],
+        schemas.ENVELOPE))
+    dic = spark.createDataFrame([("1", ("card",))], "rowkey string, info struct<dic_name:string>")
+    details = dwd.detail_table(dwd.order_detail(envelope), ("ts",))
+    for lower, upper in (("15 seconds", "5 seconds"), ("10 seconds", "10 seconds"), ("2 seconds", "3 seconds")):
+        found = dwd.payments_of_records(paid, envelope, dic, lower=lower, upper=upper)
+        wanted = rows(dwd.payments(paid, details, dic, lower=lower, upper=upper))
+        assert rows(found) == wanted and wanted and found.columns == schemas.PAYMENT
