@@ -7,7 +7,7 @@ find every pair; left joins need it, and `streaming.details.order_detail_version
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -95,6 +95,8 @@ def order_detail(
     )
     coupons = cdc.slice(envelope, "order_detail_coupon", {"id": "order_detail_id", "coupon_id": "coupon_id"},
                         "row_time", database=database)
+    if marks is None and not envelope.isStreaming:
+        return _by_line(lines, orders, activities, coupons).select(schemas.ORDER_DETAIL)
     wide = _join(lines, orders, ["order_id"], "inner", bound)
     if marks is not None:
         wide, kept = wide.join(marks, "order_id", "left"), ("id", "ts", "mark")
@@ -106,6 +108,31 @@ def order_detail(
     return wide.select(*schemas.ORDER_DETAIL, *([] if marks is None else ["mark"]))
 
 
+def _by_line(lines: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Batch lines with their order, activity and coupon, where whole lines are shuffled once, by a hash of their id.
+
+    A hash and the order id of each line go to the order and come back with what is taken from it. All joins are keyed by
+    the hash alone, so the lines stay where they are; the ids themselves are compared by a range, as an equality would
+    become a key too. A line without id is dealt out by its order. Equal orders are numbered, as what versions of one line
+    bring back is taken once.
+    """
+    def equal(one: Column, other: Column) -> Column:
+        return (one >= other) & (one <= other)
+
+    place = F.hash(F.coalesce(F.col("id"), F.col("order_id")))
+    found = orders.drop("row_time")
+    equals = Window.partitionBy(*found.columns).orderBy("order_id")
+    found = found.withColumn("_number", F.row_number().over(equals))
+    placed = lines.select("order_id", place.alias("_place")).join(found, "order_id")
+    placed = placed.withColumnRenamed("order_id", "_order_id").repartition("_place").distinct()
+    wide = lines.filter("order_id IS NOT NULL").join(
+        placed, (place == F.col("_place")) & equal(F.col("order_id"), F.col("_order_id")))
+    for part in (activities, coupons):
+        own = part.drop("row_time").filter("id IS NOT NULL").withColumnRenamed("id", "_id")
+        wide = wide.join(own, (place == F.hash("_id")) & equal(F.col("id"), F.col("_id")), "left").drop("_id")
+    return wide
+
+
 def detail_table(details: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """The order-detail upsert log as a table: the last version per id, with `row_time` (batch).
 

@@ -217,3 +217,39 @@ def test_payments_of_change_records_are_those_of_the_details(spark, rows):
         found = dwd.payments_of_records(paid, envelope, dic, lower=lower, upper=upper)
         wanted = rows(dwd.payments(paid, details, dic, lower=lower, upper=upper))
         assert rows(found) == wanted and wanted and found.columns == schemas.PAYMENT
+
+
+def test_lines_are_shuffled_once_whatever_their_ids(spark, rows):
+    """Whole lines were shuffled to their orders and again by id. Repeated, missing and contradictory ids give what plain joins give."""
+    def of(table, data):
+        return ("shop", table, "insert", 5, data, None)
+
+    ids, orders = ["a", "a", "b", "", None, None, "c"], ["o1", "o1", "o2", "o1", "o1", "o3", None]
+    lines = [*zip(ids, orders), ("a", "o2"), ("a", "o2"), ("d", "lost"), ("e", "o1"), ("", "o3")]
+    placed = [("o1", "u1"), ("o1", "u2"), ("o2", "u3"), ("o3", None), (None, "u4")]
+    activities = [("a", "x"), ("a", "y"), ("", "z"), (None, "n"), ("c", "w"), ("b", None)]
+    coupons = [("a", "k"), ("e", "k"), ("e", "l"), (None, "n")]
+    records = [
+        *[of("order_detail", {"id": i, "order_id": o, "sku_id": str(n)}) for n, (i, o) in enumerate(lines)],
+        *[of("order_info", {"id": o, "user_id": u}) for o, u in placed],
+        *[of("order_detail_activity", {"order_detail_id": i, "activity_id": a}) for i, a in activities],
+        *[of("order_detail_coupon", {"order_detail_id": i, "coupon_id": c}) for i, c in coupons]]
+    df = dwd.order_detail(cdc.with_row_time(spark.createDataFrame(records, schemas.ENVELOPE)), "shop")
+    wanted = [(i, o, str(n), u, a, c) for n, (i, o) in enumerate(lines) for p, u in placed if o is not None and o == p
+              for a in [a for d, a in activities if i is not None and d == i] or [None]
+              for c in [c for d, c in coupons if i is not None and d == i] or [None]]
+    got = rows(df, "id", "order_id", "sku_id", "user_id", "activity_id", "coupon_id")
+    assert got == sorted(wanted, key=str)
+
+    def shuffled(node):
+        children = node.children()
+        below = [name for n in range(children.size()) for name in shuffled(children.apply(n))]
+        return below + [node.output().mkString(",")] * (node.nodeName() == "Exchange")
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().initialPlan()
+        assert len([names for names in shuffled(plan) if "sku_name" in names]) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
