@@ -58,12 +58,31 @@ def tumble_distinct(
     First one row per window, keys and item, then the count of those rows: no set is ever built, and a hot group is
     spread over tasks by its items.
     """
-    per_item = (
+    items = distinct_items(df, ts, size, keys, item, sums, delay)
+    return count_items(items, keys, item, count_as, sums, as_of, zone)
+
+
+def distinct_items(
+    df: DataFrame, ts: str, size: str, keys: list[str], item: str, sums: tuple[str, ...] = (), delay: str | None = None
+) -> DataFrame:
+    """The first step of `tumble_distinct`: one row per window, keys and item, with the sums.
+
+    An appending stream gives all rows of a window in the micro-batch that closes it. So `count_items` may count each
+    micro-batch as a batch, without a state of its own.
+    """
+    return (
         watermarked(df, ts, delay)
         .groupBy(F.window(ts, size), *keys, item)
         .agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(name).alias(name) for name in sums])
     )
-    grouped = per_item.groupBy("window", *keys).agg(
+
+
+def count_items(
+    items: DataFrame, keys: list[str], item: str, count_as: str, sums: tuple[str, ...] = (), as_of: str | None = None,
+    zone: str | None = None,
+) -> DataFrame:
+    """The second step of `tumble_distinct`."""
+    grouped = items.groupBy("window", *keys).agg(
         F.count(item).alias(count_as), *[F.sum(name).alias(name) for name in sums]
     )
     return stamp(grouped, as_of, zone)

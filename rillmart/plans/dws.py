@@ -233,14 +233,27 @@ def refunds(
 ) -> DataFrame:
     """Refunded orders per trademark, category 3 and user.
 
-    The grouping ids come from the sku dimension before aggregation; the names are added after it.
+    The grouping ids come from the sku dimension before aggregation; the names are added after it. A stream keeps less
+    state with `refund_items`, and `refund_counts` on each of its micro-batches.
     """
+    return refund_counts(refund_items(refund_orders, dims, size, delay), dims, as_of, zone)
+
+
+_REFUND_KEYS = ["trademark_id", "category3_id", "user_id"]
+
+
+def refund_items(refund_orders: DataFrame, dims: dict[str, DataFrame], size: str = SIZE, delay: str = DELAY) -> DataFrame:
+    """One row per window, trademark, category 3, user and refunded order."""
     rows = facts.require(refund_orders).select("user_id", "sku_id", "order_id", "et")
     keyed = enrich.dim(rows, dims["dim_sku_info"], "sku_id", {"trademark_id": "tm_id", "category3_id": "category3_id"})
-    counted = windows.tumble_distinct(
-        keyed.drop("sku_id"), "et", size, ["trademark_id", "category3_id", "user_id"], "order_id", "refund_count",
-        (), delay, as_of, zone,
-    )
+    return windows.distinct_items(keyed.drop("sku_id"), "et", size, _REFUND_KEYS, "order_id", (), delay)
+
+
+def refund_counts(
+    items: DataFrame, dims: dict[str, DataFrame], as_of: str | None = None, zone: str | None = None
+) -> DataFrame:
+    """`refunds` of its items."""
+    counted = windows.count_items(items, _REFUND_KEYS, "order_id", "refund_count", (), as_of, zone)
     named = enrich.dim(counted, dims["dim_base_trademark"], "trademark_id", {"trademark_name": "tm_name"})
     parents = {n: n for n in ("category3_name", "category2_id", "category2_name", "category1_id", "category1_name")}
     named = enrich.dim(named, enrich.categories(dims), "category3_id", parents)

@@ -192,8 +192,16 @@ def stream_late_rows(spark, sf_dir):
 @query("stream_refunds", _closed(QUERIES["refund_by_brand_type_user"].sql,
                                 "max(l_shipdate) FROM lineitem WHERE l_returnflag = 'R'"))
 def stream_refunds(spark, sf_dir):
+    """Orders are told apart in the state of the stream; a window is counted and named in the micro-batch that closes it."""
     returned = shapes.returned_lines(stream(spark, sf_dir, "lineitem"))
-    return _appended(spark, dws.refunds(returned, shapes.dims(shapes.table(spark, sf_dir, "part")), _DAY, as_of=AS_OF))
+
+    def dims() -> dict[str, DataFrame]:
+        return shapes.dims(shapes.table(spark, sf_dir, "part"))
+
+    folder, items = scratch(spark), dws.refund_items(returned, dims(), _DAY)
+    queries.with_live_tables(items, f"{folder}/checkpoint", dims, lambda rows, known: dws.refund_counts(rows, known, AS_OF),
+                             f"{folder}/out", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
 
 
 @query("stream_home_detail", _closed(

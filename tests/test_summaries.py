@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rillmart.operators import skew
 from rillmart.plans import dwd, dws
+from rillmart.sinks import upserts
+from rillmart.streaming import queries
 
 COLUMNS = "id string, sku_id string, sku_name string, order_id string, province_id string, order_price string, " \
           "sku_num string, split_total_amount string, split_activity_amount string, split_coupon_amount string, ts long"
@@ -82,3 +84,21 @@ def test_a_smaller_correction_of_the_same_second_counts_by_arrival(spark):
 def test_the_last_version_of_a_line_is_told_by_arrival(spark):
     log = spark.createDataFrame([("1", "a", 5, 1), ("1", None, 5, 0)], "id string, activity_id string, ts bigint, arrival int")
     assert dwd.detail_table(log, ("ts", "arrival")).first()["activity_id"] == "a"
+
+
+def test_refunds_of_a_stream_keep_one_state(spark, dims, rows, feed, tmp_path):
+    """The counts of closed windows went through a second state; each window is counted once, in the micro-batch that closes it."""
+    schema = "user_id string, sku_id string, order_id string, ts long"
+    first = [("u", "s", "o1", 5), ("u", "s", "o2", 7), ("v", "s", "o1", 3700), ("u", "t", "o1", 9), (None, "s", "o1", 11), ("u", "s", "o3", 0)]
+    second = [("u", "s", "o1", 20), ("u", "s", "o4", 3000), ("v", "s", "o1", 7300), ("v", "s", "o2", 3900)]
+    third = [("u", "s", "late", 30), ("v", "s", "o9", 7400), ("w", "s", "open", 50_000)]
+    parts = [spark.createDataFrame(part, schema) for part in (first, second, third)]
+    items = dws.refund_items(feed("refunds", *parts), dims, "1 hour")
+    query = queries.with_live_tables(items, str(tmp_path / "c"), lambda: dims,
+                                     lambda found, known: dws.refund_counts(found, known, "2024-01-01"), str(tmp_path / "out"), once=True)
+    query.awaitTermination()
+    assert all(len(p["stateOperators"]) == 1 for p in query.recentProgress)
+    kept = spark.createDataFrame([row for row in first + second + third if row[2] not in ("late", "open")], schema)
+    wanted = dws.refunds(kept, dims, "1 hour", as_of="2024-01-01")
+    got = spark.read.parquet(str(tmp_path / "out")).drop(upserts.BATCH)
+    assert got.columns == wanted.columns and rows(got) == rows(wanted) and got.filter("user_id = 'u'").count() == 1
