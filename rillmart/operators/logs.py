@@ -50,14 +50,19 @@ def records(heads: DataFrame, value: str = "value") -> DataFrame:
 
 
 def with_flag(logs: DataFrame) -> DataFrame:
-    """Write the (repaired) `is_new` column back into the record; records that have it already stay as they are."""
+    """Write the (repaired) `is_new` column back into the record; records that have it already stay as they are.
+
+    In a flat object without escapes the flag is replaced in the text, where its name can only be a key; others are parsed.
+    """
     common, flag = F.col("rec.common"), F.col("is_new")
     same = flag.eqNullSafe(F.get_json_object(common, "$.is_new"))
     fields = F.from_json(common, "map<string,variant>")
     rewritten = F.to_json(
         F.transform_values(fields, lambda key, v: F.when(key == "is_new", flag.cast("variant")).otherwise(v))
     )
-    return logs.withColumn("rec", F.col("rec").withField("common", F.when(same, common).otherwise(rewritten)))
+    replaced = F.regexp_replace(common, r'"is_new"(\s*:\s*)(?:"[^"]*"|[^",}\s]+)', '"is_new"$1"0"')
+    written = F.when((flag == "0") & common.rlike(r"^\{[^{}\[\]\\]*\}$"), replaced).otherwise(rewritten)
+    return logs.withColumn("rec", F.col("rec").withField("common", F.when(same, common).otherwise(written)))
 
 
 def _members(*fields: str) -> Column:

@@ -98,3 +98,21 @@ def test_records_of_kept_messages_are_those_parsed_at_once(spark, rows):
     columns = ("rec", "mid", "is_new", "ts", "et", "tie")
     assert rows(logs.records(logs.heads(messages, keep=True)), *columns) == rows(logs.parse(messages), *columns)
     assert len(rows(logs.parse(messages))) >= 3
+
+
+def test_a_flag_is_replaced_in_the_text(spark):
+    """Flat records were parsed and written anew, with numbers in another form; others still are, whatever their texts hold."""
+    flat = ['{"mid":"m","is_new":"1","v":1.50,"n":1e2}', '{ "is_new" : 1 , "mid":"m" }', '{"mid":"is_new","is_new":"1","x":"a:b,c"}',
+            '{"is_new":true}', '{"v":"is_new","is_new":"1"}', '{"is_new":"","my is_new":"1"}']
+    wanted = ['{"mid":"m","is_new":"0","v":1.50,"n":1e2}', '{ "is_new" : "0" , "mid":"m" }', '{"mid":"is_new","is_new":"0","x":"a:b,c"}',
+              '{"is_new":"0"}', '{"v":"is_new","is_new":"0"}', '{"is_new":"0","my is_new":"1"}']
+    odd = [{"mid": "m", "is_new": "1", "in": {"is_new": "1"}}, {"is_new": "1", "v": '"is_new":"1"'}, {"is_new": "1", "v": "{}"},
+           {"is_new": "1", "v": "a\\"}, {"is_new": "1", "v": ["is_new"]}, {"v": '","is_new":"5', "is_new": "1"}]
+    texts = flat + [json.dumps(fields, separators=(",", ":")) for fields in odd]
+    df = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "n int, common string")
+    df = df.select("n", F.struct("common").alias("rec"), F.lit("0").alias("is_new"))
+    got = [row.common for row in logs.with_flag(df).orderBy("n").select("rec.common").collect()]
+    assert got[:len(flat)] == wanted
+    assert [json.loads(text) for text in got[len(flat):]] == [{**fields, "is_new": "0"} for fields in odd]
+    other = logs.with_flag(df.limit(1).withColumn("is_new", F.lit('$1"\\'))).select("rec.common").first()[0]
+    assert json.loads(other)["is_new"] == '$1"\\'
