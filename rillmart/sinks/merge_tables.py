@@ -52,7 +52,8 @@ class MergeTable:
     """A table of `schema` below `path` with one current row per key.
 
     Later micro-batches win; within one, `order` decides. `combine` shortens the rows of one micro-batch and `reduce`
-    all rows of a bucket, both from and to rows with the column `_batch`; by default they keep the last row per key.
+    all rows of a bucket, both from and to rows with the column `_batch`; by default they keep the last row per key. `codec`
+    packs the files, by default the one Spark is set to.
     """
 
     spark: SparkSession
@@ -63,6 +64,7 @@ class MergeTable:
     buckets: int = BUCKETS
     combine: Callable[[DataFrame], DataFrame] | None = None
     reduce: Callable[[DataFrame], DataFrame] | None = None
+    codec: str | None = None
 
     # -- manifests
 
@@ -114,7 +116,7 @@ class MergeTable:
         target = f"{self.path}/data/{PART}={name}"
         # Small buckets stay together, large ones are split: a task's size does not follow the number of buckets.
         dealt = bucketed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys)
-        dealt.write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
+        dealt.write.mode("errorifexists").partitionBy(BUCKET).parquet(target, compression=self.codec)
         folder, files = self._files()
         held = [status.getPath().getName() for status in files.listStatus(
             self.spark._jvm.org.apache.hadoop.fs.Path(target))]

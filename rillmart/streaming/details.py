@@ -251,13 +251,15 @@ def _last_parts(rows: DataFrame) -> DataFrame:
 def parts_table(spark: SparkSession, path: str, buckets: int = merge_tables.BUCKETS) -> merge_tables.MergeTable:
     """A merge table of the parts of order lines: of each line the last part of each kind counts."""
     schema = T.StructType([T.StructField("id", T.StringType()), *[T.StructField(n, kind) for n, kind in _TABLE_PARTS.items()]])
-    return merge_tables.MergeTable(spark, path, schema, ("id",), buckets=buckets, combine=lambda rows: rows, reduce=_last_parts)
+    return merge_tables.MergeTable(spark, path, schema, ("id",), buckets=buckets, combine=lambda rows: rows, reduce=_last_parts,
+                                   codec="zstd")
 
 
 def order_detail_table(envelope: DataFrame, checkpoint: str, table: merge_tables.MergeTable, once: bool = False,
                        database: str | None = None) -> StreamingQuery:
     """Merge the parts of order lines into a table made by `parts_table`; no Python runs per line."""
-    return queries.each_batch(order_detail_parts(envelope, database), checkpoint, table.merge, once)
+    with queries.packed_state(envelope.sparkSession):
+        return queries.each_batch(order_detail_parts(envelope, database), checkpoint, table.merge, once)
 
 
 def current(table: merge_tables.MergeTable) -> DataFrame:

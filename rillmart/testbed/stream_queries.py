@@ -19,7 +19,7 @@ from ..sinks import merge_tables, tables, topics, upserts
 from ..streaming import details, queries
 from . import shapes, sql
 from .detail_queries import (
-    CONFIG_AS_OF, REPAIRED, config_history, detail_topic, dim_config, fact_config, routed_topic, split_fields,
+    CONFIG_AS_OF, REPAIRED, config_history, dim_config, fact_config, routed_topic, split_fields,
 )
 from .registry import AS_OF, QUERIES, query
 from .summary_queries import PROVINCE_SQL
@@ -245,12 +245,35 @@ def stream_payments(spark, sf_dir):
     return _appended(spark, pairs.select("signup_id", "purchase_id", "user_id"))
 
 
+def _as_they_lie(spark: SparkSession, rows: DataFrame, folder: str, batches: int, files: int) -> list[DataFrame]:
+    """Rows written to about so many files, more for a large table, without a shuffle, and a stream of them in so many micro-batches
+    from the oldest file on, and one from the newest on."""
+    most = max(1, min(_ROWS, math.ceil(rows.count() / files)))
+    rows.write.options(maxRecordsPerFile=most, compression="zstd").parquet(folder)
+    written = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", math.ceil(written / batches))
+    return [reader.option("latestFirst", newest).parquet(folder) for newest in (False, True)]
+
+
+def _arriving_details(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The change records of `detail_topic`, which arrive over several micro-batches in any order.
+
+    Rows of the tables are put into files, and the records of a micro-batch are made from them: a record is many times as large as
+    its row. Orders, activities and coupons come from the newest files on, lines from the oldest on.
+    """
+    _, orders = _as_they_lie(spark, shapes.table(spark, sf_dir, "orders"), f"{folder}/orders", batches=2, files=4)
+    early, late = _as_they_lie(spark, shapes.table(spark, sf_dir, "lineitem"), f"{folder}/lines", batches=2, files=4)
+    line = F.col("table") == "order_detail"
+    records = shapes.order_lines(early).filter(line).unionByName(shapes.order_lines(late).filter(~line))
+    return shapes.order_info(orders, shapes.table(spark, sf_dir, "customer")).unionByName(records)
+
+
 @query("stream_order_detail", QUERIES["order_detail"].sql)
 def stream_order_detail(spark, sf_dir):
     """Orders and lines in any order over several micro-batches; a line meets its order in the state of a join, and a table
     takes in the pair, activities and coupons as parts of the line, whenever they come."""
     folder = scratch(spark)
-    records = _arriving(spark, detail_topic(spark, sf_dir), f"{folder}/in", batches=2, files=4)
+    records = _arriving_details(spark, sf_dir, f"{folder}/in")
     table = details.parts_table(spark, f"{folder}/table", buckets=8)
     details.order_detail_table(records, f"{folder}/checkpoint", table, once=True,
                                database=shapes.DATABASE).awaitTermination()

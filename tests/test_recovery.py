@@ -1,6 +1,7 @@
 """Streams that stop or fail and go on from their checkpoint; order details from state; merge tables."""
 
 import datetime as dt
+import json
 import os
 import time
 
@@ -136,6 +137,43 @@ def test_table_of_details_needs_no_call_per_line(spark, topic, tmp_path):
     assert got["d3"]["user_id"] == "z" and got["d4"]["user_id"] == "q" and got["d1"]["order_id"] == "o3"
 
 
+def test_streamed_details_lie_on_disk_once_and_packed(spark, rows, tmp_path, monkeypatch):
+    """What arrives takes about the room of the tables, not that of their records, and the state of the join is packed by zstd."""
+    from rillmart.testbed import registry
+
+    jobs = registry.load()
+    from rillmart.testbed import stream_queries
+
+    sf, day = str(tmp_path / "sf"), F.timestamp_seconds(F.lit(T0) + F.col("id") % 1000 * 86400)
+    n = spark.range(4000)
+    n.select(F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"), F.lit("P").alias("o_orderstatus"),
+             day.alias("o_orderdate")).write.parquet(f"{sf}/orders.parquet")
+    spark.range(40).select(F.col("id").alias("c_custkey"), (F.col("id") % 7).alias("c_nationkey")).write.parquet(f"{sf}/customer.parquet")
+    hashed = F.pmod(F.xxhash64("id"), F.lit(90_000))
+    spark.range(16_000).select(
+        F.when(F.col("id") % 100 > 0, F.pmod(hashed, F.lit(4400))).alias("l_orderkey"), F.col("id").alias("l_partkey"),
+        (hashed % 100).alias("l_suppkey"), (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"), F.lit(3.0).alias("l_quantity"),
+        (hashed / 100).alias("l_extendedprice"), (F.col("id") % 11 / 100).alias("l_discount"), (F.col("id") % 9 / 100).alias("l_tax"),
+        day.alias("l_shipdate")).write.parquet(f"{sf}/lineitem.parquet")
+    folder = str(tmp_path / "scratch")
+    monkeypatch.setattr(stream_queries, "scratch", lambda spark: folder)
+    before = spark.conf.get("spark.sql.streaming.stateStore.compression.codec")
+    found = jobs["stream_order_detail"].run(spark, sf)
+    wanted = jobs["order_detail"].run(spark, sf)
+    assert rows(found, *schemas.ORDER_DETAIL) == rows(wanted, *schemas.ORDER_DETAIL) and found.count() > 10_000
+    assert found.filter("activity_id IS NOT NULL").count() > 1000 and found.filter("coupon_id IS NOT NULL").count() > 1000
+
+    def size(*parts):
+        return sum(os.path.getsize(os.path.join(top, f)) for top, _, files in os.walk(os.path.join(*parts)) for f in files)
+
+    assert size(folder, "in") < 2 * size(sf)
+    with open(os.path.join(folder, "checkpoint", "offsets", "0")) as first:
+        assert json.loads(first.read().split("\n")[1])["conf"]["spark.sql.streaming.stateStore.compression.codec"] == "zstd"
+    assert spark.conf.get("spark.sql.streaming.stateStore.compression.codec") == before
+    batches = os.listdir(os.path.join(folder, "checkpoint", "offsets"))
+    assert len([name for name in batches if name.isdigit()]) >= 2
+
+
 def test_details_forget_after_their_life_time(spark, topic, tmp_path):
     """Lifetime in processing time: a line whose order comes too late is gone."""
     arrivals, found = Arrivals(spark, tmp_path / "in"), []
