@@ -11,8 +11,10 @@ once, when the query first starts, so results go on as if all rows had come thro
 from __future__ import annotations
 
 import datetime as dt
+import json
 import pickle
 from collections.abc import Callable, Iterable, Iterator
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,16 +24,27 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions import times
 
 _DAY_MS = 86_400_000
-_AT, _DAY, _GROUP = "_at", "_day", "_group"
-# Groups of keys. Checkpoints depend on the number: with another one a key would not find its state.
+_AT, _DAY, _GROUP, _PACKED = "_at", "_day", "_group", "_packed"
+# Groups of keys, where the session names no number. Checkpoints depend on it: with another one a key would not find its state.
 GROUPS = 1 << 18
+GROUPS_CONF = "rillmart.history.groups"
+# Types that go to Python as a text, and what makes a value of the text there.
+_TEXTS = {T.StringType: None, T.ByteType: int, T.ShortType: int, T.IntegerType: int, T.LongType: int, T.DecimalType: Decimal}
+
+
+class _Out(dict):
+    """An output row in the form that PySpark makes of a `Row`."""
+
+    def asDict(self, recursive: bool = False) -> dict:
+        return self
 
 
 class _Ordered(StatefulProcessor):
     """Walks the rows of each key in order, with the state loaded once and stored once per micro-batch.
 
     Keys are dealt to `GROUPS` groups, and Spark is asked per group: a call, its messages and its batch of output rows cost far
-    more than a row does. The state of a group maps its keys to theirs, a micro-batch rewrites the groups it touches.
+    more than a row does. The state of a group maps its keys to theirs, a micro-batch rewrites the groups it touches. So
+    micro-batches of many rows do better with fewer groups (`queries.key_groups`).
 
     `step(row, last)` gets a row as a tuple and gives the output values (None for no output) and the new state. `place` holds
     the positions of the columns.
@@ -42,6 +55,8 @@ class _Ordered(StatefulProcessor):
         # The time goes back as microseconds, which Arrow takes for a timestamp.
         self.taken = [_AT if name == ts else name for name in out]
         self.place: dict[str, int] | None = None
+        # Names and types of the columns in the text of a row, where `_packed` has put them there.
+        self.packed: dict[str, type | None] = {}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -68,7 +83,7 @@ class _Ordered(StatefulProcessor):
         self.out_at = [self.place.get(name) for name in self.taken]
 
     def handleInputRows(self, key, rows: Iterable[Row], timerValues) -> Iterator[Row]:
-        make, known, changed = Row(*self.out), self._load(), False
+        known, changed = self._load(), False
         of_key: dict[tuple, list[tuple]] = {}
         for row in self.needed(self._plain(rows)):
             of_key.setdefault(self.key(row), []).append(row)
@@ -79,17 +94,30 @@ class _Ordered(StatefulProcessor):
             for row in found:
                 values, last = self.step(row, last)
                 if values is not None:
-                    yield make(*values)
+                    yield _Out(zip(self.out, values))
             if last is not None and last != before:
                 known[own], changed = last, True
         if changed:
             self._store(known)
 
     def _plain(self, rows: Iterable[Row]) -> Iterator[tuple]:
+        if not self.packed:
+            for row in rows:
+                if self.place is None:
+                    self._bind(list(row.__fields__))
+                yield tuple(row)
+            return
+        typed = [(i, kind) for i, kind in enumerate(self.packed.values()) if kind is not None]
         for row in rows:
             if self.place is None:
-                self._bind(list(row.__fields__))
-            yield tuple(row)
+                names = list(row.__fields__)
+                self.text_at = names.index(_PACKED)
+                self._bind([*self.packed, *names])
+            texts = json.loads(row[self.text_at])
+            for i, kind in typed:
+                if texts[i] is not None:
+                    texts[i] = kind(texts[i])
+            yield (*texts, *row)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         # One row per group, with all its keys and their states.
@@ -219,18 +247,36 @@ def _dated(df: DataFrame, ts: str, zone: str | None) -> DataFrame:
     return df.withColumn(_AT, F.unix_micros(ts)).withColumn(_DAY, F.unix_date(times.day(F.col(ts), zone)))
 
 
-def _group(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).alias(_GROUP)
+def _group(df: DataFrame, keys: list[str]) -> Column:
+    groups = int(df.sparkSession.conf.get(GROUPS_CONF, str(GROUPS)))
+    return F.pmod(F.xxhash64(*keys), F.lit(groups).cast("bigint")).alias(_GROUP)
+
+
+def _packed(dated: DataFrame, keys: list[str], ts: str, processor: _Ordered) -> DataFrame:
+    """The columns in few cells, for processors that need no day. PySpark takes each cell of a row by itself, a timestamp with its
+    zone, and that costs more than the work on the row.
+
+    Texts and numbers go as one text. The time goes as its number, under the mark by which Spark tells late rows.
+    """
+    kinds = {field.name: _TEXTS[type(field.dataType)] for field in dated.schema.fields
+             if type(field.dataType) in _TEXTS and field.name not in (_AT, _DAY)}
+    processor.packed = kinds
+    others = [name for name in dated.columns if name not in kinds and name not in (ts, _AT, _DAY)]
+    text = F.to_json(F.array(*[F.col(name).cast("string") for name in kinds]))
+    at = F.col(_AT).alias(_AT, metadata=dated.schema[ts].metadata)
+    return dated.select(_group(dated, keys), at, text.alias(_PACKED), *others)
 
 
 def _run(df: DataFrame, keys: list[str], ts: str, zone: str | None, processor: _Ordered, schema: T.StructType,
-         past: DataFrame | None = None) -> DataFrame:
-    """`past` holds the state at the start: one row per key with the columns of the state."""
+         past: DataFrame | None = None, packed: bool = False) -> DataFrame:
+    """`past` holds the state at the start: one row per key with the columns of the state. `packed` is for rows of short values."""
     start = None
     if past is not None:
         own, last = F.struct(*keys).alias("key"), F.struct(*[n for n in past.columns if n not in keys]).alias("last")
-        start = past.groupBy(_group(keys)).agg(F.collect_list(F.struct(own, last)).alias("known")).groupBy(_GROUP)
-    return _dated(df, ts, zone).select(_group(keys), "*").groupBy(_GROUP).transformWithState(
+        start = past.groupBy(_group(df, keys)).agg(F.collect_list(F.struct(own, last)).alias("known")).groupBy(_GROUP)
+    dated = _dated(df, ts, zone)
+    rows = _packed(dated, keys, ts, processor) if packed else dated.select(_group(df, keys), "*")
+    return rows.groupBy(_GROUP).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
@@ -306,4 +352,4 @@ def delta(
     if past is not None:
         last = F.max_by(F.struct(F.col(_AT).alias("at"), *measures), _moment(tuple(order)))
         past = _dated(past, ts, None).groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
-    return _run(df, keys, ts, None, Delta(keys, [_AT, *order], df.columns, ts, measures, keep), df.schema, past)
+    return _run(df, keys, ts, None, Delta(keys, [_AT, *order], df.columns, ts, measures, keep), df.schema, past, packed=True)

@@ -127,13 +127,17 @@ def stream_keyword_count(spark, sf_dir):
 def stream_province_orders(spark, sf_dir):
     lines = shapes.line_versions(stream(spark, sf_dir, "lineitem"))
     details = shapes.with_province(lines, shapes.table(spark, sf_dir, "orders"), shapes.table(spark, sf_dir, "customer"))
-    folder, sums = scratch(spark), dws.province_sums(details, ("et",), _DAY, as_of=AS_OF)
+    folder = scratch(spark)
+    # The table comes in one micro-batch, so that each group has many rows.
+    with queries.key_groups(spark, 1 << 14):
+        sums = dws.province_sums(details, ("et",), _DAY, as_of=AS_OF)
 
     def provinces() -> DataFrame:
         return shapes.provinces(shapes.table(spark, sf_dir, "nation"))
 
-    queries.with_live_tables(sums, f"{folder}/checkpoint", provinces, dws.with_provinces, f"{folder}/out",
-                             once=True).awaitTermination()
+    with queries.uncounted_state(spark):
+        query = queries.with_live_tables(sums, f"{folder}/checkpoint", provinces, dws.with_provinces, f"{folder}/out", once=True)
+    query.awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop(upserts.BATCH)
 
 

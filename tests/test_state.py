@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmart.operators import skew, state
-from rillmart.streaming import history
+from rillmart.streaming import history, queries
 
 
 def at(day, hour=12, minute=0):
@@ -164,6 +164,52 @@ def test_delta_with_a_life_time_is_the_same_in_batch_and_stream(spark, rows, fee
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == expected
 
 
+def test_a_streams_delta_goes_to_python_in_few_cells(spark, rows, feed, tmp_path):
+    """Columns of all kinds come back as they were, late rows are left out, and a worker gets no timestamp and no cell per text."""
+    from decimal import Decimal as D
+
+    kinds = "id bigint, ts timestamp, n int, v decimal(20,2), w bigint, t string, d double, b boolean, x timestamp, a array<string>"
+
+    def batch(*records):
+        return spark.createDataFrame([(k, at(*when) if when else None, n, D(v), n * 10, text, n / 3, n % 2 == 0, at(5), [text])
+                                      for k, when, n, v, text in records], kinds)
+
+    parts = [batch((1, (3,), 1, "100.10", 'a"\\,\n'), (1, (3, 13), 2, "100.00", None), (None, (3,), 1, "7", "é")),
+             batch((1, (9,), 3, "-130.55", ""), (2, (9,), 4, "0.01", "[]")), batch((1, (9, 13), 5, "1", "z")),
+             # Later than the watermark: the row neither comes out nor counts as a version. One without a time does.
+             batch((1, (2,), 6, "999", "late"), (None, (9, 14), 7, "9", "n"), (3, None, 8, "5", "none")),
+             batch((1, (9, 15), 9, "2", "end"))]
+    df = feed("kinds", *parts).withWatermark("ts", "1 day")
+    plan = state.delta(df, ["id"], ["ts", "n"], ["v", "w"])
+    assert plan.schema.names == df.schema.names
+    plan.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    expected = state.delta(whole.filter("t IS NULL OR t <> 'late'"), ["id"], ["ts", "n"], ["v", "w"])
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(expected)
+    processor = history.Delta(["id"], ["_at", "n"], whole.columns, "ts", ["v", "w"], None)
+    cells = history._packed(history._dated(whole, "ts", None), ["id"], "ts", processor)
+    assert cells.columns == ["_group", "_at", "_packed", "d", "b", "x", "a"]
+    assert list(processor.packed) == ["id", "n", "v", "w", "t"]
+
+
+def test_groups_of_keys_follow_the_session(spark, rows, feed, tmp_path):
+    """A stream built with fewer groups keeps as many state rows; it gives the same."""
+    first = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(at(1)).cast("timestamp").alias("ts"), "id")
+    later = first.withColumn("ts", F.lit(at(2)).cast("timestamp")).withColumn("id", F.col("id") * 3)
+    df = feed("grouped", first, later).withWatermark("ts", "9 days")
+    with queries.key_groups(spark, 8):
+        changed = state.delta(df, ["k"], ["ts"], ["id"])
+    query = changed.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(state.delta(first.unionByName(later), ["k"], ["ts"], ["id"]))
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 8
+    assert spark.conf.get(history.GROUPS_CONF, None) is None
+
+
 def test_keyed_state_is_asked_per_group_of_keys(spark, rows, feed, tmp_path):
     """Many keys of one micro-batch share calls, messages and state rows; with every group in use there are no more of them."""
     n = 2000
